@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from catalog import tables as t
 from talklake.functions import chapters, ids, markdown, text, times
+from talklake.functions.arrays import exploded
 from talklake.operators import candidates as cand
 from talklake.operators import documents as docs
 from talklake.operators import embed, enrich, keywords, registry, segments as seg, vectors
@@ -336,9 +337,11 @@ def search_ann_recall(spark, sf_dir):
 
 def embed_hash(spark, sf_dir):
     docs_in = t.wide(spark, sf_dir, "documents", "doc_id", "text")
-    vectors_of = embed.right_size(embed.embed(docs_in, embed.HashedTerms(EMBED_SIZE), "text"), EMBED_SIZE)
-    return vectors_of.select("doc_id", F.posexplode("embedding").alias("place", "weight")).where("weight > 0").select(
-        "doc_id", F.col("place").cast("bigint").alias("place"), six(F.col("weight").cast("double")).alias("weight")
+    weights = exploded(
+        F.transform(embed.HashedTerms(EMBED_SIZE).column(F.col("text")), lambda w, i: F.struct(i.alias("place"), w.alias("weight")))
+    )
+    return docs_in.select("doc_id", weights.alias("v")).where("v.weight > 0").select(
+        "doc_id", F.col("v.place").cast("bigint").alias("place"), six(F.col("v.weight").cast("double")).alias("weight")
     )
 
 
@@ -403,8 +406,8 @@ def slugs(spark, sf_dir):
 def rendered_roundtrip(spark, sf_dir):
     """All documents written as text files and read back by name."""
     path = scratch_path(spark, "files")
-    files.write_files(rendered_docs(spark, sf_dir).repartition("filename"), path)
-    return files.by_name(files.read_files(spark, path))
+    files.write_plain(rendered_docs(spark, sf_dir), path)
+    return files.by_name(files.read_plain(spark, path))
 
 
 def batch_manifest(spark, sf_dir):

@@ -108,28 +108,25 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.conform(rows, "details")
 
 
-def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_tracks(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A generated track per document, a manual one for good labels, English ones for long texts."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good"))
+
+    def track(name: str, lang, is_generated: bool):
+        return F.struct(F.lit(name).alias("track_id"), lang.alias("lang"), F.lit(is_generated).alias("is_generated"))
+
     kinds = F.array(
-        F.struct(F.lit("generated").alias("track_id"), F.col("lang"), F.lit(True).alias("is_generated")),
-        F.when(
-            F.col("good"),
-            F.struct(F.lit("manual").alias("track_id"), F.col("lang"), F.lit(False).alias("is_generated")),
-        ),
-        F.when(
-            F.col("n_chars") > 2000,
-            F.struct(F.lit("english").alias("track_id"), F.lit("en").alias("lang"), F.lit(True).alias("is_generated")),
-        ),
-    )
-    rows = (
-        docs.join(good, "doc_id", "left")
-        .select(F.col("doc_id").cast("string").alias("video_id"), F.explode(kinds).alias("t"))
-        .where("t is not null")
-        .select("video_id", "t.*")
+        track("generated", F.col("lang"), True),
+        F.when(F.col("good"), track("manual", F.col("lang"), False)),
+        F.when(F.col("n_chars") > 2000, track("english", F.lit("en"), True)),
     )
-    return landing.conform(rows, "tracks")
+    return docs.join(good, "doc_id", "left").select("*", F.explode(kinds).alias("t")).where("t is not null")
+
+
+def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    rows = with_tracks(docs, spark, sf_dir)
+    return landing.conform(rows.select(F.col("doc_id").cast("string").alias("video_id"), "t.*"), "tracks")
 
 
 def marked_up(line, seq):
@@ -154,14 +151,23 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines on each of a document's tracks."""
-    rows = lines(spark, sf_dir).join(tracks(spark, sf_dir).select("video_id", "track_id"), "video_id")
-    text = F.when(F.col("track_id") == "manual", F.concat(F.lit("<b>"), "text", F.lit("</b>"))).otherwise(F.col("text"))
-    return landing.conform(
-        rows.select(
-            "video_id", "track_id", "seq", F.col("seq").cast("double").alias("start"), text.alias("text")
-        ).withColumn("duration", F.lit(1.0)),
-        "segments",
+    docs = wide(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")
+    rows = with_tracks(docs, spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("video_id"),
+        F.col("t.track_id").alias("track_id"),
+        F.posexplode(F.split("text", "\n")).alias("seq", "line"),
+    )
+    raw = marked_up(F.col("line"), F.col("seq"))
+    text = F.when(F.col("track_id") == "manual", F.concat(F.lit("<b>"), raw, F.lit("</b>"))).otherwise(raw)
+    timed = rows.select(
+        "video_id",
+        "track_id",
+        F.col("seq").cast("bigint").alias("seq"),
+        F.col("seq").cast("double").alias("start"),
+        F.lit(1.0).alias("duration"),
+        text.alias("text"),
     )
+    return landing.conform(timed, "segments")
 
 
 def conversation_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

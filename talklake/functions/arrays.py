@@ -19,7 +19,7 @@ def neighbours(items: Column, combine: Callable[[Column, Column], Column]) -> Co
 
 
 def runs(ordered: Column) -> Column:
-    """Runs of equal items in a sorted array, as ``struct(item, n)`` in order.
+    """Runs of equal items in a sorted array: ``struct(item, n, start)`` in order, start from 0.
 
     Counting by sorting keeps a document's term counts inside its own row: no
     explode, no shuffle. Work is O(n log n) in the length of the array.
@@ -33,8 +33,20 @@ def runs(ordered: Column) -> Column:
         return let(
             F.concat(starts, F.array(F.size(items))),
             lambda cuts: neighbours(
-                cuts, lambda a, b: F.struct(F.get(items, a).alias("item"), (b - a).alias("n"))
+                cuts,
+                lambda a, b: F.struct(
+                    F.get(items, a).alias("item"), (b - a).alias("n"), a.alias("start")
+                ),
             ),
         )
 
     return let(ordered, between)
+
+
+def exploded(items: Column) -> Column:
+    """Explode an expensive array.
+
+    An inner explode lets Catalyst infer the filter ``size(items) > 0``, which computes
+    the array a second time. The outer one does not; drop its NULL for an empty array.
+    """
+    return F.explode_outer(items)

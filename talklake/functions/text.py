@@ -54,6 +54,11 @@ def slug(text: Column) -> Column:
     return F.substring(F.regexp_replace(dashed, r"^-|-\z", ""), 1, SLUG_LENGTH)
 
 
+def is_blank(text: Column) -> Column:
+    """Nothing but whitespace."""
+    return ~F.regexp_like(text, F.lit(rf"[^{SPACE}]"))
+
+
 def has_words(text: Column, least: int) -> Column:
     """At least ``least`` whitespace-separated words; reads no further than needed."""
     return F.regexp_like(

@@ -77,8 +77,7 @@ def stored_among(candidates: DataFrame, store: DataFrame) -> DataFrame:
     The store is the big side: it is filtered by the candidates, which Catalyst
     broadcasts when they are small, so the store need not be shuffled.
     """
-    wanted = candidates.select("video_id").distinct()
-    return store.select("video_id").join(wanted, "video_id", "left_semi")
+    return store.select("video_id").join(candidates.select("video_id"), "video_id", "left_semi")
 
 
 def unprocessed(candidates: DataFrame, store: DataFrame) -> DataFrame:

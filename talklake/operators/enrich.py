@@ -31,7 +31,7 @@ def parse_details(details: DataFrame, as_of: datetime) -> DataFrame:
 
 def only_for(table: DataFrame, candidates: DataFrame) -> DataFrame:
     """The rows of a landing table that belong to the candidates."""
-    return table.join(candidates.select("video_id").distinct(), "video_id", "left_semi")
+    return table.join(candidates.select("video_id"), "video_id", "left_semi")
 
 
 def with_details(candidates: DataFrame, details: DataFrame, as_of: datetime) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from talklake.functions.arrays import exploded, let, runs
 from talklake.functions.terms import DOMAIN_STOP_WORDS, content_words, is_stop_phrase, with_pairs
-from talklake.functions.text import has_words, squeeze
+from talklake.functions.text import has_words, is_blank
 from talklake.functions.topics import CANDIDATES_PER_TOPIC, MIN_WORDS, TOP_K, ranked_terms
 
 # --- fixed values --------------------------------------------------------------------
@@ -28,10 +29,53 @@ def topics(docs: DataFrame, text: str = "text", **options) -> DataFrame:
 
 def topic_scores(docs: DataFrame, key: str = "video_id", text: str = "text", **options) -> DataFrame:
     """One row per document and topic, ``rank`` counting from 1."""
-    terms = ranked_terms(F.col(text), **options)
-    return docs.select(key, F.posexplode(terms).alias("at", "topic")).select(
-        key, (F.col("at") + 1).alias("rank"), "topic.term", "topic.tf", "topic.score"
+    terms = F.transform(
+        ranked_terms(F.col(text), **options), lambda t, i: F.struct((i + 1).alias("rank"), t.alias("t"))
     )
+    rows = docs.select(key, exploded(terms).alias("topic")).where("topic is not null")
+    return rows.select(key, "topic.rank", "topic.t.term", "topic.t.tf", "topic.t.score")
+
+
+def _sentence_vocabulary(text: Column, size: int, stop_words: Iterable[str] | None) -> Column:
+    """The most frequent terms of a text: ``struct(term, df, n, counts)``.
+
+    ``n`` is the number of sentences, ``counts`` the term's ``struct(item(term, pos), n)``
+    per sentence.
+    """
+    sentences = F.filter(F.split(text, "[.\n]"), lambda s: ~is_blank(s))
+
+    def places(sentence: Column, pos: Column) -> Column:
+        terms = with_pairs(content_words(sentence, stop_words))
+        return F.transform(terms, lambda w: F.struct(w.alias("term"), pos.alias("pos")))
+
+    def vocabulary(n: Column, entries: Column, counts: Column) -> Column:
+        totals = runs(F.transform(entries, lambda e: e["term"]))
+        spans = runs(F.transform(counts, lambda c: c["item"]["term"]))
+        both = F.zip_with(
+            totals,
+            spans,
+            lambda t, s: F.struct(
+                (-t["n"]).alias("least"), t["item"].alias("term"), s["n"].alias("df"), s["start"].alias("start")
+            ),
+        )
+        rare = F.filter(both, lambda v: (n <= MANY_SENTENCES) | (v["df"] <= n * MAX_DF))
+        return F.transform(
+            F.slice(F.sort_array(rare), 1, size),
+            lambda v: F.struct(
+                v["term"].alias("term"),
+                v["df"].alias("df"),
+                n.alias("n"),
+                F.slice(counts, v["start"] + 1, v["df"]).alias("counts"),
+            ),
+        )
+
+    def of_sentences(found: Column) -> Column:
+        entries = F.sort_array(F.flatten(F.transform(found, places)))
+        return let(
+            entries, lambda es: let(runs(es), lambda cs: vocabulary(F.size(found), es, cs))
+        )
+
+    return let(sentences, of_sentences)
 
 
 def sentence_topic_scores(
@@ -47,41 +91,21 @@ def sentence_topic_scores(
     Sentences end at ``.`` or a line break. Terms in more than 95 % of the sentences
     are dropped when there are more than five sentences. The ``3 * top_k`` most
     frequent terms are weighted by smoothed IDF, scaled to unit length per sentence and
-    summed. The raw text is shuffled once, by document; every later step finds its rows
-    already together.
+    summed. Terms are counted inside the document's row; only the counts of the kept
+    terms are shuffled.
     """
-    sentence = F.filter(
-        F.split(F.col(text), "[.\n]"), lambda s: squeeze(s) != ""
-    )
-    split = (
-        docs.where(has_words(F.col(text), MIN_WORDS))
-        .select(key, text)
-        .repartition(key)
-        .select(key, sentence.alias("sentences"))
-        .select(key, F.size("sentences").alias("n"), F.posexplode("sentences").alias("at", "sentence"))
-    )
-    counts = (
-        split.select(
-            key, "n", "at", F.explode(with_pairs(content_words(F.col("sentence"), stop_words))).alias("term")
-        )
-        .groupBy(key, "n", "at", "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    same_term = W.partitionBy(key, "term")
-    spread = counts.withColumns(
-        {"df": F.count("*").over(same_term), "total": F.sum("tf").over(same_term)}
+    chosen = F.when(
+        has_words(F.col(text), MIN_WORDS),
+        _sentence_vocabulary(F.col(text), top_k * CANDIDATES_PER_TOPIC, stop_words),
     )
-    common = (F.col("n") > MANY_SENTENCES) & (F.col("df") > F.col("n") * MAX_DF)
-    place = F.dense_rank().over(W.partitionBy(key).orderBy(F.desc("total"), "term"))
-    vocabulary = (
-        spread.where(~common)
-        .withColumn("place", place)
-        .where(F.col("place") <= top_k * CANDIDATES_PER_TOPIC)
+    per_term = docs.select(key, exploded(chosen).alias("v")).where("v is not null")
+    counts = per_term.select(key, "v.n", "v.term", "v.df", exploded(F.col("v.counts")).alias("c")).select(
+        key, "n", "term", "df", "c.item.pos", F.col("c.n").alias("tf")
     )
-    weighted = vocabulary.withColumn(
+    weighted = counts.withColumn(
         "weight", F.col("tf") * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1)
     )
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(key, "at")))
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(key, "pos")))
     scored = (
         weighted.withColumn("share", F.col("weight") / norm)
         .groupBy(key, "term")

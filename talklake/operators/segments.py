@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from talklake.functions.arrays import let
+from talklake.functions.arrays import exploded, let
 from talklake.functions.text import clean_segment, squeeze
 
 BLOCK = 2048
@@ -38,50 +38,56 @@ def chosen_segments(segments: DataFrame, tracks: DataFrame) -> DataFrame:
     return segments.join(tracks.select("video_id", "track_id"), ["video_id", "track_id"], "left_semi")
 
 
-def _without_repeats(items: Column) -> Column:
-    """Drop an item whose text equals that of the item before it."""
-    return let(
+def _cleaned(items: Column) -> Column:
+    """Clean the texts of ``struct(seq, text)`` items, drop blanks and repeats."""
+    texts = F.transform(
         items,
+        lambda x: F.struct(
+            x["seq"].alias("seq"), clean_segment(F.coalesce(x["text"], F.lit(""))).alias("text")
+        ),
+    )
+    return let(
+        F.filter(texts, lambda x: x["text"] != ""),
         lambda xs: F.filter(xs, lambda x, i: (i == 0) | (x["text"] != F.get(xs, i - 1)["text"])),
     )
 
 
 def _blocks(segments: DataFrame, block: int) -> DataFrame:
-    """One row per video and block: ``kept`` holds ``struct(seq, text)`` in order."""
-    cleaned = segments.select(
-        "video_id",
-        F.floor(F.col("seq") / block).alias("block"),
-        "seq",
-        clean_segment(F.coalesce("text", F.lit(""))).alias("text"),
-    ).where("text != ''")
-    sorted_items = F.sort_array(F.collect_list(F.struct("seq", "text")))
+    """One row per video and block: ``kept`` holds ``struct(seq, text)`` in order.
+
+    Texts are cleaned after they are grouped: a filter on the cleaned text would be
+    pushed down to rows that a later join drops, and computed twice.
+    """
+    items = F.sort_array(F.collect_list(F.struct("seq", "text")))
     blocks = (
-        cleaned.groupBy("video_id", "block")
-        .agg(sorted_items.alias("items"))
-        .select("video_id", "block", _without_repeats(F.col("items")).alias("items"))
-    )
-    # A block's last kept text is its last text: only repeats of it were dropped.
-    last = F.element_at("items", -1)["text"]
-    before = F.lag(last).over(W.partitionBy("video_id").orderBy("block"))
-    repeat = F.element_at("items", 1)["text"].eqNullSafe(F.col("before"))
-    return blocks.withColumn("before", before).select(
-        "video_id",
-        "block",
-        F.when(repeat, F.slice("items", F.lit(2), F.size("items"))).otherwise(F.col("items")).alias("kept"),
+        segments.select("video_id", F.floor(F.col("seq") / block).alias("block"), "seq", "text")
+        .groupBy("video_id", "block")
+        .agg(items.alias("items"))
+        .select("video_id", "block", _cleaned(F.col("items")).alias("items"))
     )
+    # A block's last kept text is its last text: only repeats of it were dropped. Blocks
+    # of blanks have none and do not break a run.
+    last = F.get("items", F.size("items") - 1)["text"]
+    earlier = W.partitionBy("video_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    carried = blocks.withColumn("before", F.last(last, ignorenulls=True).over(earlier))
+    repeat = F.get("items", F.lit(0))["text"] == F.col("before")
+    rest = F.slice("items", F.lit(2), F.size("items"))
+    return carried.select("video_id", "block", F.when(repeat, rest).otherwise(F.col("items")).alias("kept"))
 
 
 def clean_segments(segments: DataFrame, block: int = BLOCK) -> DataFrame:
     """Cleaned segments without blanks and without consecutive repeats, one row each."""
-    return _blocks(segments, block).select("video_id", F.explode("kept").alias("kept")).select(
-        "video_id", "kept.seq", "kept.text"
-    )
+    rows = _blocks(segments, block).select("video_id", exploded(F.col("kept")).alias("kept"))
+    return rows.where("kept is not null").select("video_id", "kept.seq", "kept.text")
 
 
 def transcripts(segments: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One clean text per video."""
+    """One clean text per video; empty when all its segments are blank."""
     words = squeeze(F.array_join(F.transform("kept", lambda x: x["text"]), " "))
-    parts = _blocks(segments, block).select("video_id", "block", words.alias("text")).where("text != ''")
+    # array_join leaves out NULLs, so blocks without text add no blank.
+    parts = _blocks(segments, block).select(
+        "video_id", "block", F.nullif(words, F.lit("")).alias("text")
+    )
     ordered = F.sort_array(F.collect_list(F.struct("block", "text")))
     return parts.groupBy("video_id").agg(
         F.array_join(F.transform(ordered, lambda x: x["text"]), " ").alias("transcript")

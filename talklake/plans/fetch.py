@@ -53,13 +53,18 @@ class Run:
 def find_candidates(
     landing: Landing, as_of: datetime, store: DataFrame | None = None, once_per_run: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """The run's recent videos, written once, and those still to be processed."""
+    """The run's recent videos and those still to be processed, both written once.
+
+    They are few and filter every landing table, so their true size is worth knowing.
+    """
     recent = cand.recent_videos(landing.listing, landing.channels, as_of)
     if landing.failed_channels is not None:
         recent = recent.join(landing.failed_channels, "channel_id", "left_anti")
     recent = staged(recent, "recent")
     todo = recent if store is None else cand.unprocessed(recent, store)
-    return recent, cand.first_in_run(todo) if once_per_run else todo
+    if once_per_run:
+        todo = cand.first_in_run(todo)
+    return recent, staged(todo, "candidates")
 
 
 def complete(

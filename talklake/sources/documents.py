@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from talklake.functions.markdown import FILE_PREFIX
@@ -18,6 +22,26 @@ def write_files(docs: DataFrame, path: str, mode: str = "append") -> None:
     ).text(path)
 
 
+def write_plain(docs: DataFrame, root: str) -> int:
+    """One file ``<root>/<filename>`` per document, and the number of files written.
+
+    ``root`` is a folder or URI that all executors share. A repeated task writes the
+    same bytes to the same names, so a lost executor does no harm.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, folder = fs.FileSystem.from_uri(root)
+        target.create_dir(folder, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with target.open_output_stream(f"{folder}/{name}") as out:
+                    out.write(content.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["files"])
+
+    written = docs.select("filename", "content").mapInArrow(write, "files long")
+    return written.agg(F.sum("files")).first()[0] or 0
+
+
 def read_files(spark: SparkSession, path: str, prefix: str = FILE_PREFIX) -> DataFrame:
     """``(filename, content)`` of all documents that ``write_files`` wrote with this prefix."""
     rows = spark.read.schema("value string, filename string").text(path, wholetext=True)
