@@ -182,9 +182,11 @@ def point_ids(spark, sf_dir):
     )
 
 
-def doc_points(spark, sf_dir, batch: str, number: Column, order: Column | None = None) -> DataFrame:
+def doc_points(
+    spark, sf_dir, channels: DataFrame, batch: str, number: Column, order: Column | None = None
+) -> DataFrame:
     """Documents as store points with a small vector; texts in German get one of the wrong size."""
-    registry_tags = t.channels(spark, sf_dir).select(F.col("channel_id").alias("source"), "metadata_tags")
+    registry_tags = channels.select(F.col("channel_id").alias("source"), "metadata_tags")
     size = F.col("n_chars").cast("float")
     rows = t.table(spark, sf_dir, "documents").join(registry_tags, "source").select(
         F.col("doc_id").cast("string").alias("video_id"),
@@ -224,26 +226,26 @@ def new_store(spark, label: str, vector_size: int) -> Store:
     return Store.ensure(spark, scratch_path(spark, label), vector_size, buckets=8)
 
 
-def earlier_points(spark, sf_dir) -> DataFrame:
+def earlier_points(spark, sf_dir, channels: DataFrame) -> DataFrame:
     stored = t.stored_ids(spark, sf_dir)
-    return doc_points(spark, sf_dir, "batch-old", F.lit(1)).join(stored, "video_id", "left_semi")
+    return doc_points(spark, sf_dir, channels, "batch-old", F.lit(1)).join(stored, "video_id", "left_semi")
 
 
 def store_upsert(spark, sf_dir):
     """Old points, then every document written twice; the later write of the batch stays."""
-    store = new_store(spark, "upsert-store", 2)
-    store.upsert(earlier_points(spark, sf_dir))
-    first = doc_points(spark, sf_dir, "batch-new", F.col("doc_id") + 2, F.lit(1))
-    again = doc_points(spark, sf_dir, "batch-new", F.col("doc_id") + 3, F.lit(2)).where(F.col("channel") != "src3")
+    store, channels = new_store(spark, "upsert-store", 2), t.channels(spark, sf_dir)
+    store.upsert(earlier_points(spark, sf_dir, channels))
+    first = doc_points(spark, sf_dir, channels, "batch-new", F.col("doc_id") + 2, F.lit(1))
+    again = doc_points(spark, sf_dir, channels, "batch-new", F.col("doc_id") + 3, F.lit(2)).where(F.col("channel") != "src3")
     store.upsert(first.unionByName(again))
     return store_rows(store)
 
 
 def store_insert(spark, sf_dir):
     """Old points stay as they are; running the insert a second time adds nothing."""
-    store = new_store(spark, "insert-store", 2)
-    store.insert_if_absent(earlier_points(spark, sf_dir))
-    new = doc_points(spark, sf_dir, "batch-new", F.col("doc_id") + 2)
+    store, channels = new_store(spark, "insert-store", 2), t.channels(spark, sf_dir)
+    store.insert_if_absent(earlier_points(spark, sf_dir, channels))
+    new = doc_points(spark, sf_dir, channels, "batch-new", F.col("doc_id") + 2)
     store.insert_if_absent(new)
     store.insert_if_absent(new)
     return store_rows(store)
@@ -368,13 +370,13 @@ def doc_search(spark, sf_dir):
 
 def document_videos(spark, sf_dir) -> DataFrame:
     """All listed documents, with details, text, topics and chapters, numbered."""
-    detailed = enrich.with_details(videos(spark, sf_dir), t.details(spark, sf_dir), t.AS_OF)
+    detailed = enrich.with_details(docs.numbered(videos(spark, sf_dir)), t.details(spark, sf_dir), t.AS_OF)
     texts = t.wide(spark, sf_dir, "documents", "doc_id", "text").select(
         F.col("doc_id").cast("string").alias("video_id"),
         F.col("text").alias("transcript"),
         keywords.topic_names(F.col("text")).alias("topics"),
     )
-    complete = enrich.with_text(docs.numbered(detailed, 1), texts)
+    complete = enrich.with_text(detailed, texts)
     return complete.withColumn("chapter_marks", chapters.pick(F.col("chapters"), F.col("description")))
 
 
@@ -384,7 +386,7 @@ def rendered_docs(spark, sf_dir):
 
 def file_rows(spark, sf_dir) -> DataFrame:
     """Names of all documents' files; no text is read."""
-    numbered = docs.numbered(enrich.with_details(videos(spark, sf_dir), t.details(spark, sf_dir), t.AS_OF), 1)
+    numbered = enrich.with_details(docs.numbered(videos(spark, sf_dir)), t.details(spark, sf_dir), t.AS_OF)
     return numbered.select(
         F.lit(times.batch_name(t.AS_OF)).alias("batch_id"),
         "video_id",
@@ -411,12 +413,12 @@ def rendered_roundtrip(spark, sf_dir):
 
 
 def batch_manifest(spark, sf_dir):
-    return docs.manifest(file_rows(spark, sf_dir))
+    return docs.manifest(staged(file_rows(spark, sf_dir), "files"))
 
 
 def push_manifest(spark, sf_dir):
     named = file_rows(spark, sf_dir).where(F.col("duration") != "Unknown").select("filename")
-    return push(named, "batch-push", page_size=100)
+    return push(staged(named, "files"), "batch-push", page_size=100)
 
 
 # --- reports and whole runs ------------------------------------------------------------
@@ -438,10 +440,9 @@ def listing_urls(spark, sf_dir):
 
 
 def run_once(spark, sf_dir):
-    stored = staged(earlier_points(spark, sf_dir), "stored")
-    store = new_store(spark, "run-store", 2)
-    store.insert_if_absent(stored)
-    return fetch(t.landing_tables(spark, sf_dir), t.AS_OF, store=store, languages=t.LANGUAGES)
+    store, tables = new_store(spark, "run-store", 2), t.landing_tables(spark, sf_dir)
+    store.insert_if_absent(earlier_points(spark, sf_dir, tables.channels))
+    return fetch(tables, t.AS_OF, store=store, languages=t.LANGUAGES)
 
 
 def ingest_outcomes(spark, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BLOCK = 1 << 16
+BLOCK = 1 << 13
 
 
 def _sum_before(rows: DataFrame, key: str, value: str, name: str, block: int) -> DataFrame:
@@ -39,7 +39,8 @@ def number_rows(
     With ``through_groups`` the count goes on from one group to the next, in order of the
     whole-number ``group``. Rows are counted per block of keys, the counts become the
     blocks' offsets, and only the rows of one block are sorted together: a group with a
-    third of all rows is as well spread as many small ones.
+    third of all rows is as well spread as many small ones. ``rows`` is read twice, the
+    first time without its other columns.
     """
     blocked = rows.withColumn("_block", F.floor(F.col(key) / block))
     counts = blocked.groupBy(group, "_block").agg(F.count("*").alias("_n"))

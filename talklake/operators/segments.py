@@ -53,41 +53,62 @@ def _cleaned(items: Column) -> Column:
 
 
 def _blocks(segments: DataFrame, block: int) -> DataFrame:
-    """One row per video and block: ``kept`` holds ``struct(seq, text)`` in order.
+    """One row per video and block: ``items`` holds the cleaned ``struct(seq, text)`` in order.
 
     Texts are cleaned after they are grouped: a filter on the cleaned text would be
     pushed down to rows that a later join drops, and computed twice.
     """
     items = F.sort_array(F.collect_list(F.struct("seq", "text")))
-    blocks = (
+    return (
         segments.select("video_id", F.floor(F.col("seq") / block).alias("block"), "seq", "text")
         .groupBy("video_id", "block")
         .agg(items.alias("items"))
         .select("video_id", "block", _cleaned(F.col("items")).alias("items"))
     )
-    # A block's last kept text is its last text: only repeats of it were dropped. Blocks
-    # of blanks have none and do not break a run.
-    last = F.get("items", F.size("items") - 1)["text"]
+
+
+def _last_text(items: Column) -> Column:
+    """A block's last kept text is its last text, as only repeats of it were dropped."""
+    return F.get(items, F.size(items) - 1)["text"]
+
+
+def _before(last: Column) -> Column:
+    """The last text before a block; blocks of blanks do not break a run."""
     earlier = W.partitionBy("video_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    carried = blocks.withColumn("before", F.last(last, ignorenulls=True).over(earlier))
+    return F.last(last, ignorenulls=True).over(earlier)
+
+
+def _kept() -> Column:
+    """A block's items without a first one that repeats the text ``before`` the block."""
     repeat = F.get("items", F.lit(0))["text"] == F.col("before")
-    rest = F.slice("items", F.lit(2), F.size("items"))
-    return carried.select("video_id", "block", F.when(repeat, rest).otherwise(F.col("items")).alias("kept"))
+    return F.when(repeat, F.slice("items", F.lit(2), F.size("items"))).otherwise(F.col("items"))
 
 
 def clean_segments(segments: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Cleaned segments without blanks and without consecutive repeats, one row each."""
-    rows = _blocks(segments, block).select("video_id", exploded(F.col("kept")).alias("kept"))
+    """Cleaned segments without blanks and without consecutive repeats, one row each.
+
+    Only the last texts of the blocks are brought together per video; they are joined
+    back to blocks that are already partitioned by the join key.
+    """
+    blocks = _blocks(segments, block)
+    edges = blocks.select("video_id", "block", _last_text(F.col("items")).alias("last"))
+    before = edges.select("video_id", "block", _before(F.col("last")).alias("before"))
+    rows = blocks.join(before, ["video_id", "block"]).select(
+        "video_id", exploded(_kept()).alias("kept")
+    )
     return rows.where("kept is not null").select("video_id", "kept.seq", "kept.text")
 
 
 def transcripts(segments: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One clean text per video; empty when all its segments are blank."""
+    """One clean text per video; empty when all its segments are blank.
+
+    The result is one value per video, so here whole blocks are brought together.
+    """
+    blocks = _blocks(segments, block).withColumn("last", _last_text(F.col("items")))
+    kept = blocks.withColumn("before", _before(F.col("last"))).withColumn("kept", _kept())
     words = squeeze(F.array_join(F.transform("kept", lambda x: x["text"]), " "))
     # array_join leaves out NULLs, so blocks without text add no blank.
-    parts = _blocks(segments, block).select(
-        "video_id", "block", F.nullif(words, F.lit("")).alias("text")
-    )
+    parts = kept.select("video_id", "block", F.nullif(words, F.lit("")).alias("text"))
     ordered = F.sort_array(F.collect_list(F.struct("block", "text")))
     return parts.groupBy("video_id").agg(
         F.array_join(F.transform(ordered, lambda x: x["text"]), " ").alias("transcript")
