@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def local_session(app: str = "talklake", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -36,9 +37,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="talklake-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="talklake-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
