@@ -58,7 +58,7 @@ def topic_scores(spark, sf_dir):
 
 
 def topics_sentence(spark, sf_dir):
-    found = keywords.sentence_topic_scores(t.table(spark, sf_dir, "documents"), "doc_id")
+    found = keywords.sentence_topic_scores(t.wide(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
     return found.select("doc_id", F.col("rank").cast("bigint").alias("rank"), "term", six(F.col("score")).alias("score"))
 
 

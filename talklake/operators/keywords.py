@@ -36,46 +36,43 @@ def topic_scores(docs: DataFrame, key: str = "video_id", text: str = "text", **o
     return rows.select(key, "topic.rank", "topic.t.term", "topic.t.tf", "topic.t.score")
 
 
-def _sentence_vocabulary(text: Column, size: int, stop_words: Iterable[str] | None) -> Column:
-    """The most frequent terms of a text: ``struct(term, df, n, counts)``.
+def _sentence_counts(text: Column, size: int, stop_words: Iterable[str] | None) -> Column:
+    """Counts per sentence of a text's frequent terms: ``struct(n, pos, term, tf)``.
 
-    ``n`` is the number of sentences, ``counts`` the term's ``struct(item(term, pos), n)``
-    per sentence.
+    ``n`` is the number of sentences. The terms are the ``size`` most frequent ones and
+    those frequent enough to be cut for being in nearly every sentence, which come first
+    in that order; so the ``size`` best that are not cut are always among them.
     """
     sentences = F.filter(F.split(text, "[.\n]"), lambda s: ~is_blank(s))
+    per_sentence = F.transform(sentences, lambda s: with_pairs(content_words(s, stop_words)))
 
-    def places(sentence: Column, pos: Column) -> Column:
-        terms = with_pairs(content_words(sentence, stop_words))
-        return F.transform(terms, lambda w: F.struct(w.alias("term"), pos.alias("pos")))
-
-    def vocabulary(n: Column, entries: Column, counts: Column) -> Column:
-        totals = runs(F.transform(entries, lambda e: e["term"]))
-        spans = runs(F.transform(counts, lambda c: c["item"]["term"]))
-        both = F.zip_with(
-            totals,
-            spans,
-            lambda t, s: F.struct(
-                (-t["n"]).alias("least"), t["item"].alias("term"), s["n"].alias("df"), s["start"].alias("start")
-            ),
+    def frequent(found: Column) -> Column:
+        totals = F.transform(
+            runs(F.sort_array(F.flatten(found))),
+            lambda r: F.struct((-r["n"]).alias("least"), r["item"].alias("term")),
         )
-        rare = F.filter(both, lambda v: (n <= MANY_SENTENCES) | (v["df"] <= n * MAX_DF))
-        return F.transform(
-            F.slice(F.sort_array(rare), 1, size),
-            lambda v: F.struct(
-                v["term"].alias("term"),
-                v["df"].alias("df"),
-                n.alias("n"),
-                F.slice(counts, v["start"] + 1, v["df"]).alias("counts"),
+        return let(
+            F.sort_array(totals),
+            lambda ranked: F.transform(
+                F.slice(ranked, 1, size + F.size(F.filter(ranked, lambda t: -t["least"] > F.size(found) * MAX_DF))),
+                lambda t: t["term"],
             ),
         )
 
-    def of_sentences(found: Column) -> Column:
-        entries = F.sort_array(F.flatten(F.transform(found, places)))
-        return let(
-            entries, lambda es: let(runs(es), lambda cs: vocabulary(F.size(found), es, cs))
+    def counts(found: Column, terms: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                found,
+                lambda words, pos: F.transform(
+                    runs(F.sort_array(F.filter(words, lambda w: F.array_contains(terms, w)))),
+                    lambda r: F.struct(
+                        F.size(found).alias("n"), pos.alias("pos"), r["item"].alias("term"), r["n"].alias("tf")
+                    ),
+                ),
+            )
         )
 
-    return let(sentences, of_sentences)
+    return let(per_sentence, lambda found: let(frequent(found), lambda terms: counts(found, terms)))
 
 
 def sentence_topic_scores(
@@ -91,18 +88,24 @@ def sentence_topic_scores(
     Sentences end at ``.`` or a line break. Terms in more than 95 % of the sentences
     are dropped when there are more than five sentences. The ``3 * top_k`` most
     frequent terms are weighted by smoothed IDF, scaled to unit length per sentence and
-    summed. Terms are counted inside the document's row; only the counts of the kept
-    terms are shuffled.
+    summed. Terms are counted inside the document's row; only the counts of its frequent
+    terms are shuffled, once.
     """
-    chosen = F.when(
-        has_words(F.col(text), MIN_WORDS),
-        _sentence_vocabulary(F.col(text), top_k * CANDIDATES_PER_TOPIC, stop_words),
+    size = top_k * CANDIDATES_PER_TOPIC
+    counted = F.when(
+        has_words(F.col(text), MIN_WORDS), _sentence_counts(F.col(text), size, stop_words)
+    )
+    counts = (
+        docs.select(key, exploded(counted).alias("c")).where("c is not null").select(key, "c.*")
     )
-    per_term = docs.select(key, exploded(chosen).alias("v")).where("v is not null")
-    counts = per_term.select(key, "v.n", "v.term", "v.df", exploded(F.col("v.counts")).alias("c")).select(
-        key, "n", "term", "df", "c.item.pos", F.col("c.n").alias("tf")
+    same_term = W.partitionBy(key, "term")
+    spread = counts.repartition(key).withColumns(
+        {"df": F.count("*").over(same_term), "total": F.sum("tf").over(same_term)}
     )
-    weighted = counts.withColumn(
+    common = (F.col("n") > MANY_SENTENCES) & (F.col("df") > F.col("n") * MAX_DF)
+    place = F.dense_rank().over(W.partitionBy(key).orderBy(F.desc("total"), "term"))
+    vocabulary = spread.where(~common).withColumn("place", place).where(F.col("place") <= size)
+    weighted = vocabulary.withColumn(
         "weight", F.col("tf") * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1)
     )
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(key, "pos")))
