@@ -75,12 +75,14 @@ def manifest(
     page_size: int = MANIFEST_PAGE,
     generator: str = markdown.GENERATOR,
     corpus: str = "document",
+    total: Column | None = None,
 ) -> DataFrame:
     """Title, message and body texts of each batch, in pages of consecutive numbers.
 
     ``files`` has ``batch_id``, ``number`` and ``filename``; names are listed in order.
     A batch of up to ``page_size`` files has one page. Larger batches continue on further
-    pages, so a list never has to fit into one task.
+    pages, so a list never has to fit into one task. ``total`` is the number of files
+    where it is known to be the same for all rows.
     """
     page = F.floor((F.col("number") - 1) / page_size)
     names = F.array_join(
@@ -93,7 +95,10 @@ def manifest(
         files.groupBy("batch_id", page.alias("block"))
         .agg(names.alias("list"), F.count("*").alias("page_files"))
     )
-    totals = files.groupBy("batch_id").agg(F.count("*").alias("files"))
+    if total is None:
+        counted = pages.join(files.groupBy("batch_id").agg(F.count("*").alias("files")), "batch_id")
+    else:
+        counted = pages.withColumn("files", total)
     values = {
         "batch_id": F.col("batch_id"),
         "generator": F.lit(generator),
@@ -101,7 +106,7 @@ def manifest(
         "files": F.col("files").cast("string"),
         "list": F.col("list"),
     }
-    return pages.join(totals, "batch_id").select(
+    return counted.select(
         "batch_id",
         "block",
         "page_files",

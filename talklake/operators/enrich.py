@@ -35,9 +35,12 @@ def only_for(table: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def with_details(candidates: DataFrame, details: DataFrame, as_of: datetime) -> DataFrame:
-    """Replace the listing's fields by the detail record's, all or none per video."""
+    """Replace the listing's fields by the detail record's, all or none per video.
+
+    For few candidates and many details, pass ``only_for(details, candidates)``.
+    """
     record = F.struct(*VIDEO_FIELDS)
-    found = parse_details(only_for(details, candidates), as_of).select(
+    found = parse_details(details, as_of).select(
         "video_id", record.alias("detail")
     )
     rest = [c for c in candidates.columns if c not in VIDEO_FIELDS]

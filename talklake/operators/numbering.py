@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from talklake.session import staged
+
 BLOCK = 1 << 13
 
 
@@ -39,11 +41,11 @@ def number_rows(
     With ``through_groups`` the count goes on from one group to the next, in order of the
     whole-number ``group``. Rows are counted per block of keys, the counts become the
     blocks' offsets, and only the rows of one block are sorted together: a group with a
-    third of all rows is as well spread as many small ones. ``rows`` is read twice, the
-    first time without its other columns.
+    third of all rows is as well spread as many small ones. ``rows`` is read twice: first,
+    at once, to count its keys, then to be numbered.
     """
     blocked = rows.withColumn("_block", F.floor(F.col(key) / block))
-    counts = blocked.groupBy(group, "_block").agg(F.count("*").alias("_n"))
+    counts = staged(blocked.groupBy(group, "_block").agg(F.count("*").alias("_n")), "counts")
     earlier = W.partitionBy(group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
         group, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")

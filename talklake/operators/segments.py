@@ -59,8 +59,11 @@ def _blocks(segments: DataFrame, block: int) -> DataFrame:
     pushed down to rows that a later join drops, and computed twice.
     """
     items = F.sort_array(F.collect_list(F.struct("seq", "text")))
+    # Without this filter a join on the blocks would add it on one side only, and the
+    # two sides could not share one shuffle.
+    keyed = segments.select("video_id", F.floor(F.col("seq") / block).alias("block"), "seq", "text")
     return (
-        segments.select("video_id", F.floor(F.col("seq") / block).alias("block"), "seq", "text")
+        keyed.where("video_id is not null and block is not null")
         .groupBy("video_id", "block")
         .agg(items.alias("items"))
         .select("video_id", "block", _cleaned(F.col("items")).alias("items"))

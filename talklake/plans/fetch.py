@@ -73,7 +73,8 @@ def complete(
     """Details and clean text for the candidates; landing rows of other videos are not touched."""
     track = seg.best_track(enrich.only_for(landing.tracks, todo), languages)
     texts = seg.transcripts(seg.chosen_segments(enrich.only_for(landing.segments, todo), track))
-    videos = enrich.with_details(todo, landing.details, as_of).join(texts, "video_id", "left")
+    detail = enrich.only_for(landing.details, todo)
+    videos = enrich.with_details(todo, detail, as_of).join(texts, "video_id", "left")
     if landing.failed_texts is None:
         return videos.withColumn("text_error", F.lit(False))
     failed = landing.failed_texts.select("video_id", F.lit(True).alias("text_error")).distinct()

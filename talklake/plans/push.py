@@ -13,6 +13,5 @@ def push(
 ) -> DataFrame:
     """Manifest of ``(filename, content)`` rows, numbered by their file names."""
     number = F.regexp_extract("filename", rf"^\Q{prefix}\E-(\d+)-", 1).cast("bigint")
-    return manifest(
-        files.select(F.lit(batch_id).alias("batch_id"), number.alias("number"), "filename"), page_size
-    )
+    named = files.select(F.lit(batch_id).alias("batch_id"), number.alias("number"), "filename")
+    return manifest(named, page_size, total=files.select(F.count("*")).scalar())
