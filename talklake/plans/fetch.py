@@ -110,21 +110,22 @@ def fetch(
         .withColumn("chapter_marks", chapters.pick(F.col("chapters"), F.col("description")))
     )
     videos = staged(embed(docs.numbered(derived, number_start), embedder), "videos")
-    vector_missing = F.lit(False) if store is None else (
-        F.coalesce(F.size("embedding"), F.lit(-1)) != store.vector_size
-    )
+    size = F.coalesce(F.size("embedding"), F.lit(-1))
+    missing = F.lit(False) if store is None else size != store.vector_size
 
-    worked = found.join(videos.select("ord", "position", "embedding"), ["ord", "position"], "left")
+    place = ["ord", "position"]
+    vectors = videos.select(*place, missing.alias("vector_missing"))
+    worked = found.join(vectors, place, "left")
     status = out.status(
         channel_failed=F.lit(False),
         stored=F.lit(False),
         text_error=F.col("text_error"),
         text=F.col("transcript"),
-        vector_missing=vector_missing,
+        vector_missing=F.coalesce("vector_missing", F.lit(False)),
     )
     key = ["channel_id", "position", "video_id"]
     results = worked.select(*key, status.alias("status"))
-    skipped = recent.join(found.select("ord", "position"), ["ord", "position"], "left_anti")
+    skipped = recent.join(found.select(*place), place, "left_anti")
     results = results.unionByName(skipped.select(*key, F.lit(out.ALREADY_PROCESSED).alias("status")))
     if landing.failed_channels is not None:
         broken = enabled(landing.channels).join(landing.failed_channels, "channel_id", "left_semi")

@@ -1,7 +1,8 @@
 """The transcript store: Parquet files in folders of hashed point ids.
 
 ``<root>/settings`` holds the vector size and the number of buckets, ``<root>/points``
-the rows. Point ids are hashes, so buckets are even whatever the videos are.
+the rows. Point ids are hashes, so buckets are even whatever the videos are. Choose the
+number of buckets so that one of them is cheap to rewrite, some gigabytes.
 """
 
 from __future__ import annotations
@@ -79,22 +80,27 @@ class Store:
     def upsert(self, points: DataFrame) -> None:
         """Replace points with the same id and add the others.
 
-        Only buckets that receive a point are read and rewritten. The old files of a
-        bucket stay until the job commits, so a failed run can simply be run again.
+        New ids are appended. Only buckets that hold a replaced id are read and written
+        again; their old files stay until the job commits. A failed run can simply be run
+        again: what it added is then replaced by itself.
         """
+        key = ["bucket", "point_id"]
         fresh = staged(self._accepted(last_write(points)), "upsert")
+        known = staged(self.read().select(*key).join(fresh.select(*key), key, "left_semi"), "known")
         # At most `buckets` numbers, a setting of the store.
-        touched = [r[0] for r in fresh.select("bucket").distinct().collect()]
-        if not touched:
-            return
-        merged = replaced(self.read().where(F.col("bucket").isin(touched)), fresh, ["bucket", "point_id"])
-        (
-            self._laid_out(merged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
-            .parquet(self.path)
-        )
+        touched = [row["bucket"] for row in known.select("bucket").distinct().collect()]
+        if touched:
+            changed = fresh.join(known, key, "left_semi")
+            whole = replaced(self.read().where(F.col("bucket").isin(touched)), changed, key)
+            (
+                self._laid_out(whole)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("bucket")
+                .parquet(self.path)
+            )
+        added = fresh.join(known, key, "left_anti")
+        self._laid_out(added).write.mode("append").partitionBy("bucket").parquet(self.path)
 
 
 def points(

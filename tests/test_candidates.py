@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from talklake.operators import candidates as cand, enrich, registry
 from talklake.schemas import CHANNELS, DETAILS, LISTING
-from talklake.sources.landing import conform
+from talklake.sources.landing import conform, read
 
 AS_OF = datetime(2026, 3, 1, 6, 30)
 
@@ -137,6 +137,16 @@ def test_registry(channels, one):
         assert one(registry.listing_url(F.lit(handle))) == f"https://www.youtube.com/{page}"
 
 
+def test_registry_from_json(spark, tmp_path):
+    path = tmp_path / "channels.json"
+    path.write_text('{"ord": 0, "channel_id": "@a", "name": "A", "other": 1}\n{"ord": 1, "channel_id": "@b", "name": "B", "enabled": false, "metadata_tags": ["x"]}\n')
+    rows = registry.with_defaults(read(spark, "channels", str(path), "json")).orderBy("ord").collect()
+    assert [(r["enabled"], r["max_age_days"], r["max_videos_per_run"], r["metadata_tags"]) for r in rows] == [
+        (True, 30, 5, []),
+        (False, 30, 5, ["x"]),
+    ]
+
+
 def test_conform_fills_missing_columns(spark):
     row = conform(spark.createDataFrame([("v", "t", 3)], "video_id string, track_id string, seq long"), "segments").first()
     assert row["text"] is None and row["seq"] == 3
