@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import glob
 import os
+import re
 import zipfile
 from collections.abc import Iterable
 
@@ -45,7 +46,9 @@ def words(text: Column) -> Column:
 
 def content_words(text: Column, stop_words: Iterable[str] | None = None) -> Column:
     """``words`` without stop words."""
-    stop = list(english_stop_words() if stop_words is None else stop_words)
+    listed = english_stop_words() if stop_words is None else stop_words
+    # A token is made of two or more letters, so no other entry can match one.
+    stop = [w for w in listed if re.fullmatch("[a-z]{2,}", w)]
     if not stop:
         return words(text)
     return F.filter(

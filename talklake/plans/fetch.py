@@ -93,6 +93,7 @@ def fetch(
     batch_id: str | None = None,
     number_start: int = 1,
     prefix: str = markdown.FILE_PREFIX,
+    generator: str = markdown.GENERATOR,
     once_per_run: bool = True,
 ) -> Run:
     """Process the recent videos that are not stored yet. Writes only scratch tables.
@@ -138,6 +139,6 @@ def fetch(
         candidates=todo,
         outcomes=results.select(F.lit(batch).alias("batch_id"), *key, "status"),
         videos=videos,
-        documents=docs.rendered(videos, as_of, batch, prefix),
+        documents=docs.rendered(videos, as_of, batch, prefix, generator),
         points=points(videos, as_of, batch),
     )
