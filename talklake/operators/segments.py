@@ -1,8 +1,8 @@
 """Caption tracks and their segments.
 
-A video's segments are handled in blocks of consecutive ``seq``: cleaning, sorting and
-comparing neighbours happen per block, and only each block's last text crosses to the
-next. One very long video is therefore spread over many tasks.
+A video's segments are handled in blocks of consecutive ``seq``: sorting and comparing
+neighbours happen per block, and only each block's last text crosses to the next. One
+very long video is therefore spread over many tasks.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from talklake.functions.arrays import exploded, let
 from talklake.functions.text import clean_segment, squeeze
 
 BLOCK = 2048
@@ -38,80 +37,49 @@ def chosen_segments(segments: DataFrame, tracks: DataFrame) -> DataFrame:
     return segments.join(tracks.select("video_id", "track_id"), ["video_id", "track_id"], "left_semi")
 
 
-def _cleaned(items: Column) -> Column:
-    """Clean the texts of ``struct(seq, text)`` items, drop blanks and repeats."""
-    texts = F.transform(
-        items,
-        lambda x: F.struct(
-            x["seq"].alias("seq"), clean_segment(F.coalesce(x["text"], F.lit(""))).alias("text")
-        ),
-    )
-    return let(
-        F.filter(texts, lambda x: x["text"] != ""),
-        lambda xs: F.filter(xs, lambda x, i: (i == 0) | (x["text"] != F.get(xs, i - 1)["text"])),
-    )
-
-
-def _blocks(segments: DataFrame, block: int) -> DataFrame:
-    """One row per video and block: ``items`` holds the cleaned ``struct(seq, text)`` in order.
+def _kept(segments: DataFrame, block: int) -> DataFrame:
+    """``(video_id, block, seq, text)`` of the segments that stay.
 
-    Texts are cleaned after they are grouped: a filter on the cleaned text would be
-    pushed down to rows that a later join drops, and computed twice.
+    Blank segments are NULL until the neighbours are known, so they do not break a run.
+    The texts are shuffled once, by video and block; the blocks' last texts, the only rows
+    that meet per video, are taken from that same shuffle and joined back to it.
     """
-    items = F.sort_array(F.collect_list(F.struct("seq", "text")))
-    # Without this filter a join on the blocks would add it on one side only, and the
-    # two sides could not share one shuffle.
-    keyed = segments.select("video_id", F.floor(F.col("seq") / block).alias("block"), "seq", "text")
+    text = F.nullif(clean_segment(F.coalesce("text", F.lit(""))), F.lit(""))
+    keyed = segments.select(
+        "video_id", F.floor(F.col("seq") / block).alias("block"), "seq", text.alias("text")
+    ).where("video_id is not null and block is not null")
+    in_block = "(partition by video_id, block order by seq)"
+    marked = keyed.withColumns(
+        {
+            "prev": F.expr(f"lag(text, 1) ignore nulls over {in_block}"),
+            "next": F.expr(f"lead(text, 1) ignore nulls over {in_block}"),
+        }
+    ).where("text is not null")
+    edges = marked.where("next is null").select("video_id", "block", F.col("text").alias("last"))
+    earlier = F.lag("last").over(W.partitionBy("video_id").orderBy("block"))
+    before = edges.select("video_id", "block", earlier.alias("before"))
+    previous = F.coalesce("prev", "before")
     return (
-        keyed.where("video_id is not null and block is not null")
-        .groupBy("video_id", "block")
-        .agg(items.alias("items"))
-        .select("video_id", "block", _cleaned(F.col("items")).alias("items"))
+        marked.join(before, ["video_id", "block"])
+        .where(previous.isNull() | (F.col("text") != previous))
+        .select("video_id", "block", "seq", "text")
     )
 
 
-def _last_text(items: Column) -> Column:
-    """A block's last kept text is its last text, as only repeats of it were dropped."""
-    return F.get(items, F.size(items) - 1)["text"]
-
-
-def _before(last: Column) -> Column:
-    """The last text before a block; blocks of blanks do not break a run."""
-    earlier = W.partitionBy("video_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    return F.last(last, ignorenulls=True).over(earlier)
-
-
-def _kept() -> Column:
-    """A block's items without a first one that repeats the text ``before`` the block."""
-    repeat = F.get("items", F.lit(0))["text"] == F.col("before")
-    return F.when(repeat, F.slice("items", F.lit(2), F.size("items"))).otherwise(F.col("items"))
-
-
 def clean_segments(segments: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Cleaned segments without blanks and without consecutive repeats, one row each.
-
-    Only the last texts of the blocks are brought together per video; they are joined
-    back to blocks that are already partitioned by the join key.
-    """
-    blocks = _blocks(segments, block)
-    edges = blocks.select("video_id", "block", _last_text(F.col("items")).alias("last"))
-    before = edges.select("video_id", "block", _before(F.col("last")).alias("before"))
-    rows = blocks.join(before, ["video_id", "block"]).select(
-        "video_id", exploded(_kept()).alias("kept")
-    )
-    return rows.where("kept is not null").select("video_id", "kept.seq", "kept.text")
+    """Cleaned segments without blanks and without consecutive repeats, one row each."""
+    return _kept(segments, block).drop("block")
 
 
 def transcripts(segments: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One clean text per video; empty when all its segments are blank.
+    """One clean text per video that has text, joined block by block.
 
-    The result is one value per video, so here whole blocks are brought together.
+    Blocks are already together after cleaning; only their joined texts are shuffled
+    again, to become one value per video.
     """
-    blocks = _blocks(segments, block).withColumn("last", _last_text(F.col("items")))
-    kept = blocks.withColumn("before", _before(F.col("last"))).withColumn("kept", _kept())
-    words = squeeze(F.array_join(F.transform("kept", lambda x: x["text"]), " "))
-    # array_join leaves out NULLs, so blocks without text add no blank.
-    parts = kept.select("video_id", "block", F.nullif(words, F.lit("")).alias("text"))
+    lines = F.sort_array(F.collect_list(F.struct("seq", "text")))
+    joined = F.array_join(F.transform(lines, lambda x: x["text"]), " ")
+    parts = _kept(segments, block).groupBy("video_id", "block").agg(squeeze(joined).alias("text"))
     ordered = F.sort_array(F.collect_list(F.struct("block", "text")))
     return parts.groupBy("video_id").agg(
         F.array_join(F.transform(ordered, lambda x: x["text"]), " ").alias("transcript")
