@@ -57,29 +57,29 @@ def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
     return query[keep], ids[keep], scores[keep]
 
 
-def _exact_pairs(vectors: np.ndarray, queries: np.ndarray, k: int):
-    """Row, query and score of all pairs that may be among a batch's best ``k``."""
-    n = len(vectors)
-    step = max(1, SCORE_CELLS // max(n, 1))
-    for at in range(0, len(queries), step):
-        scores = np.round(vectors @ queries[at : at + step].T, SCORE_DIGITS)
-        if n > k:
-            least = np.partition(scores, n - k, axis=0)[n - k]
-            rows, cols = np.nonzero(scores >= least)
-        else:
-            rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-        yield rows, cols + at, scores[rows, cols]
-
-
-def _bucket_pairs(vectors, queries, row_buckets, query_buckets):
-    """Row, query and score of all pairs that share a bucket in some table."""
-    step = max(1, SCORE_CELLS // max(row_buckets.size, 1))
+def _pairs(vectors, queries, k, row_buckets=None, query_buckets=None):
+    """Row, query and score of all pairs that may be among a batch's best ``k``.
+
+    With buckets, rows that share none with any query are not scored, and pairs that
+    share none are left out.
+    """
+    width = 1 if row_buckets is None else row_buckets.shape[1]
+    step = max(1, SCORE_CELLS // max(len(vectors) * width, 1))
     for at in range(0, len(queries), step):
-        near = (row_buckets[:, None, :] == query_buckets[None, at : at + step, :]).any(axis=2)
-        rows, cols = np.nonzero(near)
+        part = slice(at, at + step)
+        places = np.arange(len(vectors))
+        if row_buckets is not None:
+            near = (row_buckets[:, None, :] == query_buckets[None, part, :]).any(axis=2)
+            places = np.flatnonzero(near.any(axis=1))
+        scores = np.round(vectors[places] @ queries[part].T, SCORE_DIGITS)
+        if row_buckets is not None:
+            scores[~near[places]] = -np.inf
+        wanted = scores > -np.inf
+        if len(places) > k:
+            wanted &= scores >= np.partition(scores, len(places) - k, axis=0)[len(places) - k]
+        rows, cols = np.nonzero(wanted)
         if len(rows):
-            scores = np.einsum("ij,ij->i", vectors[rows], queries[cols + at])
-            yield rows, cols + at, np.round(scores, SCORE_DIGITS)
+            yield places[rows], cols + at, scores[rows, cols]
 
 
 def _scan(corpus: DataFrame, chunk: list, k: int, id_col: str, schema: T.StructType, bucketed: bool) -> DataFrame:
@@ -100,16 +100,15 @@ def _scan(corpus: DataFrame, chunk: list, k: int, id_col: str, schema: T.StructT
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = np.asarray(batch.column(0).to_pylist())
             vectors = _unit(_matrix(batch.column(1), dim))
+            buckets = ()
             if bucketed:
                 width = queries["buckets"].shape[1]
-                rows_buckets = _matrix(batch.column(2), width, np.int64)
-                pairs = _bucket_pairs(vectors, queries["unit"], rows_buckets, queries["buckets"])
-            else:
-                pairs = _exact_pairs(vectors, queries["unit"], k)
+                buckets = (_matrix(batch.column(2), width, np.int64), queries["buckets"])
+            pairs = _pairs(vectors, queries["unit"], k, *buckets)
             for rows, cols, scores in pairs:
-                found = (cols, ids[rows], scores)
+                ids = np.asarray(batch.column(0).take(pa.array(rows)).to_pylist())
+                found = (cols, ids, scores)
                 if best is not None:
                     found = tuple(np.concatenate(pair) for pair in zip(best, found))
                 best = _best(*found, k)

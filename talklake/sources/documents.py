@@ -11,15 +11,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from talklake.functions.markdown import FILE_PREFIX
 
 
-def write_table(docs: DataFrame, path: str, mode: str = "append") -> None:
-    docs.write.mode(mode).partitionBy("batch_id").parquet(path)
+def _replace_partitions(docs: DataFrame, column: str):
+    """A writer that replaces only the folders it writes, so a rerun does not add rows."""
+    writer = docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return writer.partitionBy(column)
 
 
-def write_files(docs: DataFrame, path: str, mode: str = "append") -> None:
+def write_table(docs: DataFrame, path: str) -> None:
+    """Documents as a table with one folder per batch; a batch written again is replaced."""
+    _replace_partitions(docs, "batch_id").parquet(path)
+
+
+def write_files(docs: DataFrame, path: str) -> None:
     """One text file per document, in a folder ``filename=<name>``."""
-    docs.select("filename", F.col("content").alias("value")).write.mode(mode).partitionBy(
-        "filename"
-    ).text(path)
+    named = docs.select("filename", F.col("content").alias("value"))
+    _replace_partitions(named, "filename").text(path)
 
 
 def write_plain(docs: DataFrame, root: str) -> int:

@@ -66,6 +66,11 @@ def test_recent_videos(listing, channels):
     assert two["description"] == "" and two["chapters"] == []
 
 
+def test_order_of_rows_does_not_matter(listing, channels):
+    rows = lambda df: sorted(cand.recent_videos(df, channels, AS_OF).drop("chapters").collect(), key=str)
+    assert rows(listing) == rows(listing.orderBy(F.desc("id")).repartition(7))
+
+
 def test_age_limit_is_inclusive(spark):
     rows = spark.createDataFrame([(AS_OF - timedelta(days=3),), (AS_OF - timedelta(days=3, seconds=1),)], "p timestamp_ntz")
     assert rows.where(cand.young_enough(F.col("p"), AS_OF, F.lit(3))).count() == 1

@@ -85,14 +85,17 @@ def test_files_round_trip(spark):
     assert files.write_plain(rendered, plain) == 2
     assert {tuple(r) for r in files.read_plain(spark, plain).collect()} == want
     assert files.read_plain(spark, plain, "OTHER").count() == 0
-    files.write_files(rendered, parted)
+    for _ in range(2):
+        files.write_files(rendered, parted)
     assert {tuple(r) for r in files.read_files(spark, parted).collect()} == want
     assert files.read_files(spark, parted, "OTHER").count() == 0
     names = [r["filename"] for r in files.by_name(files.read_plain(spark, plain)).collect()]
     assert names == sorted(names)
     table = scratch_path(spark, "table")
-    files.write_table(rendered, table)
-    assert spark.read.parquet(table).count() == 2
+    for _ in range(2):
+        files.write_table(rendered, table)
+    files.write_table(docs.rendered(videos(spark), AS_OF, "batch-next"), table)
+    assert spark.read.parquet(table).count() == 4
 
 
 def test_manifest(spark):
