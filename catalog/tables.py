@@ -228,7 +228,7 @@ def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     empty = F.array().cast("array<struct<start_time:double,end_time:double,title:string>>")
-    return table(spark, sf_dir, "events").select(
+    return wide(spark, sf_dir, "events", "event_id", "event_type", "value", "props").select(
         "event_id",
         F.concat(F.lit("About\n"), start, F.lit("\n"), odd).alias("description"),
         F.when(F.col("event_type").isin("purchase", "view"), native).otherwise(empty).alias("chapters"),
