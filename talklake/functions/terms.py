@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
 import re
-import zipfile
 from collections.abc import Iterable
 
-import pyspark
 from pyspark.sql import Column, functions as F
 
 from talklake.functions.arrays import let, neighbours
+from talklake.functions.stop_words import ENGLISH
 from talklake.functions.text import keyword_text
 
 # --- fixed values: words that say nothing about a talk's topic ----------------------
@@ -26,17 +22,9 @@ DOMAIN_STOP_WORDS = (
 # -------------------------------------------------------------------------------------
 
 
-@functools.cache
 def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's English stop words, read from the jar so that no session is needed."""
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if jars:
-        with zipfile.ZipFile(jars[0]) as jar:
-            text = jar.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-        return tuple(text.split())
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+    """Spark ML's English stop words."""
+    return tuple(ENGLISH.split())
 
 
 def words(text: Column) -> Column:
