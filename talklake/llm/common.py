@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -66,7 +68,7 @@ def text_sizes(texts: pa.Array) -> np.ndarray:
 
 
 def by_slices(
-    work: Callable[[pa.RecordBatch], pa.RecordBatch | None], text: str = "text"
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None], text: str = "text", limit: int = SLICE_BYTES
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function that gives ``work`` slices of bounded text size."""
 
@@ -74,13 +76,19 @@ def by_slices(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            for start, stop in slices(text_sizes(batch.column(text))):
+            for start, stop in slices(text_sizes(batch.column(text)), limit):
                 if (out := work(batch.slice(start, stop - start))) is not None:
                     yield out
 
     return run
 
 
+def worker_state(name: str) -> dict:
+    """A dictionary of this Python worker that outlives a task, for what is dear to build again."""
+    holder = sys.modules.setdefault("_talklake_worker_state", types.ModuleType("_talklake_worker_state"))
+    return holder.__dict__.setdefault(name, {})
+
+
 def extended(schema: StructType, more: str) -> StructType:
     """``schema`` with further fields, given as DDL."""
     return StructType([*schema.fields, *StructType.fromDDL(more).fields])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talklake.llm import chat, decontaminate, language, quality, reshard
+from talklake.llm import bpe, chat, decontaminate, language, quality, reshard
 from talklake.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,17 @@ def op5_resharding(spark, sf_dir):
     )
 
 
+def tokenizer() -> tuple[str, str]:
+    """Path and pattern of the byte-level vocabulary; neither is part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op6_bpe(spark, sf_dir):
+    return bpe.round_trip(documents(spark, sf_dir), *tokenizer())
+
+
 def op7_language(spark, sf_dir):
     """Languages learned from three quarters of the documents, predicted for all."""
     docs = documents(spark, sf_dir, "lang")
@@ -72,7 +83,7 @@ def op9_chat(spark, sf_dir):
 
 
 ALL: dict[str, Query] = {
-    f.__name__: f for f in (op2_decontamination, op5_resharding, op7_language, op8_quality, op9_chat)
+    f.__name__: f for f in (op2_decontamination, op5_resharding, op6_bpe, op7_language, op8_quality, op9_chat)
 }
 
 
