@@ -70,3 +70,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR 2 * n_digits > word_chars OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
 FROM judged
 """
+
+SQL["op3_suffix_dedup"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT r, doc_id, p, substr(h, 2 * p + 1, 100) AS s
+  FROM docs, unnest(range(greatest(length(h) // 2 - 49, 0))) AS t(p)),
+later AS (
+  SELECT r, p FROM (SELECT r, p, doc_id, min(doc_id) OVER (PARTITION BY s) AS least FROM windows)
+  WHERE doc_id > least),
+marked AS (SELECT r, p, p - lag(p) OVER (PARTITION BY r ORDER BY p) AS gap FROM later),
+grouped AS (SELECT r, p, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS g FROM marked),
+spans AS (SELECT r, g, min(p) AS a, max(p) + 50 AS b FROM grouped GROUP BY r, g),
+sized AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, CAST(count(*) AS BIGINT) AS n_spans FROM spans GROUP BY r),
+ends AS (
+  SELECT r, b AS k, coalesce(lead(a) OVER (PARTITION BY r ORDER BY a), 1000000000) AS e FROM spans
+  UNION ALL SELECT r, 0, min(a) FROM spans GROUP BY r),
+kept AS (SELECT r, string_agg(substr(h, 2 * k + 1, 2 * (e - k)), '' ORDER BY k) AS h FROM ends JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(docs.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, docs.h))) AS kept_sha256
+FROM docs LEFT JOIN sized USING (r) LEFT JOIN kept USING (r)
+"""

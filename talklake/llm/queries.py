@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talklake.llm import bpe, chat, decontaminate, language, quality, reshard
+from talklake.llm import bpe, chat, decontaminate, language, privacy, quality, reshard, suffix_dedup, token_counts
 from talklake.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,12 +19,29 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
 
 
+def tokenizer() -> tuple[str, str]:
+    """Path and pattern of the byte-level vocabulary; neither is part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op2_decontamination(spark, sf_dir):
     """Every document against every benchmark item."""
     found = decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return decontaminate.report(found)
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    """Repeated strings of 50 bytes over all documents."""
+    return suffix_dedup.report(suffix_dedup.deduplicate(documents(spark, sf_dir)))
+
+
+def op4_token_counts(spark, sf_dir):
+    """Tokens of every document and of each of its lines."""
+    return token_counts.report(token_counts.token_counts(documents(spark, sf_dir), *tokenizer()))
+
+
 def op5_resharding(spark, sf_dir):
     """All documents from twelve shards by source to sixteen of equal bytes."""
     docs = documents(spark, sf_dir, "source")
@@ -47,13 +64,6 @@ def op5_resharding(spark, sf_dir):
     )
 
 
-def tokenizer() -> tuple[str, str]:
-    """Path and pattern of the byte-level vocabulary; neither is part of this repository."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-
-
 def op6_bpe(spark, sf_dir):
     return bpe.round_trip(documents(spark, sf_dir), *tokenizer())
 
@@ -82,8 +92,24 @@ def op9_chat(spark, sf_dir):
     return chat.report(chat.format_conversations(rows))
 
 
+def op10_privacy(spark, sf_dir):
+    """Personal data and the terms that disclose it, in every document."""
+    return privacy.report(privacy.personal_data(documents(spark, sf_dir)))
+
+
 ALL: dict[str, Query] = {
-    f.__name__: f for f in (op2_decontamination, op5_resharding, op6_bpe, op7_language, op8_quality, op9_chat)
+    f.__name__: f
+    for f in (
+        op2_decontamination,
+        op3_suffix_dedup,
+        op4_token_counts,
+        op5_resharding,
+        op6_bpe,
+        op7_language,
+        op8_quality,
+        op9_chat,
+        op10_privacy,
+    )
 }
 
 
