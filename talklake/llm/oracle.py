@@ -91,3 +91,22 @@ SELECT doc_id, CAST(length(docs.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_remove
   coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, docs.h))) AS kept_sha256
 FROM docs LEFT JOIN sized USING (r) LEFT JOIN kept USING (r)
 """
+
+SQL["op1_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT r, md5_number(array_to_string(w[i + 1 : i + 4], ' ')) AS g
+  FROM words, unnest(range(greatest(len(w) - 3, 1))) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2),
+linked AS (
+  SELECT a, b FROM common JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS MATERIALIZED (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reached AS (SELECT r AS a, r AS b FROM sizes UNION SELECT reached.a, edges.b FROM reached JOIN edges ON reached.b = edges.a),
+least AS (SELECT reached.a AS r, min(doc_id) AS component_id FROM reached JOIN words ON words.r = reached.b GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM words LEFT JOIN sizes USING (r) LEFT JOIN least USING (r)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talklake.llm import bpe, chat, decontaminate, language, privacy, quality, reshard, suffix_dedup, token_counts
+from talklake.llm import bpe, chat, decontaminate, language, ngram_join, privacy, quality, reshard, suffix_dedup, token_counts
 from talklake.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_ngram_join(spark, sf_dir):
+    """Components of documents whose sets of four-word shingles are similar to 85 in 100."""
+    return ngram_join.link_components(documents(spark, sf_dir))
+
+
 def op2_decontamination(spark, sf_dir):
     """Every document against every benchmark item."""
     found = decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -100,6 +105,7 @@ def op10_privacy(spark, sf_dir):
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_ngram_join,
         op2_decontamination,
         op3_suffix_dedup,
         op4_token_counts,
