@@ -411,15 +411,15 @@ def one_per_group(
     """
     rows = _grouped(docs, text, doc_id, size, similarity)
     chosen = rows.where("n > 0").groupBy("root").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "tag")).alias("m"))
-    kept = chosen.select(F.col("m.doc").alias("_doc"), F.col("m.tag").alias("_tag")).unionByName(
-        rows.where("n = 0").select(F.col("doc").alias("_doc"), F.col("tag").alias("_tag"))
+    kept = chosen.select(F.col("m.doc").alias("__doc"), F.col("m.tag").alias("__tag")).unionByName(
+        rows.where("n = 0").select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"))
     )
     # Nulls are spelled out, so that the join below is an equality of plain values.
     key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    kept = kept.select(key(F.col("_doc")).alias("_key"), "_tag").distinct()
-    keyed = docs.withColumn("_key", key(F.col(f"`{doc_id}`").cast("bigint"))).withColumn("_tag", F.xxhash64(F.col(f"`{text}`")))
+    kept = kept.select(key(F.col("__doc")).alias("__key"), "__tag").distinct()
+    keyed = docs.withColumn("__key", key(F.col(f"`{doc_id}`").cast("bigint"))).withColumn("__tag", F.xxhash64(F.col(f"`{text}`")))
     # The join has dealt the rows by the same columns.
-    return keyed.join(kept, ["_key", "_tag"]).dropDuplicates(["_key", "_tag"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return keyed.join(kept, ["__key", "__tag"]).dropDuplicates(["__key", "__tag"]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _links(own: DataFrame, listed: DataFrame, numbered: DataFrame, size: int, similarity: int) -> DataFrame:

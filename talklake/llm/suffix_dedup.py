@@ -324,24 +324,24 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", len
 
     The result holds no text twice: use ``kept_bytes`` on text and ranges for what remains.
     """
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("removed", "_doc", "_tag")))
+    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "removed"))
     # The tag tells rows with equal ids and different texts apart.
-    keyed = kept.withColumn("_doc", F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID))).withColumn(
-        "_tag", F.shiftrightunsigned(F.xxhash64(F.col(f"`{text}`")), 42)
-    )
-    own = keyed.select(F.col("_doc").alias("doc"), F.col("_tag").alias("tag"), F.col(f"`{text}`").alias("text"))
-    spans = repeated_ranges(own.where(F.octet_length("text") >= length), length)
-    joined = keyed.join(spans, (F.col("_doc") == F.col("doc")) & (F.col("_tag") == F.col("tag")), "left")
+    doc = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID))
+    tag = F.shiftrightunsigned(F.xxhash64(F.col(f"`{text}`")), 42)
+    own = kept.select(doc.alias("doc"), tag.alias("tag"), F.col(f"`{text}`").alias("text"))
+    found = repeated_ranges(own.where(F.octet_length("text") >= length), length)
+    spans = found.toDF("__doc", "__tag", "__spans")
+    joined = kept.withColumns({"__doc": doc, "__tag": tag}).join(spans, ["__doc", "__tag"], "left")
     schema = extended(kept.schema, "removed array<struct<start:bigint,end:bigint>>")
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            merged = [_joined(s.values) if s.is_valid else [] for s in batch.column("spans")]
+            merged = [_joined(s.values) if s.is_valid else [] for s in batch.column("__spans")]
             columns = [batch.column(f.name) for f in schema.fields[:-1]] + [pa.array(merged, span_type)]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
-    columns = [*(F.col(f"`{c}`") for c in kept.columns), "spans"]
+    columns = [*(F.col(f"`{c}`") for c in kept.columns), "__spans"]
     return joined.select(*columns).mapInArrow(run, schema)
 
 
