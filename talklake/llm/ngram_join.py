@@ -36,8 +36,8 @@ SLACK = 1.3
 DENSITY = 16
 #: Distinct sets a worker remembers so as to list the blocks of copies once.
 SEEN = 1 << 19
-#: Members of a bucket that are compared with each other at once.
-TILE = 512
+#: Members of buckets a worker gathers, and pairs of them it compares at once.
+ROWS, PAIRS = 20_000, 1 << 19
 _BAND = np.uint64(31)
 
 
@@ -272,61 +272,103 @@ def _linked(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(2)], names=["a", "b"])
 
 
+def _folded_rows(ids: np.ndarray, sketches: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """One folded sketch per distinct id, and the place of each row's id among them."""
+    _, first, place = np.unique(ids, return_index=True, return_inverse=True)
+    matrix = np.stack([folded(np.frombuffer(sketches[i], np.uint8), bits) for i in first])
+    return matrix.view(np.uint64), place
+
+
+def _distances(matrix: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(a), np.int64)
+    for k in range(matrix.shape[1]):
+        out += np.bitwise_count(matrix[a, k] ^ matrix[b, k])
+    return out
+
+
+def _inside(start: np.ndarray, end: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one bucket, the first of them among ``low .. high``; a bucket's first row has been compared."""
+    first = np.arange(low, high)
+    first = first[first > start[low:high]]
+    count = end[first] - first - 1
+    a = np.repeat(first, count)
+    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+    return a, b
+
+
 def _foreign(batches: Iterator[pa.RecordBatch], similarity: int, best: bool) -> Iterator[pa.RecordBatch]:
-    """Near pairs of different components in each bucket; rows come bucket by bucket.
+    """Near pairs of different components in each bucket; rows come bucket by bucket, by id.
 
-    With ``best``, each member's nearest one of each foreign component only. A bucket is compared in tiles.
+    With ``best``, of each member and foreign component the nearest pair only. Pairs exist in blocks of bounded
+    size, and only near ones leave the task.
     """
 
-    def compared(rows: list[tuple]) -> list[tuple[int, int]]:
-        band = int(rows[0][0]) & 31
-        bits = dense_bits(band, similarity)
-        ids, n, root = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-        sketches = np.stack([folded(np.frombuffer(r[4], np.uint8), bits) for r in rows]).view(np.uint64)
-        out = []
-        for low in range(0, len(rows), TILE):
-            mine = slice(low, low + TILE)
-            nearest: dict[tuple[int, int], tuple[int, int]] = {}
-            for other in range(0, len(rows), TILE):
-                if not best and other < low:
-                    continue
-                theirs = slice(other, other + TILE)
-                distance = np.zeros((len(ids[mine]), len(ids[theirs])), np.int64)
-                for k in range(sketches.shape[1]):
-                    distance += np.bitwise_count(sketches[mine, k][:, None] ^ sketches[theirs, k][None, :])
-                a, b = n[mine][:, None], n[theirs][None, :]
-                fits = (root[mine][:, None] != root[theirs][None, :]) & (distance <= furthest(a, b, similarity))
-                fits &= 100 * np.minimum(a, b) >= similarity * np.maximum(a, b)
-                x, y = np.nonzero(fits)
-                if not best:
-                    out += zip(ids[mine][x].tolist(), ids[theirs][y].tolist(), strict=True)
-                    continue
-                for i, j, d in zip(x.tolist(), y.tolist(), distance[x, y].tolist(), strict=True):
-                    key = (i, int(root[theirs][j]))
-                    if key not in nearest or (d, int(ids[theirs][j])) < nearest[key]:
-                        nearest[key] = (d, int(ids[theirs][j]))
-            out += [(int(ids[mine][i]), j) for (i, _), (_, j) in nearest.items()]
-        return [(max(p), min(p)) for p in out]
-
-    def given(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
-        ordered = sorted(pairs)
-        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in ordered], pa.int64()) for i in range(2)], names=["a", "b"])
-
-    bucket, found = [], set()
+    def near(rows: dict[str, np.ndarray], sketches: list[bytes]) -> pa.RecordBatch | None:
+        key, ids, n, root = (rows[c] for c in ("key", "id", "n", "root"))
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        begins = np.flatnonzero(fresh)
+        bucket = np.cumsum(fresh) - 1
+        start, end = begins[bucket], np.append(begins[1:], len(key))[bucket]
+        found: list[np.ndarray] = []
+        for band in np.unique(key & 31):
+            mine = np.flatnonzero((key & 31) == band)
+            matrix, place = _folded_rows(ids[mine], [sketches[i] for i in mine], dense_bits(int(band), similarity))
+            at = np.zeros(len(key), np.int64)
+            at[mine] = place
+            reach = np.cumsum(np.where((key & 31) == band, end - np.arange(len(key)) - 1, 0))
+            low = 0
+            while low < len(key):
+                base = reach[low - 1] if low else 0
+                high = max(low + 1, int(np.searchsorted(reach, base + PAIRS, side="right")))
+                a, b = _inside(start, end, low, high)
+                low = high
+                keep = ((key[a] & 31) == band) & (root[a] != root[b])
+                keep &= 100 * np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b])
+                a, b = a[keep], b[keep]
+                distance = _distances(matrix, at[a], at[b])
+                keep = distance <= furthest(n[a], n[b], similarity)
+                a, b, distance = a[keep], b[keep], distance[keep]
+                if best and len(a):
+                    chosen = [_nearest(ids[x], root[y], distance, ids[y]) for x, y in ((a, b), (b, a))]
+                    keep = np.unique(np.concatenate(chosen))
+                    a, b = a[keep], b[keep]
+                if len(a):
+                    found.append(np.unique(np.stack((np.maximum(ids[a], ids[b]), np.minimum(ids[a], ids[b])), 1), axis=0))
+        if not found:
+            return None
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+    waiting: list[pa.RecordBatch] = []
+    count = 0
     for batch in batches:
-        columns = (batch.column(n).to_pylist() for n in ("key", "id", "n", "root", "sketch"))
-        for row in zip(*columns, strict=True):
-            if bucket and bucket[0][0] != row[0]:
-                found.update(compared(bucket))
-                bucket = []
-            bucket.append(row)
-            if len(found) > 100_000:
-                yield given(found)
-                found = set()
-    if bucket:
-        found.update(compared(bucket))
-    if found:
-        yield given(found)
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        count += batch.num_rows
+        if count < ROWS:
+            continue
+        # The last bucket may go on in the next batch.
+        table = pa.Table.from_batches(waiting)
+        key = table["key"].to_numpy()
+        cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
+        waiting = table.slice(cut).combine_chunks().to_batches()
+        count = len(key) - cut
+        if cut and (out := near(*_rows(table.slice(0, cut)))) is not None:
+            yield out
+    if waiting and (out := near(*_rows(pa.Table.from_batches(waiting)))) is not None:
+        yield out
+
+
+def _nearest(member: np.ndarray, component: np.ndarray, distance: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Places of the nearest pair of each member and component; of equals that with the smallest id."""
+    order = np.lexsort((other, distance, component, member))
+    m, c = member[order], component[order]
+    return order[np.concatenate(([True], (m[1:] != m[:-1]) | (c[1:] != c[:-1])))]
+
+
+def _rows(table: pa.Table) -> tuple[dict[str, np.ndarray], list[bytes]]:
+    return {c: table[c].to_numpy() for c in ("key", "id", "n", "root")}, table["sketch"].to_pylist()
 
 
 def _applied(df: DataFrame, work, schema: str, *arguments) -> DataFrame:
@@ -431,26 +473,40 @@ def _links(own: DataFrame, listed: DataFrame, numbered: DataFrame, size: int, si
     # Copies meet in their first row.
     distinct = shared.join(numbered.select("row", "id"), "row").select("key", "id").distinct()
     per_key = W.partitionBy("key")
-    buckets = written(
-        distinct.select("key", "id", F.min("id").over(per_key).alias("low"), F.max("id").over(per_key).alias("high"))
-        .where("low < high")
-        .select("key", "id", "low"),
-        "buckets",
+    counted = distinct.select(
+        "key", "id", F.min("id").over(per_key).alias("low"), F.count("*").over(per_key).alias("size")
     )
+    buckets = written(counted.where("size > 1"), "buckets")
     wanted = buckets.select("id").distinct().join(numbered.where("row = id").select("id", "doc", "tag"), "id")
     texts = wanted.join(own, wanted["doc"].eqNullSafe(own["doc"]) & (wanted["tag"] == own["tag"])).select("id", "text")
     stored = written(_applied(texts, _stored, _STORED, size, similarity), "stored")
-    # Every member with its bucket's smallest one; the nearest of these is verified.
+    # Every member with its bucket's smallest one: the nearest of these is verified first, then what the
+    # links found so far leave open.
     stars = buckets.where("id > low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-    near = _applied(_with_both(stars, stored, "n", "sketch"), _near, "a bigint, b bigint, distance bigint", similarity)
+    near = written(
+        _applied(_with_both(stars, stored, "n", "sketch"), _near, "a bigint, b bigint, distance bigint", similarity), "near"
+    )
     nearest = near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
     links = written(_verified(nearest, stored, similarity), "links")
+    rest = _across(near.select("a", "b"), components(links))
+    links = links.unionByName(written(_verified(rest, stored, similarity), "links"))
+    # A bucket of two is done. In larger ones, the pairs without the smallest member are open.
+    larger = buckets.where("size > 2").select("key", "id")
     for best in (True, False):
-        labels = components(links)
-        rows = buckets.join(labels, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-        mixed_keys = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        open_ = rows.join(mixed_keys.select("key"), "key").join(stored.select("id", "n", "sketch"), "id")
+        rows = larger.join(components(links), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+        several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        open_ = rows.join(several.select("key"), "key").join(stored.select("id", "n", "sketch"), "id")
         by_key = open_.repartition("key").sortWithinPartitions("key", "id")
-        pairs = _applied(by_key, _foreign, "a bigint, b bigint", similarity, best).distinct()
+        pairs = written(_applied(by_key, _foreign, "a bigint, b bigint", similarity, best).distinct(), "pairs")
+        if pairs.isEmpty():
+            break
         links = links.unionByName(written(_verified(pairs, stored, similarity), "links"))
     return links
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose sides are not known to be in one component."""
+    for side in "ab":
+        own = labels.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
+        pairs = pairs.join(own, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+    return pairs.where("a_root <> b_root").select("a", "b")
