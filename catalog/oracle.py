@@ -8,6 +8,7 @@ from talklake.functions.text import SPACE
 
 AS_OF = "TIMESTAMP '2026-03-01 06:30:00'"
 BATCH = "batch-2026-03-01T06-30-00"
+GENERATOR = "talklake v0.1.0"
 WATCH = "https://www.youtube.com/watch?v="
 
 
@@ -15,7 +16,7 @@ def words_list(words) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
 
-STOP = words_list(english_stop_words())
+STOP = words_list(english_stop_words())  # plain package data; a test compares it with Spark's list
 DOMAIN = words_list(DOMAIN_STOP_WORDS)
 
 
@@ -83,7 +84,7 @@ LISTING = f"""
       SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS position FROM documents),
     listed AS (
       SELECT source AS channel_id, position, doc_id, text, doc_id::VARCHAR AS video_id,
-             CASE WHEN lang <> 'fr' THEN substring(string_split(text, chr(10))[1], 1, 60) ELSE 'Unknown' END AS title,
+             CASE WHEN lang <> 'fr' THEN string_split(text, chr(10))[1] ELSE 'Unknown' END AS title,
              CASE WHEN lang = 'en' THEN 'Channel ' || source ELSE source END AS channel,
              CASE WHEN lang IN ('de', 'es') THEN {AS_OF}
                   ELSE (DATE '2026-03-01' - (n_chars % 60)::INTEGER)::TIMESTAMP END AS published,
@@ -255,6 +256,24 @@ def best_hits(k: int, where: str = "true") -> str:
       FROM embeddings, queries WHERE {where} QUALIFY rank <= {k})"""
 
 
+# Planes, keys and candidates of the approximate search.
+ANN = """
+    plane AS (
+      SELECT t, b, list_transform(range(64), lambda i:
+        ('0x' || substring(md5(t || ':' || b || ':' || i), 1, 8))::UBIGINT / 2147483648.0::DOUBLE - 1) AS p
+      FROM range(96) AS a(t), range(8) AS c(b)),
+    row_keys AS (
+      SELECT vec_id, t, sum(CASE WHEN list_dot_product(list_transform(embedding, lambda v: v::DOUBLE), p) > 0 THEN 1 << b ELSE 0 END) AS key
+      FROM embeddings, plane GROUP BY ALL),
+    query_keys AS (
+      SELECT query_id, t, sum(CASE WHEN list_dot_product(q, p) > 0 THEN 1 << b ELSE 0 END) AS key FROM queries, plane GROUP BY ALL),
+    shared AS (SELECT DISTINCT query_id, vec_id FROM row_keys JOIN query_keys USING (t, key)),
+    near AS (
+      SELECT query_id, vec_id::VARCHAR AS video_id,
+             round(list_cosine_similarity(list_transform(embedding, lambda v: v::DOUBLE), q), 12) AS s,
+             row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id::VARCHAR) AS rank
+      FROM shared JOIN embeddings USING (vec_id) JOIN queries USING (query_id) QUALIFY rank <= 5)"""
+
 PAYLOAD = (
     f"'Vector ' || vec_id AS title, 'Label ' || label AS channel, '2026-03-01T06:30:00' AS published_date, "
     f"'{WATCH}' || vec_id AS url, CASE WHEN label > 0 THEN [label::VARCHAR, 'vector'] ELSE [] END AS topics"
@@ -368,56 +387,77 @@ def rendered() -> str:
       FROM marked LEFT JOIN topic_text USING (doc_id))"""
 
 
-def manifest(source: str, batch: str, page: int, generator: str = markdown.GENERATOR) -> str:
-    from talklake.operators.documents import BODY, MESSAGE, TITLE
-
-    values = {
-        "batch_id": batch,
-        "generator": sql_text(generator),
-        "corpus": "'document'",
-        "files": "files::VARCHAR",
-        "list": "list",
-    }
+# The manifest's texts, spelled out here as well.
+def manifest(source: str, batch: str) -> str:
+    nl = "chr(10)"
+    generated = f"'Auto-generated by {GENERATOR}'"
+    head = f"'## Transcript Batch: `' || {batch} || '`' || {nl} || {nl} || 'Auto-generated by **{GENERATOR}**.' || {nl} || {nl} || '### Files' || {nl}"
+    tail = f"{nl} || {nl} || '---' || {nl} || '*Review and merge to add these transcripts to the document corpus.*'"
+    message = (
+        f"'docs(transcripts): add batch ' || {batch} || {nl} || {nl} || {generated} || {nl} || 'Files: ' || files || ' transcript(s)'"
+    )
     return f"""
-    pages_of AS (
-      SELECT (number - 1) // {page} AS block, count(*) AS page_files,
-             string_agg('- `' || filename || '`', chr(10) ORDER BY filename) AS list
-      FROM {source} GROUP BY ALL)
-    SELECT {batch} AS batch_id, block, page_files, files, {filled(TITLE, values)} AS title,
-           {filled(MESSAGE, values)} AS message, {filled(BODY, values)} AS body
-    FROM pages_of, (SELECT count(*) AS files FROM {source})"""
-
-
-def run(stored: str) -> str:
-    """CTEs ending in ``judged``: what is stored, what was found, what became of it."""
-    return f"""{RECENT}, {TRACKS}, {LINES},
+    counted AS (SELECT count(*) AS files FROM {source})
+    SELECT {batch} AS batch_id, 'title' AS section, NULL AS filename, 'docs(transcripts): batch ' || {batch} AS text FROM counted
+    UNION ALL SELECT {batch}, 'message', NULL, {message} FROM counted
+    UNION ALL SELECT {batch}, 'body_head', NULL, {head} FROM counted
+    UNION ALL SELECT {batch}, 'body_tail', NULL, {tail} FROM counted
+    UNION ALL SELECT {batch}, 'file', filename, '- `' || filename || '`' FROM {source}"""
+
+
+def run(stored: str, store: bool = True, failing: bool = True) -> str:
+    """CTEs ending in ``judged``: what is stored, what was found, what became of it.
+
+    ``store``: whether there is one; ``failing``: whether every seventh text's vector has the wrong size.
+    """
+    return f"""{CHANNELS}, {LISTING},
+    placed AS (
+      SELECT * REPLACE (2 * position - 1 AS position) FROM listed
+      UNION ALL
+      SELECT l.* REPLACE (n.channel_id AS channel_id, 2 * l.position AS position)
+      FROM listed l JOIN registry r USING (channel_id) JOIN registry n ON n.ord = r.ord + 1 WHERE l.position <= 3),
+    recent AS (
+      SELECT placed.*, ord FROM placed JOIN registry USING (channel_id)
+      WHERE enabled AND position <= 2 * max_videos
+        AND published >= {AS_OF} - to_days(max_age_days::INTEGER)
+      QUALIFY row_number() OVER (PARTITION BY ord ORDER BY position) <= max_videos),
+    {TRACKS}, {LINES},
     track_lines AS (
       SELECT doc_id, seq, CASE WHEN track_id = 'manual' THEN '<b>' || raw || '</b>' ELSE raw END AS raw
       FROM lines JOIN best USING (doc_id)),
     {cleaned('track_lines', 'doc_id')},
     texts AS ({transcripts('doc_id')}),
-    working AS (SELECT * FROM recent WHERE ord < (SELECT max(ord) FROM registry)),
+    working AS (SELECT * FROM recent WHERE ord < (SELECT max(ord) FROM registry WHERE enabled)),
     flagged AS (
       SELECT working.*, transcript,
              EXISTS (SELECT 1 FROM labels b JOIN documents d USING (doc_id)
                      WHERE b.doc_id = working.doc_id AND quality = 0 {stored}) AS is_stored,
              EXISTS (SELECT 1 FROM labels b WHERE b.doc_id = working.doc_id AND toxic = 1) AS is_broken
       FROM working LEFT JOIN texts USING (video_id)),
-    judged AS (
+    once AS (
       SELECT *, CASE WHEN is_stored THEN 'already_processed' WHEN is_broken THEN 'transcript_error'
-                     WHEN coalesce(transcript, '') = '' THEN 'no_transcript' ELSE 'processed' END AS status
-      FROM flagged)"""
+                     WHEN coalesce(transcript, '') = '' THEN 'no_transcript'
+                     WHEN {str(store and failing).lower()} AND length(transcript) % 7 = 0 THEN 'store_failed'
+                     ELSE 'processed' END AS first_status,
+             row_number() OVER (PARTITION BY doc_id ORDER BY ord, position) AS turn
+      FROM flagged),
+    judged AS (
+      SELECT *, CASE WHEN {str(store).lower()} AND turn > 1 AND first_status = 'processed' THEN 'already_processed'
+                     ELSE first_status END AS status
+      FROM once)"""
+
 
 # German documents have vectors of the wrong size, so the store never took them.
 BATCH_RUN = run("AND d.lang <> 'de'")
-STREAM_RUN = run("AND false")
+STREAM_RUN = run("AND false", failing=False)
+STORELESS_RUN = run("AND false", store=False)
 
 OUTCOMES = f"""
     outcomes AS (
       SELECT channel_id, position, video_id, status FROM judged
       UNION ALL
       SELECT channel_id, NULL, NULL, 'channel_failed' FROM registry
-      WHERE enabled AND ord = (SELECT max(ord) FROM registry))"""
+      WHERE enabled AND ord = (SELECT max(ord) FROM registry WHERE enabled))"""
 
 
 def run_documents() -> str:
@@ -425,7 +465,7 @@ def run_documents() -> str:
     return f"""{DETAILS.replace('FROM listed l', 'FROM judged l').replace(
         'l.text,', 'l.transcript, l.ord, l.status,')},
     run_numbered AS (
-      SELECT *, row_number() OVER (ORDER BY ord, position) AS number FROM detailed WHERE status = 'processed')"""
+      SELECT *, row_number() OVER (ORDER BY ord, position) AS number FROM detailed WHERE status IN ('processed', 'store_failed'))"""
 
 
 def all_sql() -> dict[str, str]:
@@ -490,7 +530,7 @@ def all_sql() -> dict[str, str]:
                    ELSE {marks_text(text_marks('description'))} END AS chapters FROM described""",
         "point_ids": f"""SELECT doc_id, {point('doc_id::VARCHAR')} AS point_id, {point('doc_id::VARCHAR')} % 64 AS bucket
             FROM documents""",
-        "store_upsert": f"""WITH {CHANNELS} {store_row("doc_id + CASE WHEN source = 'src3' THEN 2 ELSE 3 END", "'batch-new'")}""",
+        "store_upsert": f"""WITH {CHANNELS} {store_row("doc_id + 3", "'batch-new'")}""",
         "store_insert": f"""WITH {CHANNELS}, old AS (SELECT doc_id FROM labels WHERE quality = 0)
             {store_row("CASE WHEN doc_id IN (FROM old) THEN 1 ELSE doc_id + 2 END",
                        "CASE WHEN doc_id IN (FROM old) THEN 'batch-old' ELSE 'batch-new' END")}""",
@@ -508,9 +548,38 @@ def all_sql() -> dict[str, str]:
               SELECT query_id, rank, printf('%d. [%.3f] %s', rank, exact, title) || chr(10) || '   Channel: ' || channel
                 || chr(10) || '   Date: ' || published_date || chr(10) || '   URL: ' || url || chr(10)
                 || '   Topics: ' || array_to_string(topics, ', ') AS text
-              FROM (SELECT query_id, rank, exact, {PAYLOAD} FROM hits) WHERE exact > 0.5)
-            SELECT query_id::BIGINT AS query_id, coalesce(rank, 0) AS rank, coalesce(text, 'No results found.') AS text
-            FROM queries LEFT JOIN shown USING (query_id)""",
+              FROM (SELECT query_id, rank, exact, {PAYLOAD} FROM hits))
+            SELECT query_id::BIGINT AS query_id, rank, text FROM shown
+            UNION ALL SELECT -1, 0, 'No results found.'""",
+        "search_nearest": f"""WITH asked AS (SELECT list_transform(range(64), lambda i: ((7 * i) % 11 - 5) / 5.0::DOUBLE) AS q)
+            SELECT vec_id::VARCHAR AS video_id, 'Vector ' || vec_id AS title, 'Label ' || label AS channel,
+                   round({cosine(double_list('embedding'), 'q')}, 6) AS score
+            FROM embeddings, asked
+            ORDER BY round({cosine(double_list('embedding'), 'q')}, 12) DESC, vec_id::VARCHAR LIMIT 5""",
+        "search_ann": f"""WITH {QUERIES}, {ANN}
+            SELECT query_id::BIGINT AS query_id, rank, video_id, round(s, 6) AS score FROM near""",
+        "search_ann_recall": f"""WITH {best_hits(5)}, {ANN},
+            pairs AS (SELECT query_id, count(*) AS scored FROM shared GROUP BY query_id),
+            judged AS (
+              SELECT query_id, count(*) AS exact, count(near.video_id) AS found
+              FROM hits LEFT JOIN near USING (query_id, video_id) GROUP BY query_id)
+            SELECT query_id::BIGINT AS query_id, exact, found, found / exact AS recall,
+                   round(coalesce(scored, 0) / (SELECT count(*) FROM embeddings), 6) AS scored_share
+            FROM judged LEFT JOIN pairs USING (query_id)""",
+        "embed_model": """SELECT doc_id, length(text) AS chars, length(text) - length(replace(text, chr(10), '')) AS breaks,
+                   strlen(text) - length(text) AS wide_bytes FROM documents""",
+        "validate_report": f"""WITH {CHANNELS}
+            SELECT 0 AS section, ord, '    - ' || name || ' (' || channel_id || ') [' || CASE WHEN enabled THEN 'enabled' ELSE 'disabled' END
+                   || ']' AS line FROM registry
+            UNION ALL SELECT 0, -1, '  Channels: ' || count(*) || ' configured' FROM registry
+            UNION ALL SELECT 1, 0, '  Store: OK (64 dimensions)'
+            UNION ALL SELECT 2, 0, '  Store: FAILED (PATH_NOT_FOUND)'""",
+        "store_rejected": f"""WITH {CHANNELS} SELECT doc_id::VARCHAR AS video_id, 'batch-new' AS batch_id, 1 AS vector_size
+            FROM documents WHERE lang = 'de'""",
+        "store_compacted": """SELECT doc_id::VARCHAR AS video_id, doc_id + 1 AS transcript_number, 'batch-two' AS batch_id,
+                   true AS compacted FROM documents WHERE lang <> 'de'""",
+        "outcomes_without_store": f"""WITH {STORELESS_RUN}, {OUTCOMES}
+            SELECT '{BATCH}' AS batch_id, channel_id, position, video_id, status FROM outcomes""",
         "embed_hash": f"""WITH {hashed('documents', 'doc_id', 'text', 'vec')}
             SELECT doc_id, place, round(w, 6) AS weight FROM vec""",
         "doc_search": f"""WITH {hashed('documents', 'doc_id', 'text', 'vec')}, {hashed('benchmark', 'item_id', 'text', 'ask')},
@@ -528,9 +597,9 @@ def all_sql() -> dict[str, str]:
             SELECT '{BATCH}' AS batch_id, video_id, number, filename, {duration('duration_seconds')} AS duration FROM named""",
         "slugs": f"""SELECT page_id, {slug('url')} AS url_slug, {slug('html')} AS html_slug FROM pages""",
         "rendered_roundtrip": f"WITH {rendered()} SELECT filename, content FROM rendered",
-        "batch_manifest": f"WITH {NUMBERED}, {manifest('named', sql_text(BATCH), 1000)}",
+        "batch_manifest": f"WITH {NUMBERED}, {manifest('named', sql_text(BATCH))}",
         "push_manifest": f"""WITH {NUMBERED}, pushed AS (
-              SELECT * FROM named WHERE duration_seconds > 0), {manifest('pushed', "'batch-push'", 100)}""",
+              SELECT filename FROM named UNION ALL SELECT 'TRANSCRIPT-notes.md'), {manifest('pushed', "'batch-push'")}""",
         "registry_report": f"""WITH {CHANNELS}
             SELECT ord, '    - ' || name || ' (' || channel_id || ') [' || CASE WHEN enabled THEN 'enabled' ELSE 'disabled' END
                    || ']' AS line FROM registry
@@ -543,7 +612,7 @@ def all_sql() -> dict[str, str]:
         "ingest_outcomes": f"""WITH {BATCH_RUN}, {OUTCOMES}
             SELECT '{BATCH}' AS batch_id, channel_id, position, video_id, status FROM outcomes""",
         "run_summary": f"""WITH {BATCH_RUN}, {OUTCOMES}
-            SELECT '{BATCH}' AS batch_id, count(*) FILTER (status = 'processed') AS processed, count(*) AS candidates
+            SELECT '{BATCH}' AS batch_id, count(*) FILTER (status IN ('processed', 'store_failed')) AS processed, count(*) AS candidates
             FROM outcomes""",
         "ingest_documents": f"""WITH {BATCH_RUN}, {run_documents()},
             {topics_of("run_numbered", "doc_id", "transcript")},
@@ -555,5 +624,5 @@ def all_sql() -> dict[str, str]:
             FROM marked LEFT JOIN topic_text USING (doc_id)""",
         "stream_ingest": f"""WITH {STREAM_RUN}, {run_documents()}
             SELECT video_id, title, channel, number AS transcript_number, '{BATCH}' AS batch_id,
-                   length(substring(transcript, 1, 8000)) AS text_length FROM run_numbered""",
+                   substring(transcript, 1, 8000) AS transcript_text FROM run_numbered""",
     }

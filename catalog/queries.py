@@ -17,6 +17,7 @@ from talklake.plans.fetch import fetch
 from talklake.plans.push import push
 from talklake.plans.search import search
 from talklake.plans.validate import validate
+from talklake.schemas import STORE
 from talklake.session import scratch_path, staged
 from talklake.sources import documents as files
 from talklake.sources import results
@@ -25,6 +26,7 @@ from talklake.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 EMBED_SIZE = 64
+BUCKETS = 64
 
 
 def six(value: Column) -> Column:
@@ -87,7 +89,8 @@ def recent_counts(spark, sf_dir):
 
 
 def unprocessed(spark, sf_dir):
-    todo = cand.unprocessed(staged(recent(spark, sf_dir), "recent"), t.stored_ids(spark, sf_dir))
+    found = staged(cand.with_point(recent(spark, sf_dir), BUCKETS), "recent")
+    todo = cand.unprocessed(found, cand.with_point(t.stored_ids(spark, sf_dir), BUCKETS))
     return cand.dry_run(cand.first_in_run(todo)).select(F.col("ord").cast("bigint").alias("ord"), "position", "video_id", "line")
 
 
@@ -236,7 +239,7 @@ def store_upsert(spark, sf_dir):
     store, channels = new_store(spark, "upsert-store", 2), t.channels(spark, sf_dir)
     store.upsert(earlier_points(spark, sf_dir, channels))
     first = doc_points(spark, sf_dir, channels, "batch-new", F.col("doc_id") + 2, F.lit(1))
-    again = doc_points(spark, sf_dir, channels, "batch-new", F.col("doc_id") + 3, F.lit(2)).where(F.col("channel") != "src3")
+    again = doc_points(spark, sf_dir, channels, "batch-new", F.col("doc_id") + 3, F.lit(2))
     store.upsert(first.unionByName(again))
     return store_rows(store)
 
@@ -319,22 +322,44 @@ def search_json(spark, sf_dir):
 
 
 def search_text(spark, sf_dir):
-    hits, queries = search_hits(spark, sf_dir)
-    # A label whose best score stays low counts as a query without hits.
-    shown = results.as_text(hits.where("score > 0.5"), queries)
+    """Hits as text, and the notice for a query that has no vector."""
+    store = vector_store(spark, sf_dir)
+    empty = spark.range(1).select((F.col("id") - 1).alias("query_id"), F.lit(None).cast("array<double>").alias("embedding"))
+    queries = label_queries(spark, sf_dir).unionByName(empty)
+    shown = results.as_text(vectors.hits(vectors.top_k(store, queries), store), queries)
     return shown.select(F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"), "text")
 
 
+def search_nearest(spark, sf_dir):
+    """The five rows nearest to one fixed vector."""
+    vector = [((7 * i) % 11 - 5) / 5 for i in range(EMBED_SIZE)]
+    found = vectors.nearest(vector_store(spark, sf_dir), vector)
+    return found.select("video_id", "title", "channel", six(F.col("score")).alias("score"))
+
+
 def search_ann_recall(spark, sf_dir):
-    """Share of the exact best five that the approximate search finds, per query."""
-    store, queries = vector_store(spark, sf_dir), label_queries(spark, sf_dir)
-    model = vectors.lsh_model(store)
-    near = vectors.top_k(vectors.lsh_buckets(store, model), vectors.lsh_buckets(queries, model))
+    """Share of the exact best five that the approximate search finds, and of the rows it scores, per query."""
+    planes = vectors.SignPlanes(tables=96, bits=8)
+    store = staged(planes.with_keys(vector_store(spark, sf_dir).select("video_id", "embedding")), "keys")
+    queries = staged(planes.with_keys(label_queries(spark, sf_dir)), "queries")
+    near = vectors.near_top_k(store, queries)
     exact = vectors.top_k(store, queries)
     found = exact.join(near.select("query_id", "video_id", F.lit(1).alias("hit")), ["query_id", "video_id"], "left")
-    return found.groupBy("query_id").agg(
+    scored = vectors.sharing_keys(store, queries).groupBy("query_id").agg(F.count("*").alias("scored"))
+    recall = found.groupBy("query_id").agg(
         F.count("*").alias("exact"), F.count("hit").alias("found"), (F.count("hit") / F.count("*")).alias("recall")
     )
+    share = F.coalesce("scored", F.lit(0)) / F.lit(store.select(F.count("*")).scalar())
+    return recall.join(scored, "query_id", "left").select(
+        F.col("query_id").cast("bigint").alias("query_id"), "exact", "found", "recall", six(share).alias("scored_share")
+    )
+
+
+def search_ann(spark, sf_dir):
+    """The approximate search itself: hits among rows that share a key."""
+    planes = vectors.SignPlanes(tables=96, bits=8)
+    store = staged(planes.with_keys(vector_store(spark, sf_dir).select("video_id", "embedding")), "keys")
+    return ranked(vectors.near_top_k(store, staged(planes.with_keys(label_queries(spark, sf_dir)), "queries")))
 
 
 def embed_hash(spark, sf_dir):
@@ -347,6 +372,18 @@ def embed_hash(spark, sf_dir):
     )
 
 
+def embed_model(spark, sf_dir):
+    """A model given as a callable, run on batches of whole texts."""
+
+    def load():
+        return lambda texts: [[float(len(t)), float(t.count("\n")), float(len(t.encode()) - len(t))] for t in texts]
+
+    model = embed.BatchModel(load, vector_size=3)
+    rows = embed.embed(t.wide(spark, sf_dir, "documents", "doc_id", "text"), model, "text")
+    part = lambda i: F.get("embedding", F.lit(i)).cast("bigint")
+    return rows.select("doc_id", part(0).alias("chars"), part(1).alias("breaks"), part(2).alias("wide_bytes"))
+
+
 def doc_search(spark, sf_dir):
     """Texts as queries against all documents, by the built-in vectors."""
     embedder = embed.HashedTerms(EMBED_SIZE)
@@ -413,12 +450,13 @@ def rendered_roundtrip(spark, sf_dir):
 
 
 def batch_manifest(spark, sf_dir):
-    return docs.manifest(staged(file_rows(spark, sf_dir), "files"))
+    return docs.manifest(staged(file_rows(spark, sf_dir).select("batch_id", "filename"), "files"))
 
 
 def push_manifest(spark, sf_dir):
-    named = file_rows(spark, sf_dir).where(F.col("duration") != "Unknown").select("filename")
-    return push(staged(named, "files"), "batch-push", page_size=100)
+    """All files, and one whose name has no number."""
+    notes = spark.range(1).select(F.lit("TRANSCRIPT-notes.md").alias("filename"))
+    return push(staged(file_rows(spark, sf_dir).select("filename").unionByName(notes), "files"), "batch-push")
 
 
 # --- reports and whole runs ------------------------------------------------------------
@@ -428,6 +466,33 @@ def registry_report(spark, sf_dir):
     return validate(spark, t.channels(spark, sf_dir)).select(F.col("ord").cast("bigint").alias("ord"), "line")
 
 
+def validate_report(spark, sf_dir):
+    """Registry and store, and the state of a store that is missing."""
+    store, channels = new_store(spark, "validated-store", EMBED_SIZE), t.channels(spark, sf_dir)
+    found = validate(spark, channels, store.root)
+    missing = validate(spark, channels, scratch_path(spark, "no-store")).where("section = 1").withColumn("section", F.lit(2))
+    return found.unionByName(missing).select(
+        F.col("section").cast("bigint").alias("section"), F.col("ord").cast("bigint").alias("ord"), "line"
+    )
+
+
+def store_rejected(spark, sf_dir):
+    """Points whose vector has the wrong size are kept apart."""
+    store, channels = new_store(spark, "rejecting-store", 2), t.channels(spark, sf_dir)
+    store.insert_if_absent(doc_points(spark, sf_dir, channels, "batch-new", F.col("doc_id") + 2))
+    return store.rejected().select("video_id", "batch_id", F.size("embedding").cast("bigint").alias("vector_size"))
+
+
+def store_compacted(spark, sf_dir):
+    """Two upserts and a compaction: the same rows, without the superseded ones."""
+    store, channels = new_store(spark, "compacted-store", 2), t.channels(spark, sf_dir)
+    for write, batch in enumerate(("batch-one", "batch-two")):
+        store.upsert(doc_points(spark, sf_dir, channels, batch, F.col("doc_id") + write))
+    compacted = store.compact()
+    rows = spark.read.schema(STORE).parquet(store.path)
+    return rows.select("video_id", "transcript_number", "batch_id", F.lit(compacted > 0).alias("compacted"))
+
+
 def listing_urls(spark, sf_dir):
     """Page addresses of all sources and page names, as ids, handles and plain names."""
     names = t.table(spark, sf_dir, "documents").select(F.col("source").alias("name")).unionByName(
@@ -439,10 +504,25 @@ def listing_urls(spark, sf_dir):
     )
 
 
+class SizedByLength:
+    """Vectors from the text's length; every seventh length gets one of the wrong size."""
+
+    def column(self, text):
+        size = F.char_length(text).cast("float")
+        wrong = F.char_length(text) % 7 == 0
+        return F.when(F.length(text) > 0, F.when(wrong, F.array(size)).otherwise(F.array(size, F.lit(1.0).cast("float"))))
+
+
 def run_once(spark, sf_dir):
     store, tables = new_store(spark, "run-store", 2), t.landing_tables(spark, sf_dir)
     store.insert_if_absent(earlier_points(spark, sf_dir, tables.channels))
-    return fetch(tables, t.AS_OF, store=store, languages=t.LANGUAGES)
+    return fetch(tables, t.AS_OF, store=store, embedder=SizedByLength(), languages=t.LANGUAGES)
+
+
+def outcomes_without_store(spark, sf_dir):
+    """The same run without a store: nothing is skipped, further listings are processed again."""
+    run = fetch(t.landing_tables(spark, sf_dir), t.AS_OF, embedder=SizedByLength(), languages=t.LANGUAGES)
+    return run.outcomes
 
 
 def ingest_outcomes(spark, sf_dir):
@@ -466,7 +546,7 @@ def stream_ingest(spark, sf_dir):
     for _ in range(2):
         query = incremental.start(tables, landed, store, checkpoint, t.AS_OF, languages=t.LANGUAGES)
         query.awaitTermination()
-    return store.read().select("video_id", "title", "channel", "transcript_number", "batch_id", F.length("transcript_text").cast("bigint").alias("text_length"))
+    return store.read().select("video_id", "title", "channel", "transcript_number", "batch_id", "transcript_text")
 
 
 ALL: dict[str, Query] = {
@@ -497,8 +577,11 @@ ALL: dict[str, Query] = {
         search_topk_filtered,
         search_json,
         search_text,
+        search_nearest,
+        search_ann,
         search_ann_recall,
         embed_hash,
+        embed_model,
         doc_search,
         rendered_docs,
         file_names,
@@ -507,8 +590,12 @@ ALL: dict[str, Query] = {
         batch_manifest,
         push_manifest,
         registry_report,
+        validate_report,
+        store_rejected,
+        store_compacted,
         listing_urls,
         ingest_outcomes,
+        outcomes_without_store,
         run_summary,
         ingest_documents,
         stream_ingest,

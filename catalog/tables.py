@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from talklake.operators.numbering import number_rows
+from talklake.operators.registry import enabled
 from talklake.plans.fetch import Landing
 from talklake.session import spread, staged
 from talklake.sources import landing
@@ -20,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table for work on long texts, spread over all cores."""
+    """Columns of a table for work on long texts, spread as the session says."""
     return spread(table(spark, sf_dir, name).select(*columns))
 
 
@@ -64,7 +65,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source",
         "lang",
         "n_chars",
-        F.substring(F.substring_index("text", "\n", 1), 1, 60).alias("head"),
+        F.substring_index("text", "\n", 1).alias("head"),
     )
     placed = number_rows(docs, "source", "doc_id", "position")
     video_id = F.col("doc_id").cast("string")
@@ -193,12 +194,26 @@ def failed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shared_listing(spark: SparkSession, sf_dir: str, registry: DataFrame) -> DataFrame:
+    """The listing, with the first three entries of each channel on the next channel's page, too.
+
+    Own entries have odd positions, those of the channel before even ones.
+    """
+    own = listing(spark, sf_dir)
+    order = registry.select("ord", "channel_id")
+    after = order.select((F.col("ord") - 1).alias("ord"), F.col("channel_id").alias("next_id"))
+    first = own.where("position <= 3").join(order.join(after, "ord").select("channel_id", "next_id"), "channel_id")
+    copies = first.withColumns({"channel_id": F.col("next_id"), "position": F.col("position") * 2}).drop("next_id")
+    return own.withColumn("position", F.col("position") * 2 - 1).unionByName(copies)
+
+
 def landing_tables(spark: SparkSession, sf_dir: str) -> Landing:
     registry = channels(spark, sf_dir)
-    last = registry.select(F.max("ord")).scalar()
+    # The last enabled channel cannot be read.
+    last = enabled(registry).select(F.max("ord")).scalar()
     return Landing(
         channels=registry,
-        listing=listing(spark, sf_dir),
+        listing=shared_listing(spark, sf_dir, registry),
         details=details(spark, sf_dir),
         tracks=tracks(spark, sf_dir),
         segments=segments(spark, sf_dir),

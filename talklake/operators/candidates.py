@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from talklake.functions.ids import bucket, point_id
 from talklake.functions.times import moment, parse_day
 from talklake.operators.registry import SITE, enabled
 from talklake.schemas import VIDEO_FIELDS
@@ -42,12 +43,14 @@ def young_enough(published: Column, as_of: datetime, max_age_days: Column) -> Co
     return published >= moment(as_of) - F.make_dt_interval(days=max_age_days)
 
 
-def recent_videos(listing: DataFrame, channels: DataFrame, as_of: datetime) -> DataFrame:
+def recent_videos(
+    listing: DataFrame, channels: DataFrame, as_of: datetime, lookahead: int | None = LOOKAHEAD
+) -> DataFrame:
     """At most ``max_videos_per_run`` young videos per enabled channel, in page order.
 
-    Only the first ``2 * max_videos_per_run`` positions are looked at. The largest such
-    bound is pushed into the scan first, so however long a channel's page is, no more
-    than that many rows per channel are joined or sorted.
+    Only the first ``lookahead * max_videos_per_run`` positions are looked at; ``None`` looks at all. The
+    largest such bound is pushed into the scan first, so however long a channel's page is, no
+    more than that many rows per channel are joined or sorted.
     """
     active = enabled(channels).select(
         "ord",
@@ -56,13 +59,13 @@ def recent_videos(listing: DataFrame, channels: DataFrame, as_of: datetime) -> D
         "max_videos_per_run",
         "metadata_tags",
     )
-    deepest = active.select(F.max(F.col("max_videos_per_run") * LOOKAHEAD)).scalar()
-    head = listing.where(F.col("position") <= deepest)
+    deep = F.col("max_videos_per_run") * lookahead if lookahead is not None else F.lit(None).cast("bigint")
+    head = listing
+    if lookahead is not None:
+        head = listing.where(F.col("position") <= active.select(F.max(deep)).scalar())
     seen = parse_listing(head, as_of).join(active, "channel_id")
-    fresh = seen.where(
-        (F.col("position") <= F.col("max_videos_per_run") * LOOKAHEAD)
-        & young_enough(F.col("published"), as_of, F.col("max_age_days"))
-    )
+    near = F.lit(True) if lookahead is None else F.col("position") <= deep
+    fresh = seen.where(near & young_enough(F.col("published"), as_of, F.col("max_age_days")))
     turn = F.row_number().over(W.partitionBy("ord").orderBy("position"))
     return (
         fresh.withColumn("turn", turn)
@@ -72,22 +75,37 @@ def recent_videos(listing: DataFrame, channels: DataFrame, as_of: datetime) -> D
 
 
 def stored_among(candidates: DataFrame, store: DataFrame) -> DataFrame:
-    """The candidates' ids that the store already holds.
+    """The store's rows of the candidates' points, by ``bucket`` and ``point_id``.
 
-    The store is the big side: it is filtered by the candidates, which Catalyst
-    broadcasts when they are small, so the store need not be shuffled.
+    The store is the big side: it is filtered by the candidates, which Catalyst broadcasts when they are
+    small, so the store need not be shuffled. The bucket is a folder: the comparison below marks the candidates
+    as selective, so that folders without a candidate are not even listed for reading.
     """
-    return store.select("video_id").join(candidates.select("video_id"), "video_id", "left_semi")
+    keys = candidates.select("bucket", "point_id").where("bucket >= 0")
+    return store.join(keys, ["bucket", "point_id"], "left_semi")
 
 
 def unprocessed(candidates: DataFrame, store: DataFrame) -> DataFrame:
-    return candidates.join(stored_among(candidates, store), "video_id", "left_anti")
+    """Candidates with ``bucket`` and ``point_id`` that the store does not hold."""
+    known = stored_among(candidates, store).select("bucket", "point_id")
+    return candidates.join(known, ["bucket", "point_id"], "left_anti")
+
+
+def with_point(candidates: DataFrame, buckets: int) -> DataFrame:
+    """Add the point id and the bucket under which a store of this many buckets holds each candidate."""
+    return candidates.withColumn("point_id", point_id(F.col("video_id"))).withColumn(
+        "bucket", bucket(F.col("point_id"), buckets)
+    )
+
+
+def turn_in_run() -> Column:
+    """Which listing of its video a candidate is, in registry and page order."""
+    return F.row_number().over(W.partitionBy("video_id").orderBy("ord", "position"))
 
 
 def first_in_run(candidates: DataFrame) -> DataFrame:
     """One row per video id: the first in registry and page order."""
-    turn = F.row_number().over(W.partitionBy("video_id").orderBy("ord", "position"))
-    return candidates.withColumn("turn", turn).where("turn = 1").drop("turn")
+    return candidates.withColumn("turn", turn_in_run()).where("turn = 1").drop("turn")
 
 
 def dry_run(candidates: DataFrame) -> DataFrame:

@@ -28,8 +28,6 @@ Auto-generated by **{generator}**.
 *Review and merge to add these transcripts to the {corpus} corpus.*"""
 # -------------------------------------------------------------------------------------
 
-MANIFEST_PAGE = 1000
-
 
 def numbered(videos: DataFrame, start: int | Column = 1, group: str = "ord") -> DataFrame:
     """Running number of the documents, in registry and page order."""
@@ -70,48 +68,26 @@ def rendered(
     )
 
 
-def manifest(
-    files: DataFrame,
-    page_size: int = MANIFEST_PAGE,
-    generator: str = markdown.GENERATOR,
-    corpus: str = "document",
-    total: Column | None = None,
-) -> DataFrame:
-    """Title, message and body texts of each batch, in pages of consecutive numbers.
+def manifest(files: DataFrame, generator: str = markdown.GENERATOR, corpus: str = "document") -> DataFrame:
+    """The manifest of each batch as a long table ``(batch_id, section, filename, text)``.
 
-    ``files`` has ``batch_id``, ``number`` and ``filename``; names are listed in order.
-    A batch of up to ``page_size`` files has one page. Larger batches continue on further
-    pages, so a list never has to fit into one task. ``total`` is the number of files
-    where it is known to be the same for all rows.
+    ``files`` has ``batch_id`` and ``filename``. The sections ``title``, ``message``, ``body_head`` and ``body_tail``
+    are one row each; ``file`` has one line per file, to be read in order of the names between head
+    and tail. So a batch of any size has the same shape, and no task holds a batch's list.
     """
-    page = F.floor((F.col("number") - 1) / page_size)
-    names = F.array_join(
-        F.transform(
-            F.sort_array(F.collect_list("filename")), lambda f: F.format_string(FILE_LINE, f)
-        ),
-        "\n",
-    )
-    pages = (
-        files.groupBy("batch_id", page.alias("block"))
-        .agg(names.alias("list"), F.count("*").alias("page_files"))
-    )
-    if total is None:
-        counted = pages.join(files.groupBy("batch_id").agg(F.count("*").alias("files")), "batch_id")
-    else:
-        counted = pages.withColumn("files", total)
+    head, tail = BODY.split("{list}")
+    sections = {"title": TITLE, "message": MESSAGE, "body_head": head, "body_tail": tail}
     values = {
         "batch_id": F.col("batch_id"),
         "generator": F.lit(generator),
         "corpus": F.lit(corpus),
         "files": F.col("files").cast("string"),
-        "list": F.col("list"),
     }
-    return counted.select(
-        "batch_id",
-        "block",
-        "page_files",
-        "files",
-        markdown.fill(TITLE, values).alias("title"),
-        markdown.fill(MESSAGE, values).alias("message"),
-        markdown.fill(BODY, values).alias("body"),
+    texts = F.array(
+        *(F.struct(F.lit(name).alias("section"), markdown.fill(text, values).alias("text")) for name, text in sections.items())
+    )
+    frame = files.groupBy("batch_id").agg(F.count("*").alias("files")).select("batch_id", F.explode(texts).alias("t"))
+    lines = files.select(
+        "batch_id", F.lit("file").alias("section"), "filename", F.format_string(FILE_LINE, "filename").alias("text")
     )
+    return frame.select("batch_id", "t.section", F.lit(None).cast("string").alias("filename"), "t.text").unionByName(lines)

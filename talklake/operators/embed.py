@@ -4,8 +4,8 @@ An embedder has a ``vector_size`` and turns a text column into a vector column;
 where the text is empty.
 
 ``HashedTerms`` is the built-in default: deterministic and made of Spark expressions,
-but *not* semantically equal to a neural sentence model. ``BatchModel`` runs such a
-model where one is installed.
+but *not* semantically equal to a neural sentence model. ``BatchModel`` runs any callable
+that encodes lists of texts; the user brings it.
 """
 
 from __future__ import annotations
@@ -62,18 +62,6 @@ class HashedTerms:
         return F.when(F.length(text) > 0, let(counts, unit))
 
 
-_loaded: dict[str, object] = {}
-
-
-def sentence_model(name: str):
-    """Load a sentence-transformers model once per Python worker."""
-    if name not in _loaded:
-        from sentence_transformers import SentenceTransformer
-
-        _loaded[name] = SentenceTransformer(name)
-    return _loaded[name]
-
-
 @dataclass(frozen=True)
 class BatchModel:
     """A model that encodes lists of texts, run on Arrow batches.
@@ -103,23 +91,6 @@ class BatchModel:
         return encode(text)
 
 
-def sentence_embedder(name: str = "all-MiniLM-L6-v2") -> BatchModel:
-    """A neural sentence model by name; needs ``sentence_transformers`` on the workers."""
-
-    def load():
-        model = sentence_model(name)
-        return lambda texts: model.encode(
-            texts, convert_to_numpy=True, show_progress_bar=False, batch_size=MODEL_BATCH
-        )
-
-    return BatchModel(load, vector_size(name))
-
-
 def embed(rows: DataFrame, embedder, text: str = "transcript", name: str = "embedding") -> DataFrame:
     """Attach vectors. Filter first: a Python model is not moved across a join."""
     return rows.withColumn(name, embedder.column(F.col(text)))
-
-
-def right_size(rows: DataFrame, size: int, name: str = "embedding") -> DataFrame:
-    """Rows whose vector has the store's size."""
-    return rows.where(F.size(name) == size)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from talklake.functions.arrays import exploded, let, runs
 from talklake.functions.terms import DOMAIN_STOP_WORDS, content_words, is_stop_phrase, with_pairs
@@ -36,43 +36,58 @@ def topic_scores(docs: DataFrame, key: str = "video_id", text: str = "text", **o
     return rows.select(key, "topic.rank", "topic.t.term", "topic.t.tf", "topic.t.score")
 
 
-def _sentence_counts(text: Column, size: int, stop_words: Iterable[str] | None) -> Column:
-    """Counts per sentence of a text's frequent terms: ``struct(n, pos, term, tf)``.
-
-    ``n`` is the number of sentences. The terms are the ``size`` most frequent ones and
-    those frequent enough to be cut for being in nearly every sentence, which come first
-    in that order; so the ``size`` best that are not cut are always among them.
-    """
+def _sentence_scores(
+    text: Column, top_k: int, stop_words: Iterable[str] | None, domain_stop_words: Iterable[str]
+) -> Column:
+    """The best terms of a text over its sentences, best first: ``struct(least, term)``, ``least`` the negative score."""
+    size = top_k * CANDIDATES_PER_TOPIC
     sentences = F.filter(F.split(text, "[.\n]"), lambda s: ~is_blank(s))
     per_sentence = F.transform(sentences, lambda s: with_pairs(content_words(s, stop_words)))
 
-    def frequent(found: Column) -> Column:
+    def vocabulary(found: Column) -> Column:
+        n = F.size(found)
         totals = F.transform(
             runs(F.sort_array(F.flatten(found))),
             lambda r: F.struct((-r["n"]).alias("least"), r["item"].alias("term")),
         )
-        return let(
-            F.sort_array(totals),
-            lambda ranked: F.transform(
-                F.slice(ranked, 1, size + F.size(F.filter(ranked, lambda t: -t["least"] > F.size(found) * MAX_DF))),
-                lambda t: t["term"],
-            ),
-        )
 
-    def counts(found: Column, terms: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                found,
-                lambda words, pos: F.transform(
-                    runs(F.sort_array(F.filter(words, lambda w: F.array_contains(terms, w)))),
-                    lambda r: F.struct(
-                        F.size(found).alias("n"), pos.alias("pos"), r["item"].alias("term"), r["n"].alias("tf")
-                    ),
+        def weighted(ranked: Column) -> Column:
+            # Terms that may be in nearly every sentence come first; behind them are enough others.
+            frequent = F.size(F.filter(ranked, lambda t: -t["least"] > n * MAX_DF))
+            counted = F.transform(
+                F.slice(ranked, 1, size + frequent),
+                lambda t: F.struct(
+                    t["term"].alias("term"), F.size(F.filter(found, lambda w: F.array_contains(w, t["term"]))).alias("df")
                 ),
             )
+            kept = F.filter(counted, lambda t: (n <= MANY_SENTENCES) | (t["df"] <= n * MAX_DF))
+            idf = lambda t: F.log((n + 1) / (t["df"] + 1)) + 1
+            return F.transform(F.slice(kept, 1, size), lambda t: F.struct(t["term"].alias("term"), idf(t).alias("idf")))
+
+        return let(F.sort_array(totals), weighted)
+
+    def scores(found: Column, terms: Column) -> Column:
+        def shares(tokens: Column) -> Column:
+            weights = F.transform(terms, lambda t: F.size(F.filter(tokens, lambda w: w == t["term"])) * t["idf"])
+
+            def unit(w: Column) -> Column:
+                norm = F.sqrt(F.aggregate(w, F.lit(0.0), lambda s, x: s + x * x))
+                return let(norm, lambda m: F.transform(w, lambda x: F.when(m > 0, x / m).otherwise(0.0)))
+
+            return let(weights, unit)
+
+        total = F.aggregate(
+            F.transform(found, shares),
+            F.transform(terms, lambda t: F.lit(0.0)),
+            lambda sums, own: F.zip_with(sums, own, lambda a, b: a + b),
+        )
+        scored = F.zip_with(
+            terms, total, lambda t, s: F.struct((-F.round(s, 12)).alias("least"), t["term"].alias("term"))
         )
+        kept = F.filter(scored, lambda t: ~is_stop_phrase(t["term"], domain_stop_words))
+        return F.slice(F.sort_array(kept), 1, top_k)
 
-    return let(per_sentence, lambda found: let(frequent(found), lambda terms: counts(found, terms)))
+    return let(per_sentence, lambda found: let(vocabulary(found), lambda terms: scores(found, terms)))
 
 
 def sentence_topic_scores(
@@ -88,32 +103,10 @@ def sentence_topic_scores(
     Sentences end at ``.`` or a line break. Terms in more than 95 % of the sentences
     are dropped when there are more than five sentences. The ``3 * top_k`` most
     frequent terms are weighted by smoothed IDF, scaled to unit length per sentence and
-    summed. Terms are counted inside the document's row; only the counts of its frequent
-    terms are shuffled, once.
+    summed. All of it happens inside the document's row; nothing is shuffled.
     """
-    size = top_k * CANDIDATES_PER_TOPIC
-    counted = F.when(
-        has_words(F.col(text), MIN_WORDS), _sentence_counts(F.col(text), size, stop_words)
-    )
-    counts = (
-        docs.select(key, exploded(counted).alias("c")).where("c is not null").select(key, "c.*")
-    )
-    same_term = W.partitionBy(key, "term")
-    spread = counts.repartition(key).withColumns(
-        {"df": F.count("*").over(same_term), "total": F.sum("tf").over(same_term)}
-    )
-    common = (F.col("n") > MANY_SENTENCES) & (F.col("df") > F.col("n") * MAX_DF)
-    place = F.dense_rank().over(W.partitionBy(key).orderBy(F.desc("total"), "term"))
-    vocabulary = spread.where(~common).withColumn("place", place).where(F.col("place") <= size)
-    weighted = vocabulary.withColumn(
-        "weight", F.col("tf") * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1)
-    )
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(key, "pos")))
-    scored = (
-        weighted.withColumn("share", F.col("weight") / norm)
-        .groupBy(key, "term")
-        .agg(F.round(F.sum("share"), 12).alias("score"))
-        .where(~is_stop_phrase(F.col("term"), domain_stop_words))
-    )
-    rank = F.row_number().over(W.partitionBy(key).orderBy(F.desc("score"), "term"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= top_k).select(key, "rank", "term", "score")
+    scores = _sentence_scores(F.col(text), top_k, stop_words, domain_stop_words)
+    found = F.when(has_words(F.col(text), MIN_WORDS), scores)
+    placed = F.transform(found, lambda t, i: F.struct((i + 1).alias("rank"), t.alias("t")))
+    rows = docs.select(key, exploded(placed).alias("topic")).where("topic is not null")
+    return rows.select(key, "topic.rank", "topic.t.term", (-F.col("topic.t.least")).alias("score"))

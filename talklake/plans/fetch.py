@@ -51,20 +51,21 @@ class Run:
 
 
 def find_candidates(
-    landing: Landing, as_of: datetime, store: DataFrame | None = None, once_per_run: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """The run's recent videos and those still to be processed, both written once.
+    landing: Landing, as_of: datetime, store: Store | None = None, lookahead: int | None = cand.LOOKAHEAD
+) -> DataFrame:
+    """The run's recent videos with ``stored``, written once.
 
     They are few and filter every landing table, so their true size is worth knowing.
     """
-    recent = cand.recent_videos(landing.listing, landing.channels, as_of)
+    recent = cand.recent_videos(landing.listing, landing.channels, as_of, lookahead)
     if landing.failed_channels is not None:
         recent = recent.join(landing.failed_channels, "channel_id", "left_anti")
-    recent = staged(recent, "recent")
-    todo = recent if store is None else cand.unprocessed(recent, store)
-    if once_per_run:
-        todo = cand.first_in_run(todo)
-    return recent, staged(todo, "candidates")
+    if store is None:
+        return staged(recent.withColumn("stored", F.lit(False)), "recent")
+    placed = cand.with_point(recent, store.buckets)
+    known = cand.stored_among(placed, store.read()).select("bucket", "point_id", F.lit(True).alias("stored"))
+    marked = placed.join(known, ["bucket", "point_id"], "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
+    return staged(marked.drop("bucket", "point_id"), "recent")
 
 
 def complete(
@@ -94,40 +95,55 @@ def fetch(
     number_start: int = 1,
     prefix: str = markdown.FILE_PREFIX,
     generator: str = markdown.GENERATOR,
-    once_per_run: bool = True,
+    once_per_run: bool | None = None,
+    lookahead: int | None = cand.LOOKAHEAD,
 ) -> Run:
     """Process the recent videos that are not stored yet. Writes only scratch tables.
 
     Save the result with ``sources.documents`` and ``store.insert_if_absent(run.points)``.
+
+    ``once_per_run`` skips a further listing of a video that the run has processed; by default that is so when a
+    store is given, as it then holds the video. A further listing of a video that came to nothing, or
+    that could not be stored, has the same outcome again.
     """
     batch = batch_id or batch_name(as_of)
     embedder = embedder or HashedTerms(store.vector_size if store else 384)
-    recent, todo = find_candidates(landing, as_of, store.read() if store else None, once_per_run)
-    found = staged(complete(todo, landing, as_of, languages), "found")
+    once = store is not None if once_per_run is None else once_per_run
+    recent = find_candidates(landing, as_of, store, lookahead)
+    todo = recent.where(~F.col("stored")).drop("stored")
 
-    usable = found.where(~F.col("text_error") & (F.length("transcript") > 0)).drop("text_error")
-    derived = (
-        usable.withColumn("topics", keywords.topic_names(F.col("transcript")))
-        .withColumn("chapter_marks", chapters.pick(F.col("chapters"), F.col("description")))
-    )
-    videos = staged(embed(docs.numbered(derived, number_start), embedder), "videos")
+    has_text = ~F.col("text_error") & (F.length("transcript") > 0)
+    text = F.when(has_text, F.col("transcript"))
+    completed = embed(complete(todo, landing, as_of, languages).withColumn("_text", text), embedder, "_text")
     size = F.coalesce(F.size("embedding"), F.lit(-1))
     missing = F.lit(False) if store is None else size != store.vector_size
-
-    place = ["ord", "position"]
-    vectors = videos.select(*place, missing.alias("vector_missing"))
-    worked = found.join(vectors, place, "left")
     status = out.status(
         channel_failed=F.lit(False),
         stored=F.lit(False),
         text_error=F.col("text_error"),
         text=F.col("transcript"),
-        vector_missing=F.coalesce("vector_missing", F.lit(False)),
+        vector_missing=missing,
+    )
+    judged = completed.withColumns(
+        {
+            "topics": keywords.topic_names(F.col("_text")),
+            "chapter_marks": F.when(has_text, chapters.pick(F.col("chapters"), F.col("description"))),
+            "status": status,
+        }
     )
+    again = (cand.turn_in_run() > 1) & (F.col("status") == out.PROCESSED) & F.lit(once)
+    status = F.when(again, out.ALREADY_PROCESSED).otherwise(F.col("status"))
+    # Texts, vectors and outcomes of all candidates, written once; everything else is a projection of it.
+    worked = staged(judged.drop("_text", "text_error").withColumn("status", status), "worked")
+    done = worked.where(out.has_document(F.col("status"))).drop("status")
+    # Only the places are numbered; texts are not read for it.
+    place = ["ord", "position"]
+    numbers = staged(docs.numbered(done.select(*place), number_start), "numbers")
+    videos = done.join(numbers, place)
+
     key = ["channel_id", "position", "video_id"]
-    results = worked.select(*key, status.alias("status"))
-    skipped = recent.join(found.select(*place), place, "left_anti")
-    results = results.unionByName(skipped.select(*key, F.lit(out.ALREADY_PROCESSED).alias("status")))
+    skipped = recent.where("stored").select(*key, F.lit(out.ALREADY_PROCESSED).alias("status"))
+    results = worked.select(*key, "status").unionByName(skipped)
     if landing.failed_channels is not None:
         broken = enabled(landing.channels).join(landing.failed_channels, "channel_id", "left_semi")
         results = results.unionByName(

@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from talklake.functions.markdown import FILE_PREFIX
-from talklake.operators.documents import MANIFEST_PAGE, manifest
+from talklake.operators.documents import manifest
 
 
-def push(
-    files: DataFrame, batch_id: str, prefix: str = FILE_PREFIX, page_size: int = MANIFEST_PAGE
-) -> DataFrame:
-    """Manifest of ``(filename, content)`` rows, numbered by their file names."""
-    number = F.regexp_extract("filename", rf"^\Q{prefix}\E-(\d+)-", 1).cast("bigint")
-    named = files.select(F.lit(batch_id).alias("batch_id"), number.alias("number"), "filename")
-    return manifest(named, page_size, total=files.select(F.count("*")).scalar())
+def push(files: DataFrame, batch_id: str) -> DataFrame:
+    """Manifest of ``(filename, content)`` rows: every file by name, numbered or not."""
+    return manifest(files.select(F.lit(batch_id).alias("batch_id"), "filename"))

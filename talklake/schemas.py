@@ -101,6 +101,7 @@ STORE = T.StructType(
         T.StructField("transcript_number", T.LongType()),
         T.StructField("batch_id", T.StringType()),
         T.StructField("indexed_at", T.TimestampNTZType()),
+        T.StructField("write_id", T.StringType()),
         T.StructField("bucket", T.IntegerType()),
     ]
 )

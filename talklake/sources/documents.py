@@ -11,21 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from talklake.functions.markdown import FILE_PREFIX
 
 
-def _replace_partitions(docs: DataFrame, column: str):
-    """A writer that replaces only the folders it writes, so a rerun does not add rows."""
-    writer = docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    return writer.partitionBy(column)
-
-
 def write_table(docs: DataFrame, path: str) -> None:
     """Documents as a table with one folder per batch; a batch written again is replaced."""
-    _replace_partitions(docs, "batch_id").parquet(path)
-
-
-def write_files(docs: DataFrame, path: str) -> None:
-    """One text file per document, in a folder ``filename=<name>``."""
-    named = docs.select("filename", F.col("content").alias("value"))
-    _replace_partitions(named, "filename").text(path)
+    writer = docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch_id").parquet(path)
 
 
 def write_plain(docs: DataFrame, root: str) -> int:
@@ -48,16 +37,6 @@ def write_plain(docs: DataFrame, root: str) -> int:
     return written.agg(F.sum("files")).first()[0] or 0
 
 
-def read_files(spark: SparkSession, path: str, prefix: str = FILE_PREFIX) -> DataFrame:
-    """``(filename, content)`` of all documents that ``write_files`` wrote with this prefix."""
-    rows = spark.read.schema("value string, filename string").text(path, wholetext=True)
-    # The text writer ends every file with one line break of its own.
-    content = F.regexp_replace("value", r"\n\z", "")
-    return rows.where(F.col("filename").rlike(rf"^\Q{prefix}\E-.*\.md$")).select(
-        "filename", content.alias("content")
-    )
-
-
 def read_plain(spark: SparkSession, path: str, prefix: str = FILE_PREFIX) -> DataFrame:
     """``(filename, content)`` of plain ``<prefix>-*.md`` files in a folder; none gives no rows."""
     rows = spark.read.option("pathGlobFilter", f"{prefix}-*.md").text(path, wholetext=True)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from talklake.plans.fetch import Landing, Run, fetch
+from talklake.session import scratch_run
 from talklake.sources import landing as tables
 from talklake.sources.store import Store
 
@@ -37,16 +38,17 @@ def start(
     """
 
     def one_run(listing: DataFrame, epoch: int) -> None:
-        run = fetch(
-            replace(landing, listing=listing),
-            as_of,
-            store=store,
-            number_start=store.next_number(),
-            **options,
-        )
-        if on_run:
-            on_run(run)
-        store.insert_if_absent(run.points)
+        with scratch_run(store.spark):
+            run = fetch(
+                replace(landing, listing=listing),
+                as_of,
+                store=store,
+                number_start=store.next_number(),
+                **options,
+            )
+            if on_run:
+                on_run(run)
+            store.insert_if_absent(run.points)
 
     return (
         tables.stream(store.spark, "listing", listing_path)
@@ -55,8 +57,3 @@ def start(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def distinct_stream(videos: DataFrame, time: str, delay: str) -> DataFrame:
-    """Drop repeated video ids that arrive within ``delay``; its state is bounded."""
-    return videos.withWatermark(time, delay).dropDuplicatesWithinWatermark(["video_id"])

@@ -81,10 +81,22 @@ def test_positions_are_cut_before_the_join(listing, channels, plan):
     assert "position" in text and "Subquery" in text
 
 
+def test_the_position_bound_reaches_the_scan(spark, listing, channels, tmp_path):
+    """On a landed table the largest look-ahead is a filter of the scan, and a parameter lifts it."""
+    path = str(tmp_path / "listing")
+    listing.write.parquet(path)
+    landed = read(spark, "listing", path)
+    found = cand.recent_videos(landed, channels, AS_OF)
+    found.collect()
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "scalar-subquery" in scan and "LessThanOrEqual(position" in scan or "position" in scan.split("DataFilters")[1]
+    assert cand.recent_videos(landed, channels, AS_OF, lookahead=None).count() >= found.count()
+
+
 def test_skip_stored_and_repeats(spark, listing, channels):
     recent = cand.recent_videos(listing, channels, AS_OF)
-    store = spark.createDataFrame([("a4",), ("a4",), ("zz",)], "video_id string")
-    todo = cand.first_in_run(cand.unprocessed(recent, store))
+    store = cand.with_point(spark.createDataFrame([("a4",), ("a4",), ("zz",)], "video_id string"), 8)
+    todo = cand.first_in_run(cand.unprocessed(cand.with_point(recent, 8), store))
     rows = todo.orderBy("ord", "position").collect()
     assert [(r["ord"], r["video_id"]) for r in rows] == [(0, "a2"), (2, "c1"), (2, "c2")]
     assert [r["line"] for r in cand.dry_run(todo).orderBy("ord", "position").collect()][0] == "[DRY RUN] Would process: Two (a2)"

@@ -80,15 +80,11 @@ def test_rendered(spark):
 def test_files_round_trip(spark):
     rendered = docs.rendered(videos(spark), AS_OF, "batch-test")
     want = {(r["filename"], r["content"]) for r in rendered.collect()}
-    plain, parted = scratch_path(spark, "plain"), scratch_path(spark, "parted")
+    plain = scratch_path(spark, "plain")
     assert files.write_plain(rendered, plain) == 2
     assert files.write_plain(rendered, plain) == 2
     assert {tuple(r) for r in files.read_plain(spark, plain).collect()} == want
     assert files.read_plain(spark, plain, "OTHER").count() == 0
-    for _ in range(2):
-        files.write_files(rendered, parted)
-    assert {tuple(r) for r in files.read_files(spark, parted).collect()} == want
-    assert files.read_files(spark, parted, "OTHER").count() == 0
     names = [r["filename"] for r in files.by_name(files.read_plain(spark, plain)).collect()]
     assert names == sorted(names)
     table = scratch_path(spark, "table")
@@ -98,21 +94,39 @@ def test_files_round_trip(spark):
     assert spark.read.parquet(table).count() == 4
 
 
+MANIFEST = f"""## Transcript Batch: `batch-test`
+
+Auto-generated by **{GENERATOR}**.
+
+### Files
+- `TRANSCRIPT-001-ibm-technology.md`
+- `TRANSCRIPT-002-z.md`
+
+---
+*Review and merge to add these transcripts to the document corpus.*"""
+
+
+def body_of(rows):
+    text = {r["section"]: r["text"] for r in rows if r["section"] != "file"}
+    lines = [r["text"] for r in sorted((r for r in rows if r["section"] == "file"), key=lambda r: r["filename"])]
+    return text, text["body_head"] + "\n".join(lines) + text["body_tail"]
+
+
 def test_manifest(spark):
     rendered = docs.rendered(videos(spark), AS_OF, "batch-test")
-    row = docs.manifest(rendered).collect()
-    assert len(row) == 1 and row[0]["files"] == 2
-    assert row[0]["title"] == "docs(transcripts): batch batch-test"
-    assert row[0]["message"].endswith("Files: 2 transcript(s)")
-    assert "### Files\n- `TRANSCRIPT-001-ibm-technology.md`\n- `TRANSCRIPT-002-z.md`\n\n---" in row[0]["body"]
+    text, body = body_of(docs.manifest(rendered).collect())
+    assert text["title"] == "docs(transcripts): batch batch-test"
+    assert text["message"] == f"docs(transcripts): add batch batch-test\n\nAuto-generated by {GENERATOR}\nFiles: 2 transcript(s)"
+    assert body == MANIFEST
 
 
-def test_manifest_pages_keep_every_file(spark):
+def test_push_lists_every_file_numbered_or_not(spark):
     names = spark.range(1, 2501).select(F.format_string("T-%03d-x.md", "id").alias("filename"))
-    pages = push(names, "b", prefix="T", page_size=1000).collect()
-    assert sorted(p["page_files"] for p in pages) == [500, 1000, 1000]
-    listed = [line for p in pages for line in p["body"].split("\n") if line.startswith("- `")]
-    assert len(set(listed)) == 2500 and {p["files"] for p in pages} == {2500}
+    odd = spark.createDataFrame([("TRANSCRIPT-notes.md",)], "filename string")
+    rows = push(names.unionByName(odd), "b").collect()
+    assert len([r for r in rows if r["section"] == "file"]) == 2501
+    text, body = body_of(rows)
+    assert text["message"].endswith("Files: 2501 transcript(s)") and "- `TRANSCRIPT-notes.md`" in body
 
 
 def test_validate(spark):

@@ -37,3 +37,20 @@ def test_functions_on_workers_travel_with_their_code():
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], input=sent, cwd="/", env=env, capture_output=True, timeout=120)
     assert done.returncode == 0, done.stderr.decode()
+
+
+def test_search_runs_under_submit_without_a_path(tmp_path):
+    job = tmp_path / "job.py"
+    job.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {REPO!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "print('ROWS', len(e.queries()['search_topk'](spark, '/root/testdata/sf0.001').collect()))\n"
+    )
+    submit = os.path.join(os.path.dirname(pyspark.__file__), "bin", "spark-submit")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable}
+    options = ["--master", "local[2]", "--conf", "spark.ui.enabled=false"]
+    done = subprocess.run([submit, *options, str(job)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=280)
+    assert "ROWS 50" in done.stdout, done.stderr[-2000:]

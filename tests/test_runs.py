@@ -1,5 +1,7 @@
 """Whole runs: fetch, and the stream over landed listings."""
 
+import os
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -8,7 +10,8 @@ from pyspark.sql import functions as F
 from talklake import schemas
 from talklake.operators import embed
 from talklake.plans.fetch import Landing, fetch
-from talklake.session import scratch_path
+from talklake.functions.ids import point_id
+from talklake.session import scratch_path, scratch_run
 from talklake.sources import landing as tables
 from talklake.sources.store import Store
 from talklake.streaming import incremental
@@ -52,7 +55,7 @@ def landing(spark):
 def seed(spark, vector_size=16):
     store = Store.ensure(spark, scratch_path(spark, "run"), vector_size, buckets=2)
     old = spark.createDataFrame([("a0", [1.0] * vector_size)], "video_id string, embedding array<float>")
-    points = old.select(F.lit(1).cast("bigint").alias("point_id"), "*").withColumns(
+    points = old.select(point_id(F.col("video_id")).alias("point_id"), "*").withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in schemas.STORE if f.name not in ("point_id", "video_id", "embedding")}
     )
     store.insert_if_absent(points.withColumn("transcript_number", F.lit(40).cast("bigint")))
@@ -86,7 +89,7 @@ def test_fetch(spark, landing):
     names = {r["filename"] for r in run.documents.collect()}
     assert names == {"TRANSCRIPT-041-chan.md", "TRANSCRIPT-042-b.md", "TRANSCRIPT-043-b.md"}
     assert run.summary.first()["processed"] == 3
-    assert run.manifest.first()["files"] == 3 and run.batch_id == "batch-2026-03-01T06-30-00"
+    assert run.manifest.where("section = 'file'").count() == 3 and run.batch_id == "batch-2026-03-01T06-30-00"
     store.insert_if_absent(run.points)
     assert {r["video_id"] for r in store.read().collect()} == {"a0", "a1", "b1", "b4"}
     assert store.read().where("video_id = 'a1'").first()["metadata_tags"] == ["x"]
@@ -95,17 +98,41 @@ def test_fetch(spark, landing):
 
 
 def test_without_store_nothing_is_skipped(spark, landing):
-    run = fetch(landing, AS_OF, once_per_run=False)
+    run = fetch(landing, AS_OF)
     found = outcomes(run)
     assert found[("@a", "a1")] == found[("@b", "a1")] == "processed"
-    assert run.videos.count() == 4
+    assert run.videos.count() == 4 and run.documents.select("filename").distinct().count() == 4
+    once = fetch(landing, AS_OF, once_per_run=True)
+    assert outcomes(once)[("@b", "a1")] == "already_processed" and once.videos.count() == 3
+
+
+def test_a_repeat_of_what_came_to_nothing_has_the_same_outcome(spark, landing):
+    again = listing(spark, ("@a", 4, "b2"), ("@a", 5, "b3"))
+    store = seed(spark)
+    run = fetch(replace(landing, listing=landing.listing.unionByName(again)), AS_OF, store=store)
+    found = outcomes(run)
+    assert found[("@a", "b2")] == found[("@b", "b2")] == "no_transcript"
+    assert found[("@a", "b3")] == found[("@b", "b3")] == "transcript_error"
+    # What could not be stored is tried again, with a document and a number of its own.
+    run = fetch(landing, AS_OF, store=store, embedder=embed.HashedTerms(3))
+    found = outcomes(run)
+    assert found[("@a", "a1")] == found[("@b", "a1")] == "store_failed" and run.documents.count() == 4
+
+
+def test_scratch_of_a_run_goes_with_it(spark, landing):
+    store = seed(spark)
+    with scratch_run(spark) as folder:
+        run = fetch(landing, AS_OF, store=store)
+        store.insert_if_absent(run.points)
+        assert os.listdir(folder)
+    assert not os.path.exists(folder) and store.read().count() == 4
 
 
 def test_failed_vector_keeps_document_and_number(spark, landing):
     store = seed(spark)
     run = fetch(landing, AS_OF, store=store, embedder=embed.HashedTerms(3))
     assert outcomes(run)[("@a", "a1")] == "store_failed"
-    assert run.documents.count() == 3 and run.summary.first()["processed"] == 3
+    assert run.documents.count() == 4 and run.summary.first()["processed"] == 4
     store.insert_if_absent(run.points)
     assert store.read().count() == 1
 
@@ -129,8 +156,3 @@ def test_stream(spark, landing):
     # A lost checkpoint replays everything and stores nothing twice.
     checkpoint = scratch_path(spark, "checkpoint")
     assert go() == first | {"b4": 43} and store.read().count() == 4
-
-
-def test_bounded_distinct(spark):
-    rate = spark.readStream.format("rate").load().selectExpr("cast(value as string) video_id", "timestamp")
-    assert incremental.distinct_stream(rate, "timestamp", "1 day").isStreaming

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from talklake.functions.ids import point_id
+from talklake.operators.candidates import stored_among, unprocessed, with_point
 from talklake.schemas import STORE
-from talklake.session import scratch_path
+from talklake.session import scratch_path, staged
 from talklake.sources import store as st
 from talklake.sources.store import Store
 
@@ -64,15 +65,52 @@ def test_upsert_replaces_and_twice_is_once(spark, store):
         assert content(store) == want and store.read().count() == 30
 
 
-def test_upsert_rewrites_only_touched_buckets(spark, store):
+def files(store):
+    rows = store.spark.read.schema(STORE).parquet(store.path)
+    return set(map(tuple, rows.select(F.input_file_name(), "bucket").distinct().collect()))
+
+
+def test_upsert_only_appends(spark, store):
     store.upsert(rows(spark, range(40), "old"))
-    files = lambda: set(store.read().select(F.input_file_name().alias("f"), "bucket").distinct().toPandas().itertuples(index=False, name=None))
-    before, touched = files(), store.read().where("video_id = '7'").first()["bucket"]
+    before = files(store)
     store.upsert(rows(spark, [7], "new"))
-    assert {f for f in before if f[1] != touched} == {f for f in files() if f[1] != touched}
+    assert before < files(store)
     assert content(store)["7"] == "new" and store.read().count() == 40
 
 
+def test_what_is_not_committed_is_not_read(spark, store):
+    store.upsert(rows(spark, range(6), "old"))
+    before = content(store)
+    commit, store._commit = store._commit, lambda write_id: None
+    store.upsert(rows(spark, range(3, 9), "lost"))
+    store.insert_if_absent(rows(spark, range(20, 22), "lost"))
+    assert content(store) == before and store.read().count() == 6
+    store._commit = commit
+    store.upsert(rows(spark, range(3, 9), "new"))
+    assert content(store) == {str(i): "old" if i < 3 else "new" for i in range(9)} and store.read().count() == 9
+
+
+def test_compaction_drops_superseded_rows(spark, store):
+    store.upsert(rows(spark, range(40), "old"))
+    assert store.compact() == 0
+    store.upsert(rows(spark, range(30), "new"))
+    want, kept = content(store), files(store)
+    assert store.compact(0.99) == 0 and files(store) == kept
+    assert store.compact() == 4
+    assert content(store) == want and spark.read.schema(STORE).parquet(store.path).count() == 40
+    store.upsert(rows(spark, [1], "newer"))
+    assert content(store) == want | {"1": "newer"}
+
+
+def test_skip_join_reads_the_buckets_of_the_candidates(spark, store, plan):
+    store.upsert(rows(spark, range(40), "old"))
+    some = staged(with_point(spark.createDataFrame([("7",), ("99",)], "video_id string"), store.buckets), "some")
+    known = stored_among(some, store.read())
+    assert "dynamicpruning" in plan(known.select("video_id")).lower()
+    assert [r["video_id"] for r in known.collect()] == ["7"]
+    assert [r["video_id"] for r in unprocessed(some, store.read()).collect()] == ["99"]
+
+
 def test_insert_if_absent(spark, store):
     store.insert_if_absent(rows(spark, range(10), "old"))
     for _ in range(2):
@@ -82,6 +120,19 @@ def test_insert_if_absent(spark, store):
     assert store.next_number() == 11
 
 
+def test_equal_orders_have_one_winner(spark):
+    frame = spark.createDataFrame([("k", 1, "a"), ("k", 1, "b"), ("k", 0, "c")], "point_id string, write_order int, title string")
+    assert {st.last_write(frame.repartition(n)).first()["title"] for n in (1, 2, 3)} == {"b"}
+
+
+def test_text_cap_is_a_parameter(spark):
+    videos = spark.createDataFrame([("1", "c" * 9000)], "video_id string, transcript string").withColumns(
+        {n: F.lit(None).cast(k) for n, k in {"embedding": "array<float>", "title": "string", "channel": "string", "published": "timestamp_ntz", "url": "string", "duration_seconds": "bigint", "topics": "array<string>", "metadata_tags": "array<string>", "number": "bigint"}.items()}
+    )
+    length = lambda **k: st.points(videos, AS_OF, **k).select(F.length("transcript_text")).first()[0]
+    assert (length(), length(text_cap=5), length(text_cap=None)) == (8000, 5, 9000)
+
+
 def test_last_write_wins_within_a_batch(spark, store):
     first = rows(spark, [1, 2, 3], "first", order=F.lit(1))
     later = rows(spark, [2], "later", order=F.lit(5))
@@ -94,3 +145,4 @@ def test_wrong_size_is_not_stored(spark, store):
     assert set(content(store)) == {"2"}
     store.upsert(rows(spark, [3], "a", size=1))
     assert set(content(store)) == {"2"}
+    assert {(r["video_id"], len(r["embedding"])) for r in store.rejected().collect()} == {("1", 3), ("3", 1)}

@@ -53,9 +53,18 @@ def got(rows):
     return out
 
 
-@pytest.mark.parametrize("k, query_bytes", [(5, 1 << 20), (5, 300), (70, 1 << 20), (400, 1 << 20)])
-def test_top_k_equals_brute_force(frames, data, k, query_bytes):
-    assert got(vectors.top_k(*frames, k=k, query_bytes=query_bytes)) == expected(data, k)
+@pytest.mark.parametrize("k, rows, queries", [(5, 1 << 14, 1 << 10), (5, 7, 4), (70, 50, 30), (400, 1 << 14, 9)])
+def test_top_k_equals_brute_force(frames, data, k, rows, queries, monkeypatch):
+    monkeypatch.setattr(vectors, "ROW_BLOCK", rows)
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", queries)
+    assert got(vectors.top_k(*frames, k=k)) == expected(data, k)
+
+
+def test_vectors_of_several_sizes(frames, data):
+    store, asked = frames
+    short = store.sparkSession.createDataFrame([(900, [2.0]), (901, [0.5, 1.0, 1.0]), (902, None)], "query_id int, embedding array<float>")
+    found = got(vectors.top_k(store, asked.unionByName(short)))
+    assert found.pop(900) == [("short", 1.0)] and found == expected(data, 5)
 
 
 def test_top_k_with_number_ids(frames, data):
@@ -77,6 +86,9 @@ def test_corpus_is_not_joined_or_shuffled(frames, plan):
     text = plan(vectors.top_k(*frames))
     assert "Join" not in text and "CartesianProduct" not in text
     assert text.count("Exchange hashpartitioning") == 1
+    with open(vectors.__file__) as file:
+        source = file.read()
+    assert ".collect()" not in source and ".first()" not in source
 
 
 def test_filtered_search(frames, data):
@@ -107,22 +119,27 @@ def test_approximate_search(spark):
         [(f"p{i}", [float(x) for x in v]) for i, v in enumerate(points)], "video_id string, embedding array<float>"
     )
     asked = spark.createDataFrame(
-        [(i, [float(x) for x in v]) for i, v in enumerate(centres)], "query_id int, embedding array<float>"
+        [(i, [float(x) for x in v]) for i, v in enumerate(centres)] + [(99, None)], "query_id int, embedding array<float>"
     )
-    model = vectors.lsh_model(store, tables=6, bucket_length=0.5)
-    indexed, questions = vectors.lsh_buckets(store, model), vectors.lsh_buckets(asked, model)
-    near, exact = got(vectors.top_k(indexed, questions)), got(vectors.top_k(store, asked))
+    planes = vectors.SignPlanes(tables=8, bits=6)
+    indexed, questions = planes.with_keys(store), planes.with_keys(asked)
+    near, exact = got(vectors.near_top_k(indexed, questions)), got(vectors.top_k(store, asked))
     found = sum(len(set(near.get(q, [])) & set(hits)) for q, hits in exact.items())
-    assert found / 100 >= 0.9
-    # Against brute force over the same buckets.
-    rows = {r["video_id"]: set(enumerate(r["buckets"])) for r in indexed.collect()}
-    buckets = {r["query_id"]: set(enumerate(r["buckets"])) for r in questions.collect()}
+    assert found / 100 >= 0.9 and 99 not in near
+    assert vectors.sharing_keys(indexed, questions).count() < 0.4 * 20 * 600
+    # Against brute force over the same keys.
+    rows = {r["video_id"]: set(r["keys"]) for r in indexed.collect()}
+    keys = {r["query_id"]: set(r["keys"] or []) for r in questions.collect()}
+    normals = planes.normals(DIM)
+    for i, v in enumerate(points.astype(np.float32).astype(np.float64)):
+        sides = (normals @ v > 0).reshape(8, 6)
+        assert rows[f"p{i}"] == {(t << 6) + sum(1 << b for b in range(6) if sides[t, b]) for t in range(8)}
     by_name = {f"p{i}": v.astype(np.float32).astype(np.float64) for i, v in enumerate(points)}
     for q, centre in enumerate(centres):
         scored = sorted(
             (-round(cosine(by_name[n], centre.astype(np.float32).astype(np.float64)), 12), n)
             for n, own in rows.items()
-            if own & buckets[q]
+            if own & keys[q]
         )[:5]
         assert [n for n, _ in near[q]] == [n for _, n in scored]
 
@@ -133,8 +150,6 @@ def test_hashed_terms(spark):
     assert rows[1] == rows[2] and len(rows[1]) == 16
     assert sum(x * x for x in rows[1]) == pytest.approx(1, abs=1e-6)
     assert rows[3] is None and rows[5] is None and set(rows[4]) == {0.0}
-    sized = embed.embed(texts, embed.HashedTerms(16), "text")
-    assert embed.right_size(sized, 16).count() == 3 and embed.right_size(sized, 8).count() == 0
 
 
 def test_model_runs_in_batches_and_is_loaded_once(spark, tmp_path):
@@ -197,6 +212,5 @@ def test_search_by_text(spark, store):
     assert shown[("q2", 0)] == "No results found."
     json = [r["json"] for r in results.as_json(hits).where("query_id = 'q1' and rank = 1").collect()][0]
     assert '"video_id":"v3"' in json and '"topics":["fruit","pears"]' in json
-    model = vectors.lsh_model(store, tables=4)
-    near = search(store, texts, embed.HashedTerms(32), k=1, lsh=model)
+    near = search(store, texts, embed.HashedTerms(32), k=1, planes=vectors.SignPlanes(tables=12, bits=2))
     assert ("q1", "v3") in [(r["query_id"], r["video_id"]) for r in near.collect()]
