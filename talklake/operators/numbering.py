@@ -6,25 +6,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from talklake.session import staged
 
-BLOCK = 1 << 13
-
-
-def _sum_before(rows: DataFrame, key: str, value: str, name: str, block: int) -> DataFrame:
-    """Add the sum of ``value`` over all smaller keys; one task sees only block totals."""
-    part = F.floor(F.col(key) / block)
-    parted = rows.withColumn("_part", part)
-    totals = parted.groupBy("_part").agg(F.sum(value).alias("_total"))
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select(
-        "_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start")
-    )
-    inside = W.partitionBy("_part").orderBy(key).rowsBetween(W.unboundedPreceding, -1)
-    return (
-        parted.join(starts, "_part")
-        .withColumn(name, F.col("_start") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .drop("_part", "_start")
-    )
-
 
 def number_rows(
     rows: DataFrame,
@@ -34,32 +15,26 @@ def number_rows(
     *,
     start: int | Column = 1,
     through_groups: bool = False,
-    block: int = BLOCK,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Number rows by the whole-number ``key`` within each ``group``, from ``start``.
+    """Number rows by ``key`` within each ``group``, from ``start``.
 
-    With ``through_groups`` the count goes on from one group to the next, in order of the
-    whole-number ``group``. Rows are counted per block of keys, the counts become the
-    blocks' offsets, and only the rows of one block are sorted together: a group with a
-    third of all rows is as well spread as many small ones. ``rows`` is read twice: first,
-    at once, to count its keys, then to be numbered.
+    With ``through_groups`` the count goes on from one group to the next, in order of ``group``. Rows are dealt
+    by ranges of group and key and written once. Only the counts of the ranges, as many as there are
+    partitions and groups, are summed in order, and only the rows of one range are sorted together: a group with a
+    third of all rows, and keys of any spacing, are as well spread as others.
     """
-    blocked = rows.withColumn("_block", F.floor(F.col(key) / block))
-    counts = staged(blocked.groupBy(group, "_block").agg(F.count("*").alias("_n")), "counts")
-    earlier = W.partitionBy(group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        group, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
-    )
+    ranged = rows.repartitionByRange(partitions, group, key) if partitions else rows.repartitionByRange(group, key)
+    placed = staged(ranged.withColumn("_part", F.spark_partition_id()), "numbered")
+    counts = placed.groupBy("_part", group).agg(F.count("*").alias("_n"))
     if through_groups:
-        totals = counts.groupBy(group).agg(F.sum("_n").alias("_total"))
-        bases = _sum_before(totals, group, "_total", "_base", block).select(group, "_base")
-        offsets = offsets.join(bases, group).select(
-            group, "_block", (F.col("_offset") + F.col("_base")).alias("_offset")
-        )
-    turn = F.row_number().over(W.partitionBy(group, "_block").orderBy(key))
+        per_part = counts.groupBy("_part").agg(F.sum("_n").alias("_n"))
+        earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+        offsets = per_part.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        turn, keys = F.row_number().over(W.partitionBy("_part").orderBy(group, key)), ["_part"]
+    else:
+        earlier = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+        offsets = counts.select("_part", group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        turn, keys = F.row_number().over(W.partitionBy("_part", group).orderBy(key)), ["_part", group]
     number = (turn + F.col("_offset") + start - 1).cast("bigint")
-    return (
-        blocked.join(offsets, [group, "_block"])
-        .withColumn(name, number)
-        .drop("_block", "_offset")
-    )
+    return placed.join(offsets, keys).withColumn(name, number).drop("_part", "_offset")
