@@ -37,6 +37,11 @@ def chosen_segments(segments: DataFrame, tracks: DataFrame) -> DataFrame:
     return segments.join(tracks.select("video_id", "track_id"), ["video_id", "track_id"], "left_semi")
 
 
+def unplaced(segments: DataFrame) -> DataFrame:
+    """Segments without a video or a place in it. No text can hold them; they are for the run's report."""
+    return segments.where("video_id is null or seq is null")
+
+
 def _kept(segments: DataFrame, block: int) -> DataFrame:
     """``(video_id, block, seq, text)`` of the segments that stay.
 

@@ -40,6 +40,8 @@ class Run:
     videos: DataFrame
     documents: DataFrame
     points: DataFrame
+    #: Landed segments that belong to no place in a video and are in no text.
+    unplaced: DataFrame
 
     @property
     def summary(self) -> DataFrame:
@@ -157,4 +159,5 @@ def fetch(
         videos=videos,
         documents=docs.rendered(videos, as_of, batch, prefix, generator),
         points=points(videos, as_of, batch),
+        unplaced=seg.unplaced(landing.segments),
     )

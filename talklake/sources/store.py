@@ -57,8 +57,10 @@ class Store:
             found = None
         if found is None:
             rows = spark.createDataFrame([(vector_size, METRIC, buckets)], SETTINGS)
-            for name, schema in (("points", STORE), ("rejected", STORE), ("replaced", REPLACED), ("commits", COMMITS)):
-                spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/{name}")
+            folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+            files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            for name in ("points", "rejected", "replaced", "commits"):
+                files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"))
             rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/settings")
             return cls(spark, root, vector_size, buckets)
         return cls(spark, root, found["vector_size"], found["buckets"])

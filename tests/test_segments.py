@@ -103,3 +103,9 @@ def test_chosen_segments(spark):
     segments = tracks.select("video_id", "track_id", F.lit(0).alias("seq"), F.col("track_id").alias("text"))
     rows = seg.transcripts(seg.chosen_segments(segments, seg.best_track(tracks)))
     assert {r["video_id"]: r["transcript"] for r in rows.collect()} == {"v1": "m-en", "v2": "g-en", "v4": "g-en"}
+
+
+def test_segments_without_a_place_are_told(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), (None, 2, "y"), ("a", None, "z")], "video_id string, seq long, text string")
+    assert sorted(r["text"] for r in seg.unplaced(rows).collect()) == ["y", "z"]
+    assert [r["transcript"] for r in seg.transcripts(rows).collect()] == ["x"]
