@@ -73,9 +73,11 @@ FROM judged
 
 SQL["op3_suffix_dedup"] = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (
+  SELECT r, doc_id, c, substr(h, 512 * c + 1, 610) AS k FROM docs, unnest(range((length(h) // 2 + 255) // 256)) AS t(c)),
 windows AS (
-  SELECT r, doc_id, p, substr(h, 2 * p + 1, 100) AS s
-  FROM docs, unnest(range(greatest(length(h) // 2 - 49, 0))) AS t(p)),
+  SELECT r, doc_id, 256 * c + q AS p, md5_number(substr(k, 2 * q + 1, 100)) AS s
+  FROM chunks, unnest(range(least(256, greatest(length(k) // 2 - 49, 0)))) AS u(q)),
 later AS (
   SELECT r, p FROM (SELECT r, p, doc_id, min(doc_id) OVER (PARTITION BY s) AS least FROM windows)
   WHERE doc_id > least),

@@ -31,6 +31,10 @@ from talklake.llm.rolling import Ranges, sliding_min
 
 LENGTH = 50
 TRIGGER = 12
+#: Greatest length: a phrase's windows are counted in six bits.
+LONGEST = 74
+#: Ranges of window places that are told apart when phrases are compared.
+SIDES = 4
 #: Phrases or windows a worker gathers before it sums them up and passes them on.
 GATHERED = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
@@ -43,9 +47,11 @@ NO_ID = (1 << 63) - 1
 def phrases(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> dict[str, np.ndarray]:
     """The phrases of all texts of a buffer: text, first window, number of windows, and hashes.
 
-    ``trigger`` has 32 bits, ``left`` and ``right`` 16 bits each: of the trigger with half of the window's other
-    bytes before it, and after it. Two phrases that share a window agree in one of these. A half that no
-    window of the phrase reaches is a hash of the phrase itself.
+    The bytes of a window outside its trigger lie before and after it. By how many lie before, windows fall into
+    ``SIDES`` ranges. All windows of a range hold the same stretch around the trigger, whose hash is the phrase's
+    side; two phrases that share a window agree in the side of its range. A range in which the phrase has no
+    window has a hash of the phrase itself. ``trigger`` has 32 bits, each side 16, and ``at`` is the trigger's place
+    in the phrase.
     """
     pieces = []
     for begin in range(0, max(1, len(data) - length + 1), _PIECE):
@@ -61,7 +67,8 @@ def _phrases(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np
     hashes = ranges.every(TRIGGER)
     if len(hashes) < length - TRIGGER + 1:
         none = np.zeros(0, np.int64)
-        return {n: none for n in ("text", "start", "n")} | {n: none.astype(np.uint64) for n in ("phrase", "trigger", "left", "right")}
+        found = {n: none for n in ("text", "start", "n", "at")}
+        return found | {n: none.astype(np.uint64) for n in ("phrase", "trigger", *(f"side{q}" for q in range(SIDES)))}
     keys = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
     owner = (sliding_min(keys, length - TRIGGER + 1) & _PLACE).astype(np.int64)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(owner)]
@@ -72,23 +79,18 @@ def _phrases(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np
     n = np.diff(np.append(first, len(owner)))
     last = start + n - 1
     phrase = ranges.hash(start, last + length)
-    half = (length - TRIGGER) // 2
-    # The further window bytes split into two sides; the longer side has at least this many.
-    reach = length - TRIGGER - half
-    left_side = start <= at - reach
-    right_side = last >= at - half
-    low, high = np.where(left_side, at - reach, start), np.where(right_side, at + TRIGGER + reach, last + length)
-    left = ranges.hash(low, np.where(left_side, at + TRIGGER, last + length))
-    right = ranges.hash(np.where(right_side, at, start), high)
-    return {
-        "text": text,
-        "start": start,
-        "n": n,
-        "phrase": phrase,
-        "trigger": hashes[at] >> np.uint64(32),
-        "left": left >> np.uint64(48),
-        "right": right >> np.uint64(48),
-    }
+    found = {"text": text, "start": start, "n": n, "at": at - start, "phrase": phrase, "trigger": hashes[at] >> np.uint64(32)}
+    for q, (low, high) in enumerate(side_ranges(length)):
+        reached = np.maximum(low, at - last) <= np.minimum(high, at - start)
+        side = ranges.hash(np.where(reached, at - low, start), np.where(reached, at + length - high, last + length))
+        found[f"side{q}"] = side >> np.uint64(48)
+    return found
+
+
+def side_ranges(length: int) -> list[tuple[int, int]]:
+    """How many bytes of a window may lie before its trigger, in ``SIDES`` ranges, ends included."""
+    edges = np.linspace(0, length - TRIGGER + 1, SIDES + 1).astype(int)
+    return [(int(a), int(b) - 1) for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def earliest(groups: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -116,23 +118,24 @@ def _merged(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.ndarray
     return doc[at], tag[at], start[at], reach[np.append(at[1:], len(doc)) - 1] - lift[at]
 
 
-def _packed(tag: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Row tag (22 bits), first byte (34 bits) and number of windows (7 bits) in one number."""
-    return (tag << 41) | (start << 7) | n
+def _packed(tag: np.ndarray, start: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Row tag (20 bits), first byte (31 bits), number of windows and place of the trigger (6 bits each)."""
+    return (tag << 43) | (start << 12) | (n << 6) | at
 
 
-def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return at >> 41, (at >> 7) & ((1 << 34) - 1), at & 127
+def _unpacked(packed: np.ndarray) -> tuple[np.ndarray, ...]:
+    return packed >> 43, (packed >> 12) & ((1 << 31) - 1), (packed >> 6) & 63, packed & 63
 
 
-_ROWS = "kind int, key bigint, phrase bigint, doc bigint, at bigint"
-_NAMES = ("kind", "key", "phrase", "doc", "at")
+_ROWS = "kind int, key bigint, sides int, phrase bigint, doc bigint, at bigint"
+_NAMES = ("kind", "key", "sides", "phrase", "doc", "at")
 _SPAN, _PHRASE = 0, 1
 
 
-def _batch(kind: int, key, phrase, doc, at) -> pa.RecordBatch:
-    arrays = [pa.array(np.full(len(doc), kind, np.int32))]
-    arrays += [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, phrase, doc, at)]
+def _batch(kind: int, key, sides, phrase, doc, at) -> pa.RecordBatch:
+    arrays = [pa.array(np.full(len(doc), kind, np.int32)), pa.array(np.ascontiguousarray(key).view(np.int64))]
+    arrays.append(pa.array(np.ascontiguousarray(sides).view(np.int32)))
+    arrays += [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (phrase, doc, at)]
     return pa.RecordBatch.from_arrays(arrays, names=_NAMES)
 
 
@@ -140,7 +143,8 @@ def _span_batches(doc, tag, start, end) -> Iterator[pa.RecordBatch]:
     """Removed ranges: the key holds the end, ``at`` the tag and the start."""
     doc, tag, start, end = _merged(doc, tag, start, end)
     if len(doc):
-        yield _batch(_SPAN, end, np.zeros(len(doc), np.int64), doc, _packed(tag, start, np.zeros(len(doc), np.int64)))
+        none = np.zeros(len(doc), np.int64)
+        yield _batch(_SPAN, end, none.astype(np.int32), none, doc, _packed(tag, start, none, none))
 
 
 def _parse(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -158,10 +162,10 @@ def _parse(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
             row["doc"][later], row["tag"][later], row["start"][later], (row["start"] + row["n"] - 1 + length)[later]
         )
         kept = ~later
-        key = (row["trigger"] << np.uint64(32)) | (row["left"] << np.uint64(16)) | row["right"]
-        yield _batch(
-            _PHRASE, key[kept], row["phrase"][kept], row["doc"][kept], _packed(row["tag"], row["start"], row["n"])[kept]
-        )
+        key = (row["trigger"] << np.uint64(32)) | (row["side0"] << np.uint64(16)) | row["side1"]
+        sides = ((row["side2"] << np.uint64(16)) | row["side3"]).astype(np.uint32)
+        at = _packed(row["tag"], row["start"], row["n"], row["at"])
+        yield _batch(_PHRASE, key[kept], sides[kept], row["phrase"][kept], row["doc"][kept], at[kept])
 
     for batch in batches:
         texts = batch.column("text")
@@ -215,23 +219,30 @@ def _judge(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         return
     least = earliest(row["phrase"], row["doc"])
     later = row["doc"] > least
-    tag, start, n = _unpacked(row["at"])
+    tag, start, n, _ = _unpacked(row["at"])
     yield from _span_batches(row["doc"][later], tag[later], start[later], (start + n - 1 + length)[later])
     kept = ~later
-    key, phrase, doc, at = (row[c][kept] for c in _NAMES[1:])
+    key, sides, phrase, doc, at = (row[c][kept] for c in _NAMES[1:])
     trigger = key >> 32 & 0xFFFFFFFF
-    open_ = _shares(trigger, key >> 16 & 0xFFFF, phrase) | _shares(trigger, key & 0xFFFF, phrase)
     # Phrases of one document alone have no earlier one.
     several = earliest(trigger, doc) != -earliest(trigger, -doc)
-    chosen = open_ & several
+    key, sides, phrase, doc, at, trigger = (x[several] for x in (key, sides, phrase, doc, at, trigger))
+    open_ = np.zeros(len(key), np.int64)
+    for q, side in enumerate((key >> 16, key, sides >> 16, sides)):
+        open_ |= _shares(trigger, side.astype(np.int64) & 0xFFFF, phrase).astype(np.int64) << q
+    chosen = open_ > 0
     if chosen.any():
-        yield _batch(_PHRASE, key[chosen], phrase[chosen], doc[chosen], at[chosen])
+        # The document's row knows its tag; in its place stand the sides that are open.
+        yield _batch(
+            _PHRASE, at[chosen] >> 43, sides[chosen], phrase[chosen], doc[chosen], (at[chosen] & ((1 << 43) - 1)) | (open_[chosen] << 43)
+        )
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Windows of open phrases: dictionary suffixes sorted to depth ``length``, one row per distinct prefix."""
     parts: list[tuple[np.ndarray, ...]] = []
     size = 0
+    side_of = np.repeat(np.arange(SIDES), [high - low + 1 for low, high in side_ranges(length)])
 
     def flush() -> Iterator[pa.RecordBatch]:
         if not parts:
@@ -244,15 +255,21 @@ def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
         later = doc > earliest(run, doc)
         yield from _span_batches(doc[later], tag[later], start[later], start[later] + length)
         kept = ~later
-        yield _batch(_PHRASE, value[kept], value[kept], doc[kept], _packed(tag, start, np.ones(len(doc), np.int64))[kept])
+        one = np.ones(len(doc), np.int64)
+        at = _packed(tag, start, one, one)
+        yield _batch(_PHRASE, value[kept], one.astype(np.int32)[kept], value[kept], doc[kept], at[kept])
 
     for batch in batches:
         docs, tags = batch.column("doc").to_numpy(), batch.column("tag").to_numpy().astype(np.int64)
         texts = batch.column("text")
         for i, ats in enumerate(batch.column("ats")):
             raw = np.frombuffer(texts[i].as_buffer(), np.uint8)
-            _, start, n = _unpacked(np.asarray(ats.values))
-            begins = np.unique(np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum()))
+            open_, start, n, at = _unpacked(np.asarray(ats.values))
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            side = side_of[np.repeat(at, n) - place]
+            begins = np.unique((np.repeat(start, n) + place)[(np.repeat(open_, n) >> side) & 1 > 0])
+            if not len(begins):
+                continue
             windows = np.lib.stride_tricks.sliding_window_view(raw, length)[begins]
             prefix, value = windows.view(f"V{length}").ravel(), _hashes(raw, begins, length)
             m = len(begins)
@@ -280,7 +297,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     if not len(row["doc"]):
         return
     later = row["doc"] > earliest(row["phrase"], row["doc"])
-    tag, start, _ = _unpacked(row["at"][later])
+    tag, start, _, _ = _unpacked(row["at"][later])
     yield from _span_batches(row["doc"][later], tag, start, start + length)
 
 
@@ -303,12 +320,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     first = _mapped(docs, _parse, length)
     judged = written(_mapped(_dealt(first, F.shiftrightunsigned("key", 32)), _judge, length), "phrases")
-    tag = F.shiftright("at", 41)
-    open_ = judged.where(F.col("kind") == _PHRASE).groupBy("doc", tag.alias("tag")).agg(F.collect_list("at").alias("ats"))
+    tag = F.shiftright("at", 43)
+    open_ = (
+        judged.where(F.col("kind") == _PHRASE).groupBy("doc", F.col("key").alias("tag")).agg(F.collect_list("at").alias("ats"))
+    )
     texts = docs.join(open_, ["doc", "tag"])
     windows = _mapped(_dealt(_mapped(texts, _suffixes, length), F.col("phrase")), _resolve, length)
     spans = judged.where(F.col("kind") == _SPAN).unionByName(written(windows, "windows"))
-    begin = F.shiftright("at", 7).bitwiseAND(F.lit((1 << 34) - 1))
+    begin = F.shiftright("at", 12).bitwiseAND(F.lit((1 << 31) - 1))
     return spans.groupBy("doc", tag.alias("tag")).agg(
         F.collect_list(F.struct(begin.alias("start"), F.col("key").alias("end"))).alias("spans")
     )
@@ -324,10 +343,12 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", len
 
     The result holds no text twice: use ``kept_bytes`` on text and ranges for what remains.
     """
+    if not TRIGGER + SIDES <= length <= LONGEST:
+        raise ValueError(f"length must lie between {TRIGGER + SIDES} and {LONGEST}")
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "removed"))
     # The tag tells rows with equal ids and different texts apart.
     doc = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID))
-    tag = F.shiftrightunsigned(F.xxhash64(F.col(f"`{text}`")), 42)
+    tag = F.shiftrightunsigned(F.xxhash64(F.col(f"`{text}`")), 44)
     own = kept.select(doc.alias("doc"), tag.alias("tag"), F.col(f"`{text}`").alias("text"))
     found = repeated_ranges(own.where(F.octet_length("text") >= length), length)
     spans = found.toDF("__doc", "__tag", "__spans")
