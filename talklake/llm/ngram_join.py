@@ -407,7 +407,7 @@ def _grouped(docs: DataFrame, text: str, doc_id: str, size: int, similarity: int
     sets = listed.where("n > 0").select("row", "doc", "tag", "n", "d1", "d2")
     first = sets.groupBy("d1", "d2").agg(F.min("row").alias("id"))
     numbered = written(sets.join(first, ["d1", "d2"]).drop("d1", "d2"), "numbered")
-    labels = components(_links(own, listed, numbered, size, similarity))
+    labels = _labels(own, listed, numbered, size, similarity)
     roots = numbered.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id"))
     empty = listed.where("n = 0").withColumn("root", F.lit(None).cast("bigint"))
     columns = ("row", "doc", "tag", "n", "root")
@@ -464,8 +464,8 @@ def one_per_group(
     return keyed.join(kept, ["__key", "__tag"]).dropDuplicates(["__key", "__tag"]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-def _links(own: DataFrame, listed: DataFrame, numbered: DataFrame, size: int, similarity: int) -> DataFrame:
-    """Enough links ``(a, b)`` of distinct sets to know the components."""
+def _labels(own: DataFrame, listed: DataFrame, numbered: DataFrame, size: int, similarity: int) -> DataFrame:
+    """``(id, root)`` of the distinct sets that share a block with another: their components."""
     keys = listed.select("row", F.explode("keys").alias("key"))
     per_key = W.partitionBy("key")
     shared = keys.select("key", "row", F.min("row").over(per_key).alias("low"), F.max("row").over(per_key).alias("high"))
@@ -487,26 +487,33 @@ def _links(own: DataFrame, listed: DataFrame, numbered: DataFrame, size: int, si
         _applied(_with_both(stars, stored, "n", "sketch"), _near, "a bigint, b bigint, distance bigint", similarity), "near"
     )
     nearest = near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
-    links = written(_verified(nearest, stored, similarity), "links")
-    rest = _across(near.select("a", "b"), components(links))
-    links = links.unionByName(written(_verified(rest, stored, similarity), "links"))
+    labels = stored.select("id", F.col("id").alias("root")).distinct()
+    labels = _joined(labels, _verified(nearest, stored, similarity))
+    labels = _joined(labels, _verified(_across(near, labels).select("a", "b"), stored, similarity))
     # A bucket of two is done. In larger ones, the pairs without the smallest member are open.
     larger = buckets.where("size > 2").select("key", "id")
     for best in (True, False):
-        rows = larger.join(components(links), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+        rows = larger.join(labels, "id")
         several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         open_ = rows.join(several.select("key"), "key").join(stored.select("id", "n", "sketch"), "id")
         by_key = open_.repartition("key").sortWithinPartitions("key", "id")
         pairs = written(_applied(by_key, _foreign, "a bigint, b bigint", similarity, best).distinct(), "pairs")
         if pairs.isEmpty():
             break
-        links = links.unionByName(written(_verified(pairs, stored, similarity), "links"))
-    return links
+        labels = _joined(labels, _verified(pairs, stored, similarity))
+    return labels
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose sides are not known to be in one component."""
+    """The pairs whose sides are not in one component, with the components as ``a_root`` and ``b_root``."""
     for side in "ab":
         own = labels.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
-        pairs = pairs.join(own, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
-    return pairs.where("a_root <> b_root").select("a", "b")
+        pairs = pairs.join(own, side)
+    return pairs.where("a_root <> b_root")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after components with a link between them have become one."""
+    edges = _across(links, labels).select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+    tops = components(edges).select(F.col("id").alias("root"), F.col("root").alias("top"))
+    return written(labels.join(tops, "root", "left").select("id", F.coalesce("top", "root").alias("root")), "labels")
