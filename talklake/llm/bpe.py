@@ -6,7 +6,6 @@ import base64
 import hashlib
 import heapq
 import re
-import tempfile
 from collections.abc import Iterator, Sequence
 from operator import itemgetter
 
@@ -21,7 +20,7 @@ from talklake.llm.common import by_slices, extended, worker_state
 
 #: Most bytes of a vocabulary file; it travels to every worker.
 VOCABULARY_BYTES = 16 << 20
-#: Memory of a worker's DuckDB; beyond it, DuckDB spills to the worker's temporary folder.
+#: Memory of a worker's DuckDB. It writes nothing to disk; words that need more are taken in two halves.
 DUCKDB_MEMORY = "200MB"
 #: Words of one recursive query.
 WORDS_PER_QUERY = 25_000
@@ -93,7 +92,7 @@ class Codec:
                 "threads": 1,
                 "memory_limit": DUCKDB_MEMORY,
                 "preserve_insertion_order": False,
-                "temp_directory": tempfile.mkdtemp(prefix="bpe-"),
+                "temp_directory": "",
             },
         )
         tokens = list(self.ranks)
@@ -153,8 +152,15 @@ class Codec:
             }
         )
         self.db.register("start", rows)
-        found = self.db.execute(CONTRACT).fetchnumpy()
-        self.db.unregister("start")
+        try:
+            found = self.db.execute(CONTRACT).fetchnumpy()
+        except duckdb.OutOfMemoryException:
+            if len(raws) == 1:
+                raise
+            half = len(raws) // 2
+            return self.contract(raws[:half]) + self.contract(raws[half:])
+        finally:
+            self.db.unregister("start")
         cuts = np.flatnonzero(np.diff(found["word"])) + 1
         ids = found["tok"].astype("<u4").tobytes()
         bounds = [0, *(4 * cuts).tolist(), len(ids)]

@@ -159,7 +159,6 @@ def score_texts(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
 def _starting_before(points, offsets, stop: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """N-grams of ``points`` without those that start at ``stop`` or later."""
     ids, of = grams(points, offsets, buckets)
-    later_ids, later_of = grams(points[stop:], np.clip(offsets, stop, None) - stop, buckets)
     keep = np.ones(len(ids), bool)
     # Orders follow each other, and within an order the later n-grams come last.
     at = 0
@@ -182,10 +181,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")))
     schema = extended(kept.schema, "lang_pred string, score double")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a broadcast object would need its class on the workers.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.matrix))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, scores = score_texts(batch.column(text), shared.value)
+        names, scores = score_texts(batch.column(text), Model(*shared.value))
         more = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
         return pa.RecordBatch.from_arrays([*batch.columns, *more], names=[f.name for f in schema.fields])
 

@@ -208,11 +208,12 @@ def personal_data(
     named ``spans`` is replaced. Only rows with a base match are shuffled, without their texts, up to the last
     join, which brings the spans to the rows.
     """
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("spans", "row")))
+    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "spans"))
     # The row's content is its identity: the same everywhere, and equal rows get equal spans.
     halves = (F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in _plain(kept))) for seed in ("left", "right"))
-    numbered = kept.withColumn("row", F.concat_ws("-", *halves))
-    found = written(_detected(numbered, text, context).dropDuplicates(["row"]), "mentions")
+    numbered = kept.withColumn("__row", F.concat_ws("-", *halves))
+    plain = numbered.select(F.col("__row").alias("row"), F.col(f"`{text}`").alias("text"))
+    found = written(_detected(plain, "text", context).dropDuplicates(["row"]), "mentions")
     pairs = disclosing_terms(found, kept, text, disclosure, support)
     marked = (
         found.select("row", F.explode("mentions").alias("m"))
@@ -229,9 +230,9 @@ def personal_data(
         lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("o"), s["end"].alias("end"), s["kind"].alias("kind")),
     )
     final = F.transform(F.sort_array(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    ready = spans.select("row", final.alias("spans"))
+    ready = spans.select(F.col("row").alias("__row"), final.alias("spans"))
     none = F.array().cast(f"array<{SPAN}>")
-    return numbered.join(ready, "row", "left").select(
+    return numbered.join(ready, "__row", "left").select(
         *(F.col(f"`{c}`") for c in kept.columns), F.coalesce("spans", none).alias("spans")
     )
 

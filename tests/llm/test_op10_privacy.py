@@ -74,7 +74,7 @@ def brute_terms(rows, context=pv.CONTEXT):
 def test_terms_disclose_by_co_occurrence(docs):
     rows = corpus()
     found = pv.personal_data(docs(rows, row="x", spans="y", kind="z"), disclosure=0.6)
-    assert found.columns == ["doc_id", "text", "kind", "spans"]
+    assert found.columns == ["doc_id", "text", "row", "kind", "spans"]
     for r in found.collect():
         spans = [(s["kind"], s["start"], s["end"]) for s in r["spans"]]
         assert [s for s in spans if s[0] != "term"] == brute_base(r["text"])
