@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from talklake.functions.arrays import let
 from talklake.functions.text import SPACE, strip
 from talklake.functions.times import clock_text
 
@@ -29,14 +30,18 @@ def from_text(description: Column) -> Column:
     """All marker lines of a description; digits are ASCII, no range check."""
 
     def parse(line: Column) -> Column:
-        part = lambda i: F.regexp_extract(line, MARKER, i)
-        hours = F.coalesce(F.nullif(part(1), F.lit("")).cast("int"), F.lit(0))
-        minutes, seconds = part(2).cast("int"), part(3).cast("int")
-        return _chapter(
-            clock_text(hours, minutes, seconds),
-            strip(part(4)),
-            hours * 3600 + minutes * 60 + seconds,
-        )
+        # The marker's pattern has been checked: up to the first blank, a line is its clock.
+        return let(F.regexp_extract(line, r"^[\d:]+", 0), lambda clock: chapter(line, clock))
+
+    def chapter(line: Column, clock: Column) -> Column:
+        title = strip(F.substr(line, F.length(clock) + 1))
+        numbers = F.transform(F.split(clock, ":"), lambda n: n.cast("int"))
+        return let(numbers, lambda n: mark(n, title))
+
+    def mark(numbers: Column, title: Column) -> Column:
+        hours = F.when(F.size(numbers) > 2, F.get(numbers, F.lit(0))).otherwise(0)
+        minutes, seconds = F.element_at(numbers, -2), F.element_at(numbers, -1)
+        return _chapter(clock_text(hours, minutes, seconds), title, hours * 3600 + minutes * 60 + seconds)
 
     lines = F.regexp_extract_all(F.coalesce(description, F.lit("")), F.lit(MARKER), F.lit(0))
     return F.transform(lines, parse)
