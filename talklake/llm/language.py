@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from talklake.llm.common import by_slices, extended, slices, text_buffer, text_sizes
+from talklake.llm.common import by_slices, extended, slices, text_sizes
 
 #: Expected number of training documents per language: a larger corpus is sampled by a hash of the id.
 TRAIN_PER_LANGUAGE = 3000

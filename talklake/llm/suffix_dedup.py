@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute  # noqa: F401 - used as pa.compute
 from pyspark.sql import DataFrame, functions as F
 
 from talklake.llm.common import extended, slices, text_buffer, text_sizes, written
