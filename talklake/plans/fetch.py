@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -34,14 +35,33 @@ class Landing:
 
 @dataclass(frozen=True)
 class Run:
+    """What a run found. Numbers, documents and points are worked out when they are first asked for."""
+
     batch_id: str
+    as_of: datetime
     candidates: DataFrame
     outcomes: DataFrame
-    videos: DataFrame
-    documents: DataFrame
-    points: DataFrame
+    #: Videos that get a document, with text, topics, chapters and vector, not yet numbered.
+    done: DataFrame
     #: Landed segments that belong to no place in a video and are in no text.
     unplaced: DataFrame
+    number_start: int = 1
+    prefix: str = markdown.FILE_PREFIX
+    generator: str = markdown.GENERATOR
+
+    @cached_property
+    def videos(self) -> DataFrame:
+        # Only the places are numbered; texts are not read for it.
+        place = ["ord", "position"]
+        return self.done.join(staged(docs.numbered(self.done.select(*place), self.number_start), "numbers"), place)
+
+    @property
+    def documents(self) -> DataFrame:
+        return docs.rendered(self.videos, self.as_of, self.batch_id, self.prefix, self.generator)
+
+    @property
+    def points(self) -> DataFrame:
+        return points(self.videos, self.as_of, self.batch_id)
 
     @property
     def summary(self) -> DataFrame:
@@ -55,13 +75,14 @@ class Run:
 def find_candidates(
     landing: Landing, as_of: datetime, store: Store | None = None, lookahead: int | None = cand.LOOKAHEAD
 ) -> DataFrame:
-    """The run's recent videos with ``stored``, written once.
+    """The run's recent videos with ``stored`` and ``turn``, which listing of its video each is; written once.
 
     They are few and filter every landing table, so their true size is worth knowing.
     """
     recent = cand.recent_videos(landing.listing, landing.channels, as_of, lookahead)
     if landing.failed_channels is not None:
         recent = recent.join(landing.failed_channels, "channel_id", "left_anti")
+    recent = recent.withColumn("turn", cand.turn_in_run())
     if store is None:
         return staged(recent.withColumn("stored", F.lit(False)), "recent")
     placed = cand.with_point(recent, store.buckets)
@@ -133,15 +154,11 @@ def fetch(
             "status": status,
         }
     )
-    again = (cand.turn_in_run() > 1) & (F.col("status") == out.PROCESSED) & F.lit(once)
+    again = (F.col("turn") > 1) & (F.col("status") == out.PROCESSED) & F.lit(once)
     status = F.when(again, out.ALREADY_PROCESSED).otherwise(F.col("status"))
     # Texts, vectors and outcomes of all candidates, written once; everything else is a projection of it.
-    worked = staged(judged.drop("_text", "text_error").withColumn("status", status), "worked")
+    worked = staged(judged.withColumn("status", status).drop("_text", "text_error", "turn"), "worked")
     done = worked.where(out.has_document(F.col("status"))).drop("status")
-    # Only the places are numbered; texts are not read for it.
-    place = ["ord", "position"]
-    numbers = staged(docs.numbered(done.select(*place), number_start), "numbers")
-    videos = done.join(numbers, place)
 
     key = ["channel_id", "position", "video_id"]
     skipped = recent.where("stored").select(*key, F.lit(out.ALREADY_PROCESSED).alias("status"))
@@ -154,10 +171,12 @@ def fetch(
         )
     return Run(
         batch_id=batch,
-        candidates=todo,
+        as_of=as_of,
+        candidates=todo.drop("turn"),
         outcomes=results.select(F.lit(batch).alias("batch_id"), *key, "status"),
-        videos=videos,
-        documents=docs.rendered(videos, as_of, batch, prefix, generator),
-        points=points(videos, as_of, batch),
+        done=done,
         unplaced=seg.unplaced(landing.segments),
+        number_start=number_start,
+        prefix=prefix,
+        generator=generator,
     )
