@@ -12,8 +12,8 @@ second, dense sketch is written bit by bit and checks candidates before their se
 
 Documents with one set count as one. A bucket of the join is not taken apart into pairs: its members are compared with
 its smallest one first, and what is then in one component needs no further comparison. Of the members in different
-components, those pairs are compared whose dense sketches are near enough: first the nearest pair of a member and a
-foreign component, then the rest.
+components, those pairs are compared whose dense sketches are near enough: first the nearest pair of each component,
+then the rest.
 """
 
 from __future__ import annotations
@@ -299,8 +299,8 @@ def _inside(start: np.ndarray, end: np.ndarray, low: int, high: int) -> tuple[np
 def _foreign(batches: Iterator[pa.RecordBatch], similarity: int, best: bool) -> Iterator[pa.RecordBatch]:
     """Near pairs of different components in each bucket; rows come bucket by bucket, by id.
 
-    With ``best``, of each member and foreign component the nearest pair only. Pairs exist in blocks of bounded
-    size, and only near ones leave the task.
+    With ``best``, of each component in a bucket the nearest foreign pair only, so that no more pairs leave the task
+    than there are rows. Pairs exist in blocks of bounded size, and only near ones leave the task.
     """
 
     def near(rows: dict[str, np.ndarray], sketches: list[bytes]) -> pa.RecordBatch | None:
@@ -329,7 +329,7 @@ def _foreign(batches: Iterator[pa.RecordBatch], similarity: int, best: bool) ->
                 keep = distance <= furthest(n[a], n[b], similarity)
                 a, b, distance = a[keep], b[keep], distance[keep]
                 if best and len(a):
-                    chosen = [_nearest(ids[x], root[y], distance, ids[y]) for x, y in ((a, b), (b, a))]
+                    chosen = [_nearest(bucket[x], root[x], distance, ids[x], ids[y]) for x, y in ((a, b), (b, a))]
                     keep = np.unique(np.concatenate(chosen))
                     a, b = a[keep], b[keep]
                 if len(a):
@@ -360,11 +360,11 @@ def _foreign(batches: Iterator[pa.RecordBatch], similarity: int, best: bool) ->
         yield out
 
 
-def _nearest(member: np.ndarray, component: np.ndarray, distance: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Places of the nearest pair of each member and component; of equals that with the smallest id."""
-    order = np.lexsort((other, distance, component, member))
-    m, c = member[order], component[order]
-    return order[np.concatenate(([True], (m[1:] != m[:-1]) | (c[1:] != c[:-1])))]
+def _nearest(bucket: np.ndarray, component: np.ndarray, distance: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Places of the nearest pair of each component of a bucket; of equals that with the smallest ids."""
+    order = np.lexsort((other, own, distance, component, bucket))
+    b, c = bucket[order], component[order]
+    return order[np.concatenate(([True], (b[1:] != b[:-1]) | (c[1:] != c[:-1])))]
 
 
 def _rows(table: pa.Table) -> tuple[dict[str, np.ndarray], list[bytes]]:
@@ -492,7 +492,8 @@ def _labels(own: DataFrame, listed: DataFrame, numbered: DataFrame, size: int, s
     labels = _joined(labels, _verified(_across(near, labels).select("a", "b"), stored, similarity))
     # A bucket of two is done. In larger ones, the pairs without the smallest member are open.
     larger = buckets.where("size > 2").select("key", "id")
-    for best in (True, False):
+    # Each component's nearest pairs, twice, join nearly all that belongs together; then the rest is compared.
+    for best in (True, True, False):
         rows = larger.join(labels, "id")
         several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         open_ = rows.join(several.select("key"), "key").join(stored.select("id", "n", "sketch"), "id")
