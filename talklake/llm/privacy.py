@@ -184,7 +184,7 @@ def disclosing_terms(
     )
     candidates = written(near.join(n_entity, "entity"), "candidates")
     total = docs.count()
-    frequency = document_frequency(docs, text).join(candidates.select("term").distinct(), "term", "left_semi")
+    frequency = document_frequency(docs, text)
     bits = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n")))
     whole = F.log2(F.lit(float(total)) / F.col("n_e"))
     # An entity in every document has nothing left to disclose.
