@@ -32,8 +32,8 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and disclosing terms are generalised; all documents stay."""
-    clean = privacy.sanitised(privacy.personal_data(docs))
+    """Personal data and disclosing terms are generalised, in whichever document they are; all documents stay."""
+    clean = privacy.sanitised(privacy.personal_data(docs, context=None))
     return clean.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 

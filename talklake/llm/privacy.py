@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from talklake.llm.common import by_slices, written
+from talklake.llm.common import by_slices, extended, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on either side of an entity that count as its context.
@@ -20,6 +22,8 @@ DISCLOSURE = 0.8
 SUPPORT = 2
 #: Terms counted in a worker before they are passed on.
 TERMS_PER_FLUSH = 200_000
+#: Bits of the map that tells workers which terms cannot be among the disclosing ones, whatever their number.
+MAP_BITS = 1 << 25
 
 EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -28,7 +32,7 @@ DIGIT = re.compile(r"[0-9]")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-WORD = re.compile(r"[^\W\d_]{3,}")
+WORD = re.compile(r"[^\W_]{3,}")
 
 SPAN = "struct<kind:string,start:int,end:int>"
 MENTION = "struct<entity:string,terms:array<struct<term:string,start:int,end:int>>>"
@@ -111,6 +115,31 @@ def _nearest(text: str, place: int, count: int, reach: int, side: int) -> list[t
         reach *= 2
 
 
+def free_words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """The words outside all base matches; ``spans`` come by their start."""
+    merged: list[list[int]] = []
+    for _, a, b in spans:
+        if merged and a < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    i = 0
+    for m in WORD.finditer(text):
+        a, b = m.span()
+        while i < len(merged) and merged[i][1] <= a:
+            i += 1
+        if i == len(merged) or b <= merged[i][0]:
+            yield a, b
+
+
+def terms_of(text: str | None, spans: list[tuple[str, int, int]]) -> set[str]:
+    """The distinct terms of a text, outside its base matches."""
+    if not text:
+        return set()
+    words = {text[a:b] for a, b in free_words(text, spans)} if spans else set(WORD.findall(text))
+    return {w.lower() for w in words}
+
+
 def _detected(docs: DataFrame, text: str, context: int) -> DataFrame:
     """Row number, base spans and mentions of the rows that have any."""
     schema = f"row string, spans array<{SPAN}>, mentions array<{MENTION}>"
@@ -136,11 +165,13 @@ def _detected(docs: DataFrame, text: str, context: int) -> DataFrame:
     return docs.select("row", F.col(f"`{text}`").alias("text")).mapInArrow(by_slices(work, "text"), schema)
 
 
-def document_frequency(docs: DataFrame, text: str = "text") -> DataFrame:
+def document_frequency(docs: DataFrame, text: str = "text", outside: bool = False) -> DataFrame:
     """In how many documents each term occurs, over all documents: ``term, n``.
 
-    Workers sum the counts of many documents before anything is shuffled.
+    Workers sum the counts of many documents before anything is shuffled. With ``outside``, words inside base
+    matches do not count.
     """
+    distinct = lambda t: terms_of(t, base_spans(t)) if outside else set(WORD.findall((t or "").lower()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
@@ -154,7 +185,7 @@ def document_frequency(docs: DataFrame, text: str = "text") -> DataFrame:
 
         for batch in batches:
             for value in batch.column(0):
-                total.update(set(WORD.findall((value.as_py() or "").lower())))
+                total.update(distinct(value.as_py()))
                 if len(total) > TERMS_PER_FLUSH:
                     yield flush()
         if total:
@@ -183,32 +214,167 @@ def disclosing_terms(
         .where(F.col("n_et") >= support)
     )
     candidates = written(near.join(n_entity, "entity"), "candidates")
-    total = docs.count()
-    frequency = document_frequency(docs, text)
+    discloses = _discloses(docs.count(), disclosure)
+    return candidates.join(document_frequency(docs, text), "term").where(discloses).select("entity", "term")
+
+
+def _discloses(total: int, disclosure: float) -> Column:
+    """Whether the counts ``n_e``, ``n`` and ``n_et`` of ``total`` documents reach the threshold."""
     bits = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n")))
     whole = F.log2(F.lit(float(total)) / F.col("n_e"))
     # An entity in every document has nothing left to disclose.
-    return candidates.join(frequency, "term").where((whole > 0) & (bits >= disclosure * whole)).select("entity", "term")
+    return (whole > 0) & (bits >= disclosure * whole)
+
+
+def _entities(docs: DataFrame) -> DataFrame:
+    """``doc, entities, terms`` of the documents with a base match, from ``doc, text``."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        out = []
+        for doc, value in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            if spans := base_spans(value):
+                out.append((doc, sorted({entity_key(k, value[a:b]) for k, a, b in spans}), sorted(terms_of(value, spans))))
+        if not out:
+            return None
+        strings = pa.list_(pa.string())
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), strings, strings), strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc", "entities", "terms"])
+
+    return docs.mapInArrow(by_slices(work, "text"), "doc string, entities array<string>, terms array<string>")
+
+
+def marked_terms(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """The distinct terms that disclose any entity, from ``doc, text``: ``term``.
+
+    As ``disclosing_terms``, but a term and an entity are together wherever they are in one document, and
+    every row counts, repeated ones too, for entities, terms and both. ``doc`` is the same for equal texts alone.
+
+    Copies are summed up before entities meet terms, and entities in the very same documents meet them as one.
+    """
+    found = written(_entities(docs), "mentions")
+    texts = found.groupBy("doc").agg(
+        F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms")
+    )
+    texts = written(texts, "mentioned")
+    # The sum of its documents' hashes stands for the set of them.
+    share = F.xxhash64("doc").cast("decimal(38,0)") * F.col("copies")
+    seen = texts.select("doc", "copies", share.alias("share"), F.explode("entities").alias("entity"))
+    sets = seen.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.sum("share").alias("same"))
+    sets = written(sets.where(F.col("n_e") >= support), "entities")
+    groups = seen.select("doc", "entity").join(sets, "entity").select("doc", "n_e", "same").distinct()
+    together = (
+        groups.join(texts.select("doc", "copies", "terms"), "doc")
+        .select("n_e", "same", "copies", F.explode("terms").alias("term"))
+        .groupBy("n_e", "same", "term")
+        .agg(F.sum("copies").alias("n_et"))
+        .where(F.col("n_et") >= support)
+    )
+    # A group's set is of no further use: of equal counts one is enough.
+    candidates = written(together.select("n_e", "n_et", "term").distinct(), "candidates")
+    frequency = document_frequency(docs, outside=True)
+    discloses = _discloses(docs.count(), disclosure)
+    return written(candidates.join(frequency, "term").where(discloses).select("term").distinct(), "terms")
+
+
+def _map_of(terms: DataFrame) -> bytes:
+    """A bit for each term's checksum: of fixed size, and only good for telling that a term is not there."""
+    place = F.crc32(F.col("term").cast("binary")).bitwiseAND(F.lit(MAP_BITS - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+    words = terms.select(F.shiftright(place, 6).alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits"))
+    told = words.toArrow()
+    out = np.zeros(MAP_BITS // 64, np.int64)
+    out[told["at"].to_numpy()] = told["bits"].to_numpy()
+    return out.tobytes()
+
+
+def _everywhere(kept: DataFrame, text: str, disclosure: float, support: int) -> DataFrame:
+    """``kept`` with ``spans``: base matches, and every occurrence of a disclosing term in any document.
+
+    A document's distinct terms are joined with the disclosing ones; only those that the map lets through are
+    shuffled. So are the texts that have any of these; all others get their base matches where they are.
+    """
+    own = F.col(f"`{text}`")
+    doc = F.concat_ws("-", *(F.xxhash64(F.lit(seed), own) for seed in ("left", "right")))
+    plain = kept.select(doc.alias("doc"), own.alias("text"))
+    terms = marked_terms(plain, disclosure, support)
+    bits = _map_of(terms)
+
+    def possible(value: str | None) -> set[str]:
+        out = set()
+        for term in terms_of(value, base_spans(value)):
+            place = zlib.crc32(term.encode()) & (MAP_BITS - 1)
+            if bits[place >> 3] >> (place & 7) & 1:
+                out.add(term)
+        return out
+
+    def pairs(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        out = [
+            (d, t)
+            for d, value in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True)
+            for t in possible(value)
+        ]
+        if not out:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], names=["doc", "term"])
+
+    met = plain.mapInArrow(by_slices(pairs, "text"), "doc string, term string").dropDuplicates(["doc", "term"])
+    marks = written(met.join(terms, "term").groupBy("doc").agg(F.collect_list("term").alias("__marks")), "marks")
+    schema, own_names = extended(kept.schema, f"spans array<{SPAN}>"), list(kept.columns)
+    span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+    def split(hit: bool):
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            mine = [i for i, value in enumerate(batch.column(text).to_pylist()) if bool(possible(value)) == hit]
+            return batch.take(pa.array(mine, pa.int64())) if mine else None
+
+        return kept.mapInArrow(by_slices(work, text), kept.schema)
+
+    def spanned(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column(text).to_pylist()
+        known = batch.column("__marks").to_pylist() if "__marks" in batch.schema.names else [None] * len(texts)
+        out = [
+            [dict(zip(("kind", "start", "end"), s, strict=True)) for s in all_spans(value, set(m or ()))]
+            for value, m in zip(texts, known, strict=True)
+        ]
+        columns = [batch.column(n) for n in own_names]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(out, span_type)], names=[*own_names, "spans"])
+
+    # What is told apart in the workers is told apart by the text alone, so each row is on one side.
+    hit = split(True).withColumn("__doc", doc).join(marks.withColumnRenamed("doc", "__doc"), "__doc", "left").drop("__doc")
+    return split(False).mapInArrow(by_slices(spanned, text), schema).unionByName(hit.mapInArrow(by_slices(spanned, text), schema))
+
+
+def all_spans(text: str | None, marked: set[str]) -> list[tuple[str, int, int]]:
+    """Base matches and the occurrences of marked terms, by start and kind."""
+    base = base_spans(text)
+    if not marked:
+        return base
+    terms = [("term", a, b) for a, b in free_words(text, base) if text[a:b].lower() in marked]
+    return sorted([*base, *terms], key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
 def personal_data(
     docs: DataFrame,
     text: str = "text",
-    context: int = CONTEXT,
+    context: int | None = CONTEXT,
     disclosure: float = DISCLOSURE,
     support: int = SUPPORT,
 ) -> DataFrame:
     """The columns of ``docs`` with ``spans``: the base matches and the disclosing terms, in order.
 
     Base matches are e-mail addresses, network addresses, cards and phone numbers. Their distinct values are the
-    protected entities. A term within ``context`` words of an entity is marked, at that place, when all documents
-    together say that it discloses the entity. Documents without a base match are never marked.
+    protected entities. Without a ``context``, a term that discloses an entity it shares documents with is marked
+    wherever it occurs, in every document; this is what the query and the pipeline ask for.
+
+    With a ``context``, only terms within so many words of an entity are looked at, and marked at that place alone:
+    the term may stay elsewhere in the document and in others. Equal rows count once for entities there.
 
     Null and empty texts have no spans. Repeated rows are documents of their own. A column of ``docs``
-    named ``spans`` is replaced. Only rows with a base match are shuffled, without their texts, up to the last
-    join, which brings the spans to the rows.
+    named ``spans`` is replaced.
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "spans"))
+    if context is None:
+        return _everywhere(kept, text, disclosure, support)
     # The row's content is its identity: the same everywhere, and equal rows get equal spans.
     halves = (F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in _plain(kept))) for seed in ("left", "right"))
     numbered = kept.withColumn("__row", F.concat_ws("-", *halves))

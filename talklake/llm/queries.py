@@ -99,7 +99,7 @@ def op9_chat(spark, sf_dir):
 
 def op10_privacy(spark, sf_dir):
     """Personal data and the terms that disclose it, in every document."""
-    return privacy.report(privacy.personal_data(documents(spark, sf_dir)))
+    return privacy.report(privacy.personal_data(documents(spark, sf_dir), context=None))
 
 
 ALL: dict[str, Query] = {
