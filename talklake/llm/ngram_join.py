@@ -38,6 +38,8 @@ DENSITY = 16
 SEEN = 1 << 19
 #: Members of buckets a worker gathers, and pairs of them it compares at once.
 ROWS, PAIRS = 20_000, 1 << 19
+#: Members of a bucket in one block: a task compares two of them.
+BLOCK = 8192
 _BAND = np.uint64(31)
 
 
@@ -286,43 +288,57 @@ def _distances(matrix: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _partners(fresh: np.ndarray, side: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of a group the range of the rows it is compared with.
+
+    Rows come group by group, ``fresh`` at the first, by side and root. With two sides, a row of the first meets
+    all of the second; with one, a row meets those behind its component's last. No pair is of one component.
+    """
+    total = len(fresh)
+    place = np.arange(total)
+    begins = np.flatnonzero(fresh)
+    end = np.append(begins[1:], total)[np.cumsum(fresh) - 1]
+    turn = np.concatenate(([True], fresh[1:] | (root[1:] != root[:-1]) | (side[1:] != side[:-1])))
+    first = np.flatnonzero(turn)
+    behind = np.append(first[1:], total)[np.cumsum(turn) - 1]
+    seconds = np.add.reduceat(side, begins)[np.cumsum(fresh) - 1]
+    start = np.where(seconds == 0, behind, np.where(side == 0, end - seconds, end))
+    return np.maximum(start, place), end
+
+
 def _inside(start: np.ndarray, end: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of one bucket, the first of them among ``low .. high``; a bucket's first row has been compared."""
-    first = np.arange(low, high)
-    first = first[first > start[low:high]]
-    count = end[first] - first - 1
-    a = np.repeat(first, count)
-    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
-    return a, b
+    """Pairs of the rows ``low .. high`` with their partners."""
+    count = end[low:high] - start[low:high]
+    a = np.repeat(np.arange(low, high), count)
+    return a, np.repeat(start[low:high] - np.cumsum(count) + count, count) + np.arange(len(a))
 
 
 def _foreign(batches: Iterator[pa.RecordBatch], similarity: int, best: bool) -> Iterator[pa.RecordBatch]:
-    """Near pairs of different components in each bucket; rows come bucket by bucket, by id.
+    """Near pairs of different components in each group; rows come group by group, by side, root and id.
 
-    With ``best``, of each component in a bucket the nearest foreign pair only, so that no more pairs leave the task
+    With ``best``, of each component in a group the nearest foreign pair only, so that no more pairs leave the task
     than there are rows. Pairs exist in blocks of bounded size, and only near ones leave the task.
     """
 
     def near(rows: dict[str, np.ndarray], sketches: list[bytes]) -> pa.RecordBatch | None:
-        key, ids, n, root = (rows[c] for c in ("key", "id", "n", "root"))
-        fresh = np.concatenate(([True], key[1:] != key[:-1]))
-        begins = np.flatnonzero(fresh)
+        key, group, side, ids, n, root = (rows[c] for c in ("key", "group", "side", "id", "n", "root"))
+        fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (group[1:] != group[:-1])))
         bucket = np.cumsum(fresh) - 1
-        start, end = begins[bucket], np.append(begins[1:], len(key))[bucket]
+        start, end = _partners(fresh, side, root)
         found: list[np.ndarray] = []
         for band in np.unique(key & 31):
             mine = np.flatnonzero((key & 31) == band)
             matrix, place = _folded_rows(ids[mine], [sketches[i] for i in mine], dense_bits(int(band), similarity))
             at = np.zeros(len(key), np.int64)
             at[mine] = place
-            reach = np.cumsum(np.where((key & 31) == band, end - np.arange(len(key)) - 1, 0))
+            reach = np.cumsum(np.where((key & 31) == band, end - start, 0))
             low = 0
             while low < len(key):
                 base = reach[low - 1] if low else 0
                 high = max(low + 1, int(np.searchsorted(reach, base + PAIRS, side="right")))
                 a, b = _inside(start, end, low, high)
                 low = high
-                keep = ((key[a] & 31) == band) & (root[a] != root[b])
+                keep = (key[a] & 31) == band
                 keep &= 100 * np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b])
                 a, b = a[keep], b[keep]
                 distance = _distances(matrix, at[a], at[b])
@@ -348,10 +364,11 @@ def _foreign(batches: Iterator[pa.RecordBatch], similarity: int, best: bool) ->
         count += batch.num_rows
         if count < ROWS:
             continue
-        # The last bucket may go on in the next batch.
+        # The last group may go on in the next batch.
         table = pa.Table.from_batches(waiting)
-        key = table["key"].to_numpy()
-        cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
+        key, group = table["key"].to_numpy(), table["group"].to_numpy()
+        other = np.flatnonzero((key != key[-1]) | (group != group[-1]))
+        cut = int(other[-1]) + 1 if len(other) else 0
         waiting = table.slice(cut).combine_chunks().to_batches()
         count = len(key) - cut
         if cut and (out := near(*_rows(table.slice(0, cut)))) is not None:
@@ -368,7 +385,7 @@ def _nearest(bucket: np.ndarray, component: np.ndarray, distance: np.ndarray, ow
 
 
 def _rows(table: pa.Table) -> tuple[dict[str, np.ndarray], list[bytes]]:
-    return {c: table[c].to_numpy() for c in ("key", "id", "n", "root")}, table["sketch"].to_pylist()
+    return {c: table[c].to_numpy() for c in ("key", "group", "side", "id", "n", "root")}, table["sketch"].to_pylist()
 
 
 def _applied(df: DataFrame, work, schema: str, *arguments) -> DataFrame:
@@ -491,20 +508,48 @@ def _labels(own: DataFrame, listed: DataFrame, numbered: DataFrame, size: int, s
     labels = _joined(labels, _verified(nearest, stored, similarity))
     labels = _joined(labels, _verified(_across(near, labels).select("a", "b"), stored, similarity))
     # A bucket of two is done. In larger ones, the pairs without the smallest member are open.
-    larger = buckets.where("size > 2").select("key", "id")
+    larger = buckets.where("size > 2 AND id > low").select("key", "id")
     # Each component's nearest pairs, twice, join nearly all that belongs together; then the rest is compared.
     for best in (True, True, False):
         rows = larger.join(labels, "id")
         several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        open_ = rows.join(several.select("key"), "key").join(stored.select("id", "n", "sketch"), "id")
-        by_key = open_.repartition("key").sortWithinPartitions("key", "id")
-        pairs = written(_applied(by_key, _foreign, "a bigint, b bigint", similarity, best).distinct(), "pairs")
+        met = _met(rows.join(several.select("key"), "key")).join(stored.select("id", "n", "sketch"), "id")
+        by_group = met.repartition("key", "group").sortWithinPartitions("key", "group", "side", "root", "id")
+        pairs = written(_applied(by_group, _foreign, "a bigint, b bigint", similarity, best).distinct(), "pairs")
         if pairs.isEmpty():
             break
         labels = _joined(labels, _verified(pairs, stored, similarity))
     return labels
 
 
+def _met(rows: DataFrame, block: int | None = None) -> DataFrame:
+    """Members ``key, id, root`` in groups of two blocks of one bucket: ``key, group, side, id, root``.
+
+    Blocks hold about ``block`` members. A component of more than that has blocks of its own; the others share some,
+    each whole in one. Two blocks of one component never meet, and only a shared block meets itself.
+    """
+    block = block or BLOCK
+    sizes = written(rows.groupBy("key", "root").agg(F.count("*").alias("size")), "sizes")
+    small = sizes.where(F.col("size") <= block).groupBy("key").agg(F.ceil(F.sum("size") / block).alias("shared"))
+    parts = lambda c, count: F.pmod(F.xxhash64(c), count)
+    alone = F.col("size") > block
+    dealt = rows.join(sizes, ["key", "root"]).join(small, "key", "left").select(
+        "key",
+        "id",
+        "root",
+        F.when(alone, F.col("root")).otherwise(F.lit(-1)).alias("own"),
+        F.when(alone, parts("id", F.ceil(F.col("size") / block))).otherwise(parts("root", F.col("shared"))).alias("part"),
+    )
+    dealt = written(dealt, "dealt")
+    blocks = dealt.select("key", "own", "part").distinct()
+    a, b = (blocks.select("key", F.struct("own", "part").alias(side)) for side in "ab")
+    meet = a.join(b, "key").where("a <= b AND (a.own <> b.own OR a.own = -1)")
+    meet = meet.withColumn("group", F.xxhash64("a.own", "a.part", "b.own", "b.part"))
+    sides = [meet.select("key", "group", F.lit(0).cast("bigint").alias("side"), "a.own", "a.part")]
+    sides.append(meet.where("a < b").select("key", "group", F.lit(1).cast("bigint").alias("side"), "b.own", "b.part"))
+    return dealt.join(sides[0].unionByName(sides[1]), ["key", "own", "part"]).select("key", "group", "side", "id", "root")
+
+
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose sides are not in one component, with the components as ``a_root`` and ``b_root``."""
     for side in "ab":
