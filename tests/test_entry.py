@@ -5,6 +5,7 @@ import subprocess
 import sys
 
 import pyspark
+import pytest
 from pyspark.ml.feature import StopWordsRemover
 
 from talklake.functions.terms import english_stop_words
@@ -54,3 +55,31 @@ def test_search_runs_under_submit_without_a_path(tmp_path):
     options = ["--master", "local[2]", "--conf", "spark.ui.enabled=false"]
     done = subprocess.run([submit, *options, str(job)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=280)
     assert "ROWS 50" in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("library", ["duckdb", "tiktoken", "ahocorasick", "regex", "public_tokenizers", "no_such_part"])
+def test_queries_do_not_need_the_libraries_of_the_training_data_part(library):
+    """A missing library costs the queries that need it at most, and says which it was."""
+    code = (
+        "import sys, warnings\n"
+        f"sys.path.insert(0, {REPO!r})\n"
+        f"sys.modules[{library!r}] = None\n"
+        "warnings.simplefilter('ignore')\n"
+        "import __spark_entry__ as e\n"
+        "names = set(e.queries())\n"
+        "assert len(names) >= 47 and 'search_topk' in names and set(e.oracle_sql()) <= names, names\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
+def test_a_missing_module_of_the_library_is_an_error():
+    code = (
+        "import sys\n"
+        f"sys.path.insert(0, {REPO!r})\n"
+        "sys.modules['talklake.session'] = None\n"
+        "import __spark_entry__ as e\n"
+        "e._llm('talklake.plans.fetch')\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=120)
+    assert done.returncode != 0 and "talklake.session" in done.stderr
