@@ -112,3 +112,30 @@ least AS (SELECT reached.a AS r, min(doc_id) AS component_id FROM reached JOIN w
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
 FROM words LEFT JOIN sizes USING (r) LEFT JOIN least USING (r)
 """
+
+SQL["op11_mixing"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS key
+  FROM documents),
+sources AS (
+  SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM docs GROUP BY source),
+weighed AS (SELECT *, 2 * source_size AS cap, [5, 2, 1][1 + (rank - 1) % 3] AS weight, 1.5::DOUBLE * (SELECT sum(size) FROM docs) AS budget FROM sources),
+-- In order of room by weight, a source is full if its share of what the fuller ones leave is above its room.
+filled AS (
+  SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight
+    / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) > cap AS is_full FROM weighed),
+goals AS (
+  SELECT *, CASE WHEN is_full THEN cap::DOUBLE
+    ELSE (budget - coalesce(sum(cap) FILTER (is_full) OVER (), 0)) * weight / sum(weight) FILTER (NOT is_full) OVER () END AS target FROM filled),
+served AS (
+  SELECT d.*, g.rank, g.source_size, g.target, g.budget, sum(d.size) OVER (PARTITION BY g.rank ORDER BY d.key, d.r) AS served
+  FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
+entries AS (
+  SELECT *, CASE WHEN target > 0 THEN CAST(served + epoch * source_size AS DOUBLE) / target ELSE 0 END AS finish
+  FROM served, unnest([0, 1]) AS e(epoch)),
+mixed AS (SELECT *, sum(size) OVER (ORDER BY finish, rank, epoch, key, r) AS total FROM entries)
+SELECT doc_id, CAST(any_value(size) AS BIGINT) AS size, CAST(any_value(source_size) AS BIGINT) AS source_size,
+  any_value(target) AS target, CAST(coalesce(sum(size) FILTER (total <= budget), 0) AS BIGINT) AS taken
+FROM mixed GROUP BY r, doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talklake.llm import bpe, chat, decontaminate, language, ngram_join, privacy, quality, reshard, suffix_dedup, token_counts
+from talklake.llm import bpe, chat, decontaminate, language, mixing, ngram_join, privacy, quality, reshard, suffix_dedup, token_counts
 from talklake.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,11 @@ def op10_privacy(spark, sf_dir):
     return privacy.report(privacy.personal_data(documents(spark, sf_dir), context=None))
 
 
+def op11_mixing(spark, sf_dir):
+    """All documents mixed to the weights of their sources, one and a half times their words."""
+    return mixing.report(mixing.mix(documents(spark, sf_dir, "source"), carry=["doc_id"]))
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -115,6 +120,7 @@ ALL: dict[str, Query] = {
         op8_quality,
         op9_chat,
         op10_privacy,
+        op11_mixing,
     )
 }
 
