@@ -139,3 +139,59 @@ SELECT doc_id, CAST(any_value(size) AS BIGINT) AS size, CAST(any_value(source_si
   any_value(target) AS target, CAST(coalesce(sum(size) FILTER (total <= budget), 0) AS BIGINT) AS taken
 FROM mixed GROUP BY r, doc_id
 """
+
+SQL["op12_conversation_repair"] = r"""
+WITH RECURSIVE crc(bytes) AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n))),
+fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+      lambda c, b: xor(c >> 8, bytes[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) % 20 AS fate
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM fated, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS u(copy) WHERE fate <> 0),
+convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+numbered AS (
+  SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
+  FROM damaged d JOIN convs v ON d.conv_id IS NOT DISTINCT FROM v.conv_id),
+marked AS (
+  SELECT *, substr(role, 1, 1) AS initial, row_number() OVER (PARTITION BY c, role, text ORDER BY i) AS seen,
+    coalesce(lag(substr(role, 1, 1)) OVER (PARTITION BY c ORDER BY i) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM numbered),
+faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault FROM marked),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM faulty GROUP BY c),
+-- States: 0 nothing yet, 1 after the system turn, 2 after the user's, 3 after the assistant's.
+ins(state, now, cost, edits, told) AS (VALUES
+  (0, 0, 0, '', ''), (0, 2, 3, 'I', 'u'), (0, 3, 6, 'II', 'ua'), (1, 1, 0, '', ''), (1, 2, 3, 'I', 'u'), (1, 3, 6, 'II', 'ua'),
+  (2, 2, 0, '', ''), (2, 3, 3, 'I', 'a'), (2, 2, 6, 'II', 'au'), (3, 3, 0, '', ''), (3, 2, 3, 'I', 'u'), (3, 3, 6, 'II', 'ua')),
+kept(state, initial, after) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+options AS (
+  SELECT f.c, f.i, n.state, n.now AS after, n.cost + 4 AS cost, n.edits || 'D' AS edits, n.told, NULL AS line FROM faulty f, ins n
+  UNION ALL
+  SELECT f.c, f.i, n.state, CASE WHEN n.now = 2 THEN 3 ELSE 2 END, n.cost + 3 + CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END, n.edits || 'R', n.told,
+    CASE WHEN n.now = 2 THEN 'assistant:' ELSE 'user:' END || text FROM faulty f, ins n WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT f.c, f.i, n.state, k.after, n.cost + CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END, n.edits || 'K', n.told, role || ':' || text
+  FROM faulty f, ins n JOIN kept k ON k.state = n.now WHERE k.initial = f.initial AND fault NOT IN ('blank', 'duplicate')),
+step(c, i, state, best) AS (
+  SELECT c, CAST(0 AS BIGINT), 0, {'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])} FROM convs
+  UNION ALL
+  SELECT s.c, o.i, o.after, min({'cost': s.best.cost + o.cost, 'audit': s.best.audit || o.edits,
+    'lines': s.best.lines || list_transform(string_split(o.told, ''), lambda t: CASE t WHEN 'u' THEN 'user:' ELSE 'assistant:' END)[1:length(o.told)] || CASE WHEN o.line IS NULL THEN [] ELSE [o.line] END})
+  FROM step s JOIN options o ON o.c = s.c AND o.i = s.i + 1 AND o.state = s.state GROUP BY s.c, o.i, o.after),
+ends(state, cost, edits, told) AS (VALUES (0, 0, '', CAST([] AS VARCHAR[])), (1, 6, 'II', ['user:', 'assistant:']), (2, 3, 'I', ['assistant:']), (3, 0, '', [])),
+finished AS (
+  SELECT s.c, min({'cost': s.best.cost + e.cost, 'audit': s.best.audit || e.edits, 'lines': s.best.lines || e.told}) AS best
+  FROM step s JOIN ends e USING (state) WHERE s.i = coalesce((SELECT max(i) FROM numbered n WHERE n.c = s.c), 0) GROUP BY s.c)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.cost AS BIGINT) AS cost,
+  best.audit AS audit, sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
+FROM convs JOIN finished USING (c) LEFT JOIN counts USING (c)
+"""

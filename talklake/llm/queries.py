@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talklake.llm import bpe, chat, decontaminate, language, mixing, ngram_join, privacy, quality, reshard, suffix_dedup, token_counts
+from talklake.llm import bpe, chat, conversation_repair, decontaminate, language, mixing, ngram_join, privacy, quality, reshard, suffix_dedup, token_counts
 from talklake.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,12 @@ def op11_mixing(spark, sf_dir):
     return mixing.report(mixing.mix(documents(spark, sf_dir, "source"), carry=["doc_id"]))
 
 
+def op12_conversation_repair(spark, sf_dir):
+    """All conversations, damaged by a rule and repaired by the cheapest edits."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.report(rows, conversation_repair.damaged(rows))
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -121,6 +127,7 @@ ALL: dict[str, Query] = {
         op9_chat,
         op10_privacy,
         op11_mixing,
+        op12_conversation_repair,
     )
 }
 
