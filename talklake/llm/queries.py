@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talklake.llm import bpe, chat, conversation_repair, decontaminate, language, mixing, ngram_join, privacy, quality, reshard, suffix_dedup, token_counts
+from talklake.llm import bpe, chat, conversation_repair, decontaminate, language, mixing, ngram_join, privacy, quality, reshard, suffix_dedup, token_counts, whitening
 from talklake.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,12 @@ def op12_conversation_repair(spark, sf_dir):
     return conversation_repair.report(rows, conversation_repair.damaged(rows))
 
 
+def op13_whitening(spark, sf_dir):
+    """All embeddings on the first four whitened components of the distinct ones."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -128,6 +134,7 @@ ALL: dict[str, Query] = {
         op10_privacy,
         op11_mixing,
         op12_conversation_repair,
+        op13_whitening,
     )
 }
 

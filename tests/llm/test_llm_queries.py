@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in queries.ALL} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.ALL} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.ALL) | {"pipeline"} <= set(entry.queries())
 
 
