@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -84,9 +85,28 @@ def by_slices(
 
 
 def worker_state(name: str) -> dict:
-    """A dictionary of this Python worker that outlives a task, for what is dear to build again."""
+    """A dictionary of this Python worker that outlives a task, for what is dear to build again.
+
+    A reused worker keeps that of one name alone: what an operator of an earlier stage left behind goes.
+    """
     holder = sys.modules.setdefault("_talklake_worker_state", types.ModuleType("_talklake_worker_state"))
-    return holder.__dict__.setdefault(name, {})
+    kept = holder.__dict__.setdefault("kept", {})
+    if name not in kept:
+        if kept:
+            kept.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+        kept[name] = {}
+    return kept[name]
+
+
+def ragged_take(offsets: np.ndarray, values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``rows`` of ``values`` cut at ``offsets``, one after the other, and their own offsets."""
+    sizes = offsets[rows + 1] - offsets[rows]
+    ends = np.zeros(len(rows) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    places = np.arange(ends[-1]) + np.repeat(offsets[rows] - ends[:-1], sizes)
+    return ends, values[places]
 
 
 def extended(schema: StructType, more: str) -> StructType:
@@ -94,6 +114,12 @@ def extended(schema: StructType, more: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(more).fields])
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns of these names, which Spark compares without regard to case."""
+    gone = {n.lower() for n in names}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in gone))
+
+
 def inner_names(df: DataFrame, keep: dict[str, str]) -> DataFrame:
     """Only the wanted columns, under the operator's own names, so that other columns cannot clash."""
     return df.select(*(F.col(f"`{own}`").alias(name) for name, own in keep.items()))
