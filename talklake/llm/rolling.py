@@ -6,10 +6,21 @@ import numpy as np
 
 from talklake.llm.common import worker_state
 
-_BASE = 0x5851F42D4C957F2D
-_INVERSE = pow(_BASE, -1, 1 << 64)
-#: A random number per byte value, from a fixed seed: every worker has the same.
-_BYTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Two polynomials modulo a prime: modulo a power of two, words that alternate in the right way are equal
+#: under every base.
+_PRIME = (1 << 31) - 1
+_P, _SHIFT = np.uint64(_PRIME), np.uint64(31)
+_BASES = (1_583_458_089, 784_588_716)
+#: A random number per byte value and polynomial, from a fixed seed: every worker has the same.
+_BYTES = np.random.default_rng(20240229).integers(1, _PRIME, (2, 256), dtype=np.uint64)
+
+
+def _reduced(values: np.ndarray) -> np.ndarray:
+    """Numbers below 2**62 modulo the prime."""
+    values = (values & _P) + (values >> _SHIFT)
+    values = (values & _P) + (values >> _SHIFT)
+    values[values >= _P] -= _P
+    return values
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -30,27 +41,37 @@ class Ranges:
         powers = worker_state("rolling powers")
         if size not in powers:
             powers.clear()
-            powers[size] = _powers(_BASE, size), _powers(_INVERSE, size)
-        up, self.down = powers[size]
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(_BYTES[data] * up[: n - 1], out=self.sums[1:])
+            powers[size] = [(_powers(base, size), _powers(pow(base, -1, _PRIME), size)) for base in _BASES]
+        self.down = [down for _, down in powers[size]]
+        self.sums = []
+        for own, (up, _) in zip(_BYTES, powers[size], strict=True):
+            sums = np.zeros(n, np.uint64)
+            np.cumsum(_reduced(own[data] * up[: n - 1]), out=sums[1:])
+            self.sums.append(_reduced(sums))
 
     def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        size = (ends - starts).astype(np.uint64)
-        return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts] + size)
+        parts = [_reduced(_reduced(s[ends] + (_P - s[starts])) * d[starts]) for s, d in zip(self.sums, self.down, strict=True)]
+        return _hashed(*parts, (ends - starts).astype(np.uint64))
 
     def every(self, size: int) -> np.ndarray:
         """The hash of the ``size`` bytes from each place on."""
-        last = len(self.sums) - size
+        last = len(self.sums[0]) - size
         if last <= 0:
             return np.zeros(0, np.uint64)
-        return mixed((self.sums[size:] - self.sums[:last]) * self.down[:last] + np.uint64(size))
+        parts = [_reduced(_reduced(s[size:] + (_P - s[:last])) * d[:last]) for s, d in zip(self.sums, self.down, strict=True)]
+        return _hashed(*parts, np.uint64(size))
+
+
+def _hashed(high: np.ndarray, low: np.ndarray, size) -> np.ndarray:
+    return mixed(((high << _SHIFT) | low) + size * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _powers(base: int, size: int) -> np.ndarray:
-    powers = np.ones(size, np.uint64)
-    powers[1:] = np.uint64(base)
-    return np.cumprod(powers)
+    """The first powers of the base, twice as many each time; ``size`` is a power of two."""
+    powers = np.ones(1, np.uint64)
+    while len(powers) < size:
+        powers = np.concatenate([powers, _reduced(powers * np.uint64(pow(base, len(powers), _PRIME)))])
+    return powers
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

@@ -120,3 +120,12 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(200, 200)]
     found = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     assert {found[i] for i in range(61)} == {0} and {found[i] for i in range(100, 140)} == {100} and 200 not in found
+
+
+def test_long_alternating_words_are_not_equal(spark):
+    """A word of two letters and its complement, which polynomials modulo a power of two cannot tell apart."""
+    for power in (10, 12):
+        word = "".join("ab"[bin(i).count("1") & 1] for i in range(1 << power))
+        rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba")))]
+        found = nj.link_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert sorted(tuple(r)[:3] for r in found.select("doc_id", "n_shingles", "component_id").collect()) == [(1, 1, 1), (2, 1, 2)]
