@@ -12,6 +12,10 @@ Two windows are equal where their suffixes of the dictionary share a prefix of `
    these dictionary entries are sorted to the depth of ``length`` bytes; a run of equal prefixes belongs to
    the earliest document in it.
 
+This replaces the suffix arrays of dictionary and parse: no suffix array of the parse is built and the corpus is not
+put in order. At a depth of ``length`` bytes every window lies in one phrase, so equal prefixes, which meet by hash,
+decide the law; the order beyond that depth would be sorted and never used.
+
 Both steps first sum up what a worker has seen, so that a string in all documents is shuffled once per worker
 and not once per document.
 """
@@ -26,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - used as pa.compute
 from pyspark.sql import DataFrame, functions as F
 
-from talklake.llm.common import extended, slices, text_buffer, text_sizes, written
+from talklake.llm.common import extended, slices, text_buffer, text_sizes, without, written
 from talklake.llm.rolling import Ranges, sliding_min
 
 LENGTH = 50
@@ -118,33 +122,35 @@ def _merged(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.ndarray
     return doc[at], tag[at], start[at], reach[np.append(at[1:], len(doc)) - 1] - lift[at]
 
 
-def _packed(tag: np.ndarray, start: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Row tag (20 bits), first byte (31 bits), number of windows and place of the trigger (6 bits each)."""
-    return (tag << 43) | (start << 12) | (n << 6) | at
+def _packed(start: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """First byte (47 bits), number of windows and place of the trigger (6 bits each); four bits are left."""
+    return (start << 12) | (n << 6) | at
 
 
 def _unpacked(packed: np.ndarray) -> tuple[np.ndarray, ...]:
-    return packed >> 43, (packed >> 12) & ((1 << 31) - 1), (packed >> 6) & 63, packed & 63
+    return (packed >> 12) & ((1 << 47) - 1), (packed >> 6) & 63, packed & 63
 
 
-_ROWS = "kind int, key bigint, sides int, phrase bigint, doc bigint, at bigint"
-_NAMES = ("kind", "key", "sides", "phrase", "doc", "at")
+#: Where the open sides of a phrase are kept in ``at``.
+_OPEN = 59
+_ROWS = "kind int, key bigint, sides int, phrase bigint, doc bigint, tag bigint, at bigint"
+_NAMES = ("kind", "key", "sides", "phrase", "doc", "tag", "at")
 _SPAN, _PHRASE = 0, 1
 
 
-def _batch(kind: int, key, sides, phrase, doc, at) -> pa.RecordBatch:
+def _batch(kind: int, key, sides, phrase, doc, tag, at) -> pa.RecordBatch:
     arrays = [pa.array(np.full(len(doc), kind, np.int32)), pa.array(np.ascontiguousarray(key).view(np.int64))]
     arrays.append(pa.array(np.ascontiguousarray(sides).view(np.int32)))
-    arrays += [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (phrase, doc, at)]
+    arrays += [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (phrase, doc, tag, at)]
     return pa.RecordBatch.from_arrays(arrays, names=_NAMES)
 
 
 def _span_batches(doc, tag, start, end) -> Iterator[pa.RecordBatch]:
-    """Removed ranges: the key holds the end, ``at`` the tag and the start."""
+    """Removed ranges: the key holds the end, ``at`` the start."""
     doc, tag, start, end = _merged(doc, tag, start, end)
     if len(doc):
         none = np.zeros(len(doc), np.int64)
-        yield _batch(_SPAN, end, none.astype(np.int32), none, doc, _packed(tag, start, none, none))
+        yield _batch(_SPAN, end, none.astype(np.int32), none, doc, tag, _packed(start, none, none))
 
 
 def _parse(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -164,8 +170,8 @@ def _parse(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         kept = ~later
         key = (row["trigger"] << np.uint64(32)) | (row["side0"] << np.uint64(16)) | row["side1"]
         sides = ((row["side2"] << np.uint64(16)) | row["side3"]).astype(np.uint32)
-        at = _packed(row["tag"], row["start"], row["n"], row["at"])
-        yield _batch(_PHRASE, key[kept], sides[kept], row["phrase"][kept], row["doc"][kept], at[kept])
+        at = _packed(row["start"], row["n"], row["at"])
+        yield _batch(_PHRASE, key[kept], sides[kept], row["phrase"][kept], row["doc"][kept], row["tag"][kept], at[kept])
 
     for batch in batches:
         texts = batch.column("text")
@@ -219,23 +225,20 @@ def _judge(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         return
     least = earliest(row["phrase"], row["doc"])
     later = row["doc"] > least
-    tag, start, n, _ = _unpacked(row["at"])
-    yield from _span_batches(row["doc"][later], tag[later], start[later], (start + n - 1 + length)[later])
+    start, n, _ = _unpacked(row["at"])
+    yield from _span_batches(row["doc"][later], row["tag"][later], start[later], (start + n - 1 + length)[later])
     kept = ~later
-    key, sides, phrase, doc, at = (row[c][kept] for c in _NAMES[1:])
+    key, sides, phrase, doc, tag, at = (row[c][kept] for c in _NAMES[1:])
     trigger = key >> 32 & 0xFFFFFFFF
     # Phrases of one document alone have no earlier one.
     several = earliest(trigger, doc) != -earliest(trigger, -doc)
-    key, sides, phrase, doc, at, trigger = (x[several] for x in (key, sides, phrase, doc, at, trigger))
+    key, sides, phrase, doc, tag, at, trigger = (x[several] for x in (key, sides, phrase, doc, tag, at, trigger))
     open_ = np.zeros(len(key), np.int64)
     for q, side in enumerate((key >> 16, key, sides >> 16, sides)):
         open_ |= _shares(trigger, side.astype(np.int64) & 0xFFFF, phrase).astype(np.int64) << q
     chosen = open_ > 0
     if chosen.any():
-        # The document's row knows its tag; in its place stand the sides that are open.
-        yield _batch(
-            _PHRASE, at[chosen] >> 43, sides[chosen], phrase[chosen], doc[chosen], (at[chosen] & ((1 << 43) - 1)) | (open_[chosen] << 43)
-        )
+        yield _batch(_PHRASE, key[chosen], sides[chosen], phrase[chosen], doc[chosen], tag[chosen], (at | (open_ << _OPEN))[chosen])
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -256,15 +259,16 @@ def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
         yield from _span_batches(doc[later], tag[later], start[later], start[later] + length)
         kept = ~later
         one = np.ones(len(doc), np.int64)
-        at = _packed(tag, start, one, one)
-        yield _batch(_PHRASE, value[kept], one.astype(np.int32)[kept], value[kept], doc[kept], at[kept])
+        at = _packed(start, one, one)
+        yield _batch(_PHRASE, value[kept], one.astype(np.int32)[kept], value[kept], doc[kept], tag[kept], at[kept])
 
     for batch in batches:
         docs, tags = batch.column("doc").to_numpy(), batch.column("tag").to_numpy().astype(np.int64)
         texts = batch.column("text")
         for i, ats in enumerate(batch.column("ats")):
             raw = np.frombuffer(texts[i].as_buffer(), np.uint8)
-            open_, start, n, at = _unpacked(np.asarray(ats.values))
+            start, n, at = _unpacked(np.asarray(ats.values))
+            open_ = np.asarray(ats.values) >> _OPEN
             place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             side = side_of[np.repeat(at, n) - place]
             begins = np.unique((np.repeat(start, n) + place)[(np.repeat(open_, n) >> side) & 1 > 0])
@@ -292,13 +296,13 @@ def _hashes(raw: np.ndarray, begins: np.ndarray, length: int) -> np.ndarray:
 
 def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """All windows of some hashes: those that an earlier document has."""
-    row = _columns(_phrases_only(batches, passed := []), ("phrase", "doc", "at"))
+    row = _columns(_phrases_only(batches, passed := []), ("phrase", "doc", "tag", "at"))
     yield from passed
     if not len(row["doc"]):
         return
     later = row["doc"] > earliest(row["phrase"], row["doc"])
-    tag, start, _, _ = _unpacked(row["at"][later])
-    yield from _span_batches(row["doc"][later], tag, start, start + length)
+    start, _, _ = _unpacked(row["at"][later])
+    yield from _span_batches(row["doc"][later], row["tag"][later], start, start + length)
 
 
 def _mapped(df: DataFrame, work, length: int) -> DataFrame:
@@ -320,15 +324,12 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     first = _mapped(docs, _parse, length)
     judged = written(_mapped(_dealt(first, F.shiftrightunsigned("key", 32)), _judge, length), "phrases")
-    tag = F.shiftright("at", 43)
-    open_ = (
-        judged.where(F.col("kind") == _PHRASE).groupBy("doc", F.col("key").alias("tag")).agg(F.collect_list("at").alias("ats"))
-    )
+    open_ = judged.where(F.col("kind") == _PHRASE).groupBy("doc", "tag").agg(F.collect_list("at").alias("ats"))
     texts = docs.join(open_, ["doc", "tag"])
     windows = _mapped(_dealt(_mapped(texts, _suffixes, length), F.col("phrase")), _resolve, length)
     spans = judged.where(F.col("kind") == _SPAN).unionByName(written(windows, "windows"))
-    begin = F.shiftright("at", 12).bitwiseAND(F.lit((1 << 31) - 1))
-    return spans.groupBy("doc", tag.alias("tag")).agg(
+    begin = F.shiftright("at", 12).bitwiseAND(F.lit((1 << 47) - 1))
+    return spans.groupBy("doc", "tag").agg(
         F.collect_list(F.struct(begin.alias("start"), F.col("key").alias("end"))).alias("spans")
     )
 
@@ -345,25 +346,25 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", len
     """
     if not TRIGGER + SIDES <= length <= LONGEST:
         raise ValueError(f"length must lie between {TRIGGER + SIDES} and {LONGEST}")
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "removed"))
-    # The tag tells rows with equal ids and different texts apart.
+    kept = without(docs, "removed")
+    # The tag tells rows with equal ids, or without one, and different texts apart.
     doc = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID))
-    tag = F.shiftrightunsigned(F.xxhash64(F.col(f"`{text}`")), 44)
+    tag = F.xxhash64(F.col(f"`{text}`"))
     own = kept.select(doc.alias("doc"), tag.alias("tag"), F.col(f"`{text}`").alias("text"))
     found = repeated_ranges(own.where(F.octet_length("text") >= length), length)
-    spans = found.toDF("__doc", "__tag", "__spans")
-    joined = kept.withColumns({"__doc": doc, "__tag": tag}).join(spans, ["__doc", "__tag"], "left")
+    # The user's columns travel as one, so that no name can clash.
+    rows = kept.select(F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("row"), doc.alias("doc"), tag.alias("tag"))
+    joined = rows.join(found, ["doc", "tag"], "left")
     schema = extended(kept.schema, "removed array<struct<start:bigint,end:bigint>>")
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            merged = [_joined(s.values) if s.is_valid else [] for s in batch.column("__spans")]
-            columns = [batch.column(f.name) for f in schema.fields[:-1]] + [pa.array(merged, span_type)]
+            merged = [_joined(s.values) if s.is_valid else [] for s in batch.column("spans")]
+            columns = [*batch.column("row").flatten(), pa.array(merged, span_type)]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
-    columns = [*(F.col(f"`{c}`") for c in kept.columns), "__spans"]
-    return joined.select(*columns).mapInArrow(run, schema)
+    return joined.select("row", "spans").mapInArrow(run, schema)
 
 
 def _joined(spans: pa.StructArray) -> list[dict]:

@@ -83,3 +83,35 @@ def test_hashes_depend_on_content_alone():
     values = np.array([5, 3, 9, 1, 7, 2], np.uint64)
     for width in range(1, 8):
         assert sliding_min(values, width).tolist() == [min(values[i : i + width]) for i in range(len(values) - width + 1)]
+
+
+def test_many_rows_without_an_id_and_with_one_id(spark):
+    """Rows of one id are told apart however many there are: 20,000 null ids and 5,000 equal ones share a passage."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    make = lambda i: f"{i} " + "".join(rng.choice("klmnop") for _ in range(rng.randint(5, 60))) + passage[: 60 + i % 60] + str(i * 7)
+    rows = [(None, make(i)) for i in range(20_000)] + [(7, make(i)) for i in range(20_000, 25_000)] + [(3, "x" + passage[:90])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    got = sorted((tuple(r) for r in sd.report(sd.deduplicate(frame)).collect()), key=repr)
+    assert got == sorted(((None if d == sd.NO_ID else d, *r) for d, *r in brute([(sd.NO_ID if d is None else d, t) for d, t in rows])), key=repr)
+
+
+def test_clashing_names_in_other_cases(spark):
+    rows = spark.createDataFrame([(1, "a" * 80, "r", "d", "s")], "doc_id bigint, text string, Removed string, Doc string, SPANS string")
+    found = sd.deduplicate(rows)
+    assert found.columns == ["doc_id", "text", "Doc", "SPANS", "removed"]
+    assert found.first()["removed"] == []
+
+
+@pytest.mark.parametrize("power", [10, 12])
+def test_hashes_tell_alternating_words_apart(power):
+    """Under a polynomial modulo a power of two, such a word and its complement are equal."""
+    bits = np.array([bin(i).count("1") & 1 for i in range(1 << power)], np.uint8)
+    data = np.concatenate([bits + 97, (1 - bits) + 97])
+    n = 1 << power
+    ranges = Ranges(data)
+    one, two = ranges.hash(np.array([0, n]), np.array([n, 2 * n]))
+    assert one != two
+    again = Ranges(np.concatenate([np.zeros(1000, np.uint8), data]))
+    assert again.hash(np.array([1000]), np.array([1000 + n]))[0] == one
+    assert len(np.unique(ranges.every(64))) == len({bytes(data[i : i + 64]) for i in range(2 * n - 63)})
