@@ -6,13 +6,17 @@ A formatted conversation is a mode followed by its turns::
     mode         := "<plain>" | "<escaped>"
     turn         := "<s>" role "\\n" text "</s>"
 
-Texts go in as they are. The result is parsed again; where the turns do not come back the same,
-the conversation is rendered once more in escaped mode, in which no control string is left in a
-role or text, and which always comes back.
+Texts go in as they are. The result is parsed again by a parser that knows the full grammar, in which a control string
+is a token wherever it stands: where the turns do not come back the same, or a turn holds a control string, the
+conversation is rendered once more in escaped mode, in which no control string is left in a role or text, and
+which always comes back.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 PLAIN, ESCAPED = "<plain>", "<escaped>"
@@ -75,6 +79,13 @@ def parse(formatted: Column) -> Column:
     return F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), turn)
 
 
+def _holds_control(turns: Column) -> Column:
+    """Whether a role or text holds a control string; a backslash alone is none."""
+    strings = [raw for raw, _ in ESCAPES[1:]]
+    one = lambda t: reduce(or_, (F.contains(t[part], F.lit(raw)) for part in ("role", "text") for raw in strings))
+    return F.exists(turns, one)
+
+
 def format_conversations(
     rows: DataFrame,
     conv_id: str = "conv_id",
@@ -103,7 +114,7 @@ def format_conversations(
     source = own.groupBy("conv_id").agg(sorted_turns.alias("all")).select("conv_id", plain_turns.alias("source"))
     first = source.withColumn("plain", _render(F.col("source"), False))
     same = F.coalesce(parse(F.col("plain")) == F.col("source"), F.lit(False))
-    chosen = first.withColumn("escaped", ~same).withColumn(
+    chosen = first.withColumn("escaped", ~same | _holds_control(F.col("source"))).withColumn(
         "formatted", F.when(F.col("escaped"), _render(F.col("source"), True)).otherwise(F.col("plain"))
     )
     read = chosen.select("conv_id", "formatted", "escaped", "source", parse(F.col("formatted")).alias("turns"))
