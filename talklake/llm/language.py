@@ -8,11 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from talklake.llm.common import by_slices, extended, slices, text_sizes
+from talklake.llm.common import by_slices, extended, slices, text_sizes, without
 
 #: Expected number of training documents per language: a larger corpus is sampled by a hash of the id.
 TRAIN_PER_LANGUAGE = 3000
-#: Most languages a model may have; bounds the broadcast matrix at this many rows of ``BUCKETS`` floats.
+#: Most languages a model may have, the most frequent ones; bounds the broadcast matrix at this many rows of
+#: ``BUCKETS`` floats.
 MAX_LANGUAGES = 200
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -80,21 +81,20 @@ def train(
     whose id hash is divisible by ``ceil(count / per_language)`` are taken. Only rows with a
     text and a language are used. The counts of a task are summed per
     language and bucket before the shuffle, and the driver receives at most
-    ``MAX_LANGUAGES * buckets`` numbers. Without rows to learn from, the model has no language.
+    ``MAX_LANGUAGES * buckets`` numbers. Of more languages, the most frequent are learned, of equally
+    frequent ones the first by name. Without rows to learn from, the model has no language.
     """
     own = docs.select(
         F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{doc_id}`").alias("doc_id")
     )
     counts = own.where("lang is not null").groupBy("lang").count()
-    found = counts.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    found = sorted(counts.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect(), key=lambda r: r["lang"])
     languages = tuple(r["lang"] for r in found)
     if not languages:
         return Model((), np.zeros(0), np.zeros((buckets, 0), np.float32))
     step = F.create_map(*(F.lit(x) for r in found for x in (r["lang"], max(1, -(-r["count"] // per_language)))))
     hashed = F.xxhash64(F.lit("train"), "doc_id")
-    sample = own.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(
+    sample = own.where(F.col("lang").isin(*languages) & F.col("text").isNotNull()).where(
         F.pmod(hashed, step[F.col("lang")]) == 0
     )
 
@@ -128,6 +128,11 @@ def train(
     return Model(languages, np.log(seen / seen.sum()), matrix.astype(np.float32))
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter; what has none, or is null, has no language."""
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def score_texts(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     """Language and score of each text; the score is the posterior probability of the language."""
     n = len(texts)
@@ -179,7 +184,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     language that comes first by name. The matrix is bounded by ``MAX_LANGUAGES`` and the
     number of buckets, and is broadcast. Columns of ``docs`` with these names are replaced.
     """
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")))
+    kept = without(docs, "lang_pred", "score")
     schema = extended(kept.schema, "lang_pred string, score double")
     # Plain values: a broadcast object would need its class on the workers.
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.matrix))

@@ -82,3 +82,18 @@ def test_sample_is_bounded(spark):
     share = np.exp(small.matrix[ids[0], 0])
     n = (share * lg.BUCKETS - 1) / (1 - share * len(ids))
     assert 30 < n < 250
+
+
+def test_more_languages_than_a_model_may_have(spark, monkeypatch):
+    """The most frequent ones are learned; nothing fails."""
+    rows = [(i, f"text {chr(97 + i % 5) * 4}", f"l{i % 250:03}") for i in range(500)] + [(900 + i, "zz yy", "l249") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = lg.train(df)
+    assert len(model.languages) == lg.MAX_LANGUAGES and "l249" in model.languages and "l000" in model.languages
+    assert lg.identify(df.select("doc_id", "text"), model).count() == len(rows)
+
+
+def test_letters_decide_what_has_no_language(spark):
+    rows = [(1, None), (2, ""), (3, " 12 !"), (4, "é"), (5, "1a"), (6, "一")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("found", lg.has_letter(F.col("text")))
+    assert [r["found"] for r in df.orderBy("doc_id").collect()] == [False, False, False, True, True, True]
