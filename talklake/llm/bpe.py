@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-from talklake.llm.common import by_slices, extended, ragged_take, without, worker_state
+from talklake.llm.common import by_slices, extended, ragged_take, trim, without, worker_state
 
 #: Most bytes of a vocabulary file; it travels to every worker.
 VOCABULARY_BYTES = 16 << 20
@@ -24,7 +24,7 @@ WORDS_PER_QUERY = 20_000
 #: row per byte and step, the square of a word's length.
 KEYED_FROM = 96
 #: Bytes of known words and runs a worker keeps, with their ids; when there are more, it starts afresh.
-KNOWN_BYTES = 64 << 20
+KNOWN_BYTES = 48 << 20
 #: Bytes of text encoded in one go: new words of several texts share a query.
 SLICE = 2 << 20
 #: Patterns that end a word before every blank with another character after it, so that a text may be cut there
@@ -233,6 +233,8 @@ class Codec:
             found = Lists(values.dtype.type)
             found.offsets, found.values = offsets[np.array(ends)], values
             out.append(found)
+        if len(new):
+            trim()
         return out[0], out[1]
 
     def words(self, run: str) -> list[str]:
@@ -256,7 +258,7 @@ class Codec:
     def decode(self, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and bytes of what lists of ids stand for, by an ordered aggregation."""
         # Long lists go in pieces, which are put together again below.
-        piece, most = 64, 64 * WORDS_PER_QUERY
+        piece, most = 64, 8 * WORDS_PER_QUERY
         owner = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         counts = -(-sizes // piece)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import types
@@ -95,11 +96,18 @@ def worker_state(name: str) -> dict:
         if kept:
             kept.clear()
             gc.collect()
-            pa.default_memory_pool().release_unused()
+            trim()
         kept[name] = {}
     return kept[name]
 
 
+def trim() -> None:
+    """Give memory that is free in this Python worker back to the system, where that can be asked for."""
+    pa.default_memory_pool().release_unused()
+    if malloc_trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        malloc_trim(0)
+
+
 def ragged_take(offsets: np.ndarray, values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The lists ``rows`` of ``values`` cut at ``offsets``, one after the other, and their own offsets."""
     sizes = offsets[rows + 1] - offsets[rows]
