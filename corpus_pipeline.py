@@ -14,8 +14,13 @@ from talklake.llm.queries import tokenizer
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language, which have no text or no letter, go."""
+    """Documents without a language, which have no text or no letter, go.
+
+    Where no document names its language, there is none to learn, and only letters are asked for.
+    """
     model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs.where(language.has_letter(F.col("text")))
     found = language.identify(docs, model)
     return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
