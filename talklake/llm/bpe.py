@@ -24,7 +24,7 @@ WORDS_PER_QUERY = 20_000
 #: row per byte and step, the square of a word's length.
 KEYED_FROM = 96
 #: Bytes of known words and runs a worker keeps, with their ids; when there are more, it starts afresh.
-KNOWN_BYTES = 48 << 20
+KNOWN_BYTES = 32 << 20
 #: Bytes of text encoded in one go: new words of several texts share a query.
 SLICE = 2 << 20
 #: Patterns that end a word before every blank with another character after it, so that a text may be cut there
@@ -306,7 +306,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: s
         lists = pa.ListArray.from_arrays(pa.array(found.offsets.astype(np.int32)), pa.array(found.values))
         return pa.RecordBatch.from_arrays([*batch.columns, lists], names=[f.name for f in schema.fields])
 
-    return kept.mapInArrow(by_slices(work, text, SLICE), schema)
+    return kept.mapInArrow(by_slices(work, text, SLICE, "bpe"), schema)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -356,4 +356,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
         ]
         return pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
-    return kept.mapInArrow(by_slices(work, text, SLICE), schema)
+    return kept.mapInArrow(by_slices(work, text, SLICE, "bpe"), schema)

@@ -70,35 +70,44 @@ def text_sizes(texts: pa.Array) -> np.ndarray:
 
 
 def by_slices(
-    work: Callable[[pa.RecordBatch], pa.RecordBatch | None], text: str = "text", limit: int = SLICE_BYTES
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None], text: str = "text", limit: int = SLICE_BYTES, state: str = ""
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A ``mapInArrow`` function that gives ``work`` slices of bounded text size."""
+    """A ``mapInArrow`` function that gives ``work`` slices of bounded text size.
+
+    A reused worker first drops what other operators keep in it; ``state`` is how the names of this one's begin.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(state)
         for batch in batches:
             if not batch.num_rows:
                 continue
             for start, stop in slices(text_sizes(batch.column(text)), limit):
                 if (out := work(batch.slice(start, stop - start))) is not None:
                     yield out
+        trim()
 
     return run
 
 
-def worker_state(name: str) -> dict:
-    """A dictionary of this Python worker that outlives a task, for what is dear to build again.
-
-    A reused worker keeps that of one name alone: what an operator of an earlier stage left behind goes.
-    """
+def _kept() -> dict[str, dict]:
     holder = sys.modules.setdefault("_talklake_worker_state", types.ModuleType("_talklake_worker_state"))
-    kept = holder.__dict__.setdefault("kept", {})
-    if name not in kept:
-        if kept:
-            kept.clear()
-            gc.collect()
-            trim()
-        kept[name] = {}
-    return kept[name]
+    return holder.__dict__.setdefault("kept", {})
+
+
+def worker_state(name: str) -> dict:
+    """A dictionary of this Python worker that outlives a task, for what is dear to build again."""
+    return _kept().setdefault(name, {})
+
+
+def keep_only(start: str) -> None:
+    """Drop what this worker keeps under names that begin otherwise; ``""`` keeps nothing."""
+    kept = _kept()
+    if gone := [n for n in kept if not (start and n.startswith(start))]:
+        for name in gone:
+            del kept[name]
+        gc.collect()
+        trim()
 
 
 def trim() -> None:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from talklake.llm.common import by_slices, extended, slices, text_sizes, without
+from talklake.llm.common import by_slices, extended, keep_only, slices, text_sizes, without
 
 #: Expected number of training documents per language: a larger corpus is sampled by a hash of the id.
 TRAIN_PER_LANGUAGE = 3000
@@ -101,6 +101,7 @@ def train(
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches):
+        keep_only("")
         total = np.zeros((len(place), buckets), np.int64)
         for batch in batches:
             texts, names = batch.column("text"), np.array([place[x] for x in batch.column("lang").to_pylist()])

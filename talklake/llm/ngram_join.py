@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from talklake.llm.common import slices, text_buffer, text_sizes, written
+from talklake.llm.common import keep_only, slices, text_buffer, text_sizes, written
 from talklake.llm.graph import components
 from talklake.llm.rolling import Ranges, mixed
 
@@ -390,6 +390,7 @@ def _rows(table: pa.Table) -> tuple[dict[str, np.ndarray], list[bytes]]:
 
 def _applied(df: DataFrame, work, schema: str, *arguments) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("rolling")
         yield from work(batches, *arguments)
 
     return df.mapInArrow(run, schema)

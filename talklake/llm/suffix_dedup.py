@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - used as pa.compute
 from pyspark.sql import DataFrame, functions as F
 
-from talklake.llm.common import extended, slices, text_buffer, text_sizes, without, written
+from talklake.llm.common import extended, keep_only, slices, text_buffer, text_sizes, without, written
 from talklake.llm.rolling import Ranges, sliding_min
 
 LENGTH = 50
@@ -307,6 +307,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 def _mapped(df: DataFrame, work, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("rolling")
         yield from work(batches, length)
 
     return df.mapInArrow(run, _ROWS)

@@ -128,7 +128,7 @@ def token_counts(
         columns += [pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)]
         return pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
-    return kept.mapInArrow(by_slices(work, text), schema)
+    return kept.mapInArrow(by_slices(work, text, state="sections"), schema)
 
 
 def report(counted: DataFrame, doc_id: str = "doc_id") -> DataFrame:
