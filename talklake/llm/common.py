@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from talklake.session import scratch_path
 
 #: Bytes of text that a worker looks at in one go; a longer text is taken alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
