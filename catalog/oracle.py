@@ -256,6 +256,17 @@ def best_hits(k: int, where: str = "true") -> str:
       FROM embeddings, queries WHERE {where} QUALIFY rank <= {k})"""
 
 
+#: The five nearest other vectors of every fiftieth one.
+NEIGHBOURS = f"""
+    WITH scored AS (
+      SELECT a.vec_id AS query_id, b.vec_id::VARCHAR AS video_id,
+             round({cosine(double_list('b.embedding'), double_list('a.embedding'))}, 12) AS exact
+      FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+    SELECT query_id::BIGINT AS query_id, row_number() OVER (PARTITION BY query_id ORDER BY exact DESC, video_id) AS rank,
+           video_id, round(exact, 6) AS score
+    FROM scored QUALIFY rank <= 5"""
+
+
 # Planes, keys and candidates of the approximate search.
 ANN = """
     plane AS (
@@ -538,6 +549,8 @@ def all_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
         "search_topk": f"""WITH {best_hits(5)}
             SELECT query_id::BIGINT AS query_id, rank, video_id, round(exact, 6) AS score FROM hits""",
+        "search_rows": NEIGHBOURS,
+        "search_pruned": NEIGHBOURS,
         "search_topk_filtered": f"""WITH {best_hits(7, 'label <> 3')}
             SELECT query_id::BIGINT AS query_id, rank, video_id, round(exact, 6) AS score FROM hits""",
         "search_json": f"""WITH {best_hits(5)}, shown AS (

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from catalog import tables as t
 from talklake.functions import chapters, ids, markdown, text, times
 from talklake.functions.arrays import exploded
 from talklake.operators import candidates as cand
 from talklake.operators import documents as docs
-from talklake.operators import embed, enrich, keywords, registry, segments as seg, vectors
+from talklake.operators import embed, enrich, keywords, quantise, registry, segments as seg, vectors
 from talklake.plans.fetch import fetch
 from talklake.plans.push import push
 from talklake.plans.search import search
@@ -304,6 +304,81 @@ def search_topk(spark, sf_dir):
     return ranked(vectors.top_k(vector_store(spark, sf_dir), label_queries(spark, sf_dir)))
 
 
+def row_queries(spark, sf_dir) -> DataFrame:
+    """Every stored vector whose id is divisible by fifty, as a query for its neighbours."""
+    rows = t.table(spark, sf_dir, "embeddings").where(F.col("vec_id") % 50 == 0)
+    return rows.select(F.col("vec_id").alias("query_id"), "embedding", F.concat(F.lit("Label "), F.col("label").cast("string")).alias("label"))
+
+
+def indexed_store(spark, sf_dir) -> Store:
+    """All vectors in an indexed store: two thirds before the index is made, the rest, and some once more, after."""
+    store = Store.ensure(spark, scratch_path(spark, "indexed-store"), 64, buckets=8)
+    rows = vector_store(spark, sf_dir).withColumn("metadata_tags", F.array().cast("array<string>"))
+    rows = rows.select("*", F.col("published_date").alias("published"), F.lit(0).alias("duration_seconds"), F.lit("").alias("transcript"), F.col("video_id").cast("bigint").alias("number"))
+    made = staged(points(rows, t.AS_OF, "batch-index"), "vectors")
+    turn = F.col("transcript_number") % 3
+    store.upsert(made.where(turn < 2))
+    store.build_index()
+    store.upsert(made.where(turn == 1))
+    store.insert_if_absent(made)
+    return store
+
+
+def without_itself(found: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` hits other than the query's own row, counted anew."""
+    other = found.where(F.col("video_id") != F.col("query_id").cast("string"))
+    place = F.row_number().over(W.partitionBy("query_id").orderBy("rank"))
+    return other.withColumn("rank", place).where(F.col("rank") <= k)
+
+
+def search_rows(spark, sf_dir):
+    """The five nearest other vectors of every fiftieth, exactly, by a full scan."""
+    return ranked(without_itself(vectors.top_k(vector_store(spark, sf_dir), row_queries(spark, sf_dir).drop("label"), 6), 5))
+
+
+def search_pruned(spark, sf_dir):
+    """The same through an index's lists: those that cannot hold a hit are skipped."""
+    rows, model = indexed_store(spark, sf_dir).index_rows()
+    found, _ = quantise.exact_top_k(rows, row_queries(spark, sf_dir).drop("label"), model, 6)
+    return ranked(without_itself(found, 5))
+
+
+#: Shares of the rows whose lists a query asks. The given vectors have hardly any near neighbours, so much is asked.
+INDEX_SHARE, LABEL_SHARE = 0.6, 0.7
+
+
+def recall_of(found: DataFrame, exact: DataFrame, scored: DataFrame) -> DataFrame:
+    """Per query: exact hits, those found, and the share of rows whose codes or vectors were scored."""
+    pairs = exact.select("query_id", "video_id").join(found.select("query_id", "video_id", F.lit(1).alias("hit")), ["query_id", "video_id"], "left")
+    counts = pairs.groupBy("query_id").agg(F.count("*").alias("exact"), F.count("hit").alias("found"))
+    return counts.join(scored, "query_id").select(
+        F.col("query_id").cast("bigint").alias("query_id"), "exact", "found", (F.col("found") / F.col("exact")).alias("recall"), six(F.col("scored") / F.col("total")).alias("scored_share")
+    )
+
+
+def search_index(spark, sf_dir):
+    """Recall of approximate search over the inverted lists, against the exact search."""
+    rows, model = indexed_store(spark, sf_dir).index_rows()
+    queries = staged(row_queries(spark, sf_dir).drop("label"), "asked")
+    found, scored = quantise.near_lists(rows, queries, model, INDEX_SHARE, 6)
+    exact = vectors.top_k(vector_store(spark, sf_dir), queries, 6)
+    return recall_of(without_itself(found, 5), without_itself(exact, 5), scored)
+
+
+def search_index_filtered(spark, sf_dir):
+    """The same among the rows of each query's own label, whose counts per list order the lists."""
+    rows, model = indexed_store(spark, sf_dir).index_rows()
+    queries = staged(row_queries(spark, sf_dir), "asked")
+    found, scored = quantise.near_lists(rows, queries, model, LABEL_SHARE, 6, label="label")
+    store = vector_store(spark, sf_dir)
+    labels = [r["label"] for r in queries.select("label").distinct().collect()]
+    parts = [vectors.top_k(store.where(F.col("channel") == x), queries.where(F.col("label") == x).drop("label"), 6) for x in labels]
+    exact = parts[0]
+    for part in parts[1:]:
+        exact = exact.unionByName(part)
+    return recall_of(without_itself(found, 5), without_itself(exact, 5), scored)
+
+
 def search_topk_filtered(spark, sf_dir):
     part = vector_store(spark, sf_dir).where(F.col("channel") != "Label 3")
     return ranked(vectors.top_k(part, label_queries(spark, sf_dir), 7))
@@ -575,6 +650,10 @@ ALL: dict[str, Query] = {
         last_writes,
         search_topk,
         search_topk_filtered,
+        search_rows,
+        search_pruned,
+        search_index,
+        search_index_filtered,
         search_json,
         search_text,
         search_nearest,

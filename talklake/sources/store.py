@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from talklake.functions.ids import bucket, point_id
 from talklake.functions.times import batch_name, moment
 from talklake.operators.candidates import stored_among, unprocessed
+from talklake.operators.quantise import Quantiser
 from talklake.schemas import STORE
 from talklake.session import staged
+from talklake.sources.inverted import InvertedFile
 
 # --- fixed values --------------------------------------------------------------------
 TEXT_CAP = 8000  # the default of a parameter
@@ -108,9 +110,27 @@ class Store:
         return checked.where("fits").drop("fits")
 
     def _append(self, points: DataFrame) -> None:
-        """Few files per bucket; AQE splits a bucket that is too large for one task."""
+        """Few files per bucket; AQE splits a bucket that is too large for one task. The index gets the rows too."""
         rows = points.hint("rebalance", F.col("bucket"))
         rows.write.mode("append").partitionBy("bucket").parquet(self.path)
+        index = InvertedFile(self.spark, self.root)
+        if (model := index.model()) is not None:
+            index.append(points.withColumn("label", F.col("channel")), model)
+
+    def build_index(self, lists: int | None = None, parts: int = 8) -> bool:
+        """Write the store's points into inverted lists; later writes add to them. False if there is no point.
+
+        The channel is the label of filtered searches. Run it while nothing else writes.
+        """
+        live = self._versions().join(self._superseded(), list(VERSION), "left_anti")
+        return InvertedFile(self.spark, self.root).create(live, self.vector_size, lists, parts, F.col("channel"))
+
+    def index_rows(self) -> tuple[DataFrame, Quantiser]:
+        """The index's rows of all that ``read`` has a vector for, and its quantiser."""
+        index = InvertedFile(self.spark, self.root)
+        if (model := index.model()) is None:
+            raise ValueError(f"no index in {self.root}")
+        return index.rows(self._table("commits", COMMITS), self._superseded()), model
 
     def _commit(self, write_id: str) -> None:
         self.spark.createDataFrame([(write_id,)], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
