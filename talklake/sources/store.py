@@ -2,9 +2,9 @@
 
 ``<root>/settings`` holds the vector size and the number of buckets, ``<root>/points`` the rows, each with the id
 of the write that brought it. ``<root>/replaced`` names rows that a later write superseded, ``<root>/commits``
-the writes that count. A write adds rows and the names of what they replace, and counts from the moment its one
-commit row is there; what a failed write leaves behind is never read. So nothing is rewritten for an upsert, and
-readers see all of a write or nothing. ``compact`` rewrites the buckets in which much is superseded.
+the writes that count, each with the largest number it was given. A write adds rows and the names of what they
+replace, and counts from the moment its one commit row is there; what a failed write leaves behind is never read.
+So nothing is rewritten for an upsert, and readers see all of a write or nothing. ``compact`` rewrites the buckets in which much is superseded.
 
 Point ids are hashes, so buckets are even whatever the videos are. Choose the number of buckets so that one of
 them is cheap to rewrite, some gigabytes.
@@ -32,7 +32,7 @@ METRIC = "cosine"
 # -------------------------------------------------------------------------------------
 
 SETTINGS = "vector_size int, metric string, buckets int"
-COMMITS = "write_id string"
+COMMITS = "write_id string, largest bigint"
 REPLACED = "bucket int, point_id bigint, write_id string, by_write string"
 #: What names one version of a point.
 VERSION = ("bucket", "point_id", "write_id")
@@ -96,8 +96,15 @@ class Store:
         return self._table("rejected", STORE)
 
     def next_number(self) -> int:
-        """The number after the largest stored one."""
-        return (self.read().agg(F.max("transcript_number")).first()[0] or 0) + 1
+        """The number after the largest that a write was given, so none is given twice, stored or not.
+
+        The commits say it and no point is read, unless a write of an earlier layout left it out.
+        """
+        commits = self._table("commits", COMMITS)
+        known, unknown = commits.agg(F.max("largest"), F.count_if(F.col("largest").isNull())).first()
+        if unknown:
+            known = max(known or 0, self._versions().agg(F.max("transcript_number")).first()[0] or 0)
+        return (known or 0) + 1
 
     def _checked(self, points: DataFrame, write_id: str, label: str) -> DataFrame:
         """One row per point with a vector of the right size; the others are kept in ``rejected``."""
@@ -132,15 +139,16 @@ class Store:
             raise ValueError(f"no index in {self.root}")
         return index.rows(self._table("commits", COMMITS), self._superseded()), model
 
-    def _commit(self, write_id: str) -> None:
-        self.spark.createDataFrame([(write_id,)], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+    def _commit(self, write: tuple[str, int]) -> None:
+        """From here on the write, given with its largest number, counts."""
+        self.spark.createDataFrame([write], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def insert_if_absent(self, points: DataFrame) -> None:
         """Append the points that are not stored yet. Running it again adds nothing."""
         write_id = uuid.uuid4().hex
         fresh = self._checked(points, write_id, "insert")
         self._append(unprocessed(fresh, self.read()))
-        self._commit(write_id)
+        self._commit((write_id, largest_number(fresh)))
 
     def upsert(self, points: DataFrame) -> None:
         """Replace points with the same id and add the others, by appending alone.
@@ -153,7 +161,7 @@ class Store:
         gone = known.select(*VERSION, F.lit(write_id).alias("by_write"))
         gone.write.mode("append").parquet(f"{self.root}/replaced")
         self._append(fresh)
-        self._commit(write_id)
+        self._commit((write_id, largest_number(fresh)))
 
     def compact(self, stale_share: float = STALE_SHARE) -> int:
         """Rewrite the buckets in which more than ``stale_share`` of the rows is superseded; their number.
@@ -173,6 +181,11 @@ class Store:
         return len(chosen)
 
 
+def largest_number(staged_points: DataFrame) -> int:
+    """Read from one column of what a write has staged; 0 where no point has a number."""
+    return staged_points.agg(F.max("transcript_number")).first()[0] or 0
+
+
 def points(
     videos: DataFrame,
     as_of: datetime,
