@@ -9,6 +9,7 @@ from talklake.functions.text import SPACE
 AS_OF = "TIMESTAMP '2026-03-01 06:30:00'"
 BATCH = "batch-2026-03-01T06-30-00"
 GENERATOR = "talklake v0.1.0"
+FIRST_SECOND = "CAST(epoch(TIMESTAMP '2026-03-01') AS BIGINT)"
 WATCH = "https://www.youtube.com/watch?v="
 
 
@@ -638,4 +639,20 @@ def all_sql() -> dict[str, str]:
         "stream_ingest": f"""WITH {STREAM_RUN}, {run_documents()}
             SELECT video_id, title, channel, number AS transcript_number, '{BATCH}' AS batch_id,
                    substring(transcript, 1, 8000) AS transcript_text FROM run_numbered""",
+        # Two days are remembered in full; after the third run's entries all of that has expired.
+        "stream_ingest_bounded": f"""WITH v AS (
+              SELECT doc_id AS d, {FIRST_SECOND} + doc_id % 86400 AS s FROM documents
+              WHERE (n_chars % 13 = 0) IS NOT TRUE AND (n_chars % 11 = 0) IS NOT TRUE),
+            runs AS (
+              SELECT 1 AS run, count(*) FILTER (d % 3 <> 0) AS state_rows, 0 AS expired, 0 AS late FROM v
+              UNION ALL SELECT 2, count(*), 0, 0 FROM v
+              UNION ALL SELECT 3, 0, count(*), 0 FROM v
+              UNION ALL SELECT 4, count(*) FILTER (d % 2 = 0), 0, count(*) FILTER (d % 2 <> 0) FROM v),
+            fresh AS (
+              SELECT 1 AS run, d, s FROM v WHERE d % 3 <> 0
+              UNION ALL SELECT 2, d, s + 86400 FROM v WHERE d % 3 = 0
+              UNION ALL SELECT 4, d, s + 864000 FROM v WHERE d % 2 = 0)
+            SELECT runs.run::BIGINT AS run, state_rows::BIGINT AS state_rows, expired::BIGINT AS expired,
+                   late::BIGINT AS late, CAST(d AS VARCHAR) AS video_id, s::BIGINT AS seen_second
+            FROM runs LEFT JOIN fresh USING (run)""",
     }

@@ -20,13 +20,15 @@ from talklake.plans.validate import validate
 from talklake.schemas import STORE
 from talklake.session import scratch_path, staged
 from talklake.sources import documents as files
-from talklake.sources import results
+from talklake.sources import landing, results
 from talklake.sources.store import Store, last_write, points
 from talklake.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 EMBED_SIZE = 64
 BUCKETS = 64
+#: The first second of March 2026, when the first landing of the bounded stream begins.
+FIRST_SECOND = 1772323200
 
 
 def six(value: Column) -> Column:
@@ -624,6 +626,43 @@ def stream_ingest(spark, sf_dir):
     return store.read().select("video_id", "title", "channel", "transcript_number", "batch_id", "transcript_text")
 
 
+def landings(spark, sf_dir) -> list[DataFrame]:
+    """What four runs land of the listing: two days of it, some entries after a week, then new and late ones.
+
+    The second landing repeats the first; the odd entries of the last come days after their time.
+    """
+    doc = F.col("id").try_cast("bigint")
+    seen = lambda day: F.timestamp_seconds(F.lit(FIRST_SECOND + day * 86400) + doc % 86400)
+    rows = staged(t.listing(spark, sf_dir), "listing")
+    parts = [
+        (doc % 3 != 0, seen(0)),
+        (F.lit(True), seen(1)),
+        (doc % 5 == 0, seen(9)),
+        (F.lit(True), F.when(doc % 2 == 0, seen(10)).otherwise(seen(3))),
+    ]
+    return [rows.where(chosen).withColumn("seen_at", time) for chosen, time in parts]
+
+
+def stream_ingest_bounded(spark, sf_dir):
+    """Fresh entries of each run, remembered for three days, and the state that the run left behind."""
+    landed, checkpoint, out = (scratch_path(spark, n) for n in ("landed", "stream", "fresh"))
+    reports = []
+    for run, rows in enumerate(landings(spark, sf_dir), 1):
+        rows.write.mode("append").parquet(landed)
+        found = incremental.fresh(landing.stream(spark, "listing", landed, more=incremental.SEEN_AT), "3 days")
+        keep = found.select(F.col("id").alias("video_id"), F.unix_seconds("seen_at").alias("seen_second"))
+
+        def save(batch: DataFrame, epoch: int, run: int = run) -> None:
+            batch.write.mode("overwrite").parquet(f"{out}/run={run}/epoch={epoch}")
+
+        query = keep.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        reports.append((run, *incremental.state_report(query).values()))
+    runs = spark.createDataFrame(reports, "run long, state_rows long, expired long, late long")
+    admitted = spark.read.schema("video_id string, seen_second long, run int, epoch int").parquet(out).drop("epoch")
+    return runs.join(admitted.withColumn("run", F.col("run").cast("bigint")), "run", "left")
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -678,5 +717,6 @@ ALL: dict[str, Query] = {
         run_summary,
         ingest_documents,
         stream_ingest,
+        stream_ingest_bounded,
     )
 }

@@ -120,6 +120,7 @@ def fetch(
     generator: str = markdown.GENERATOR,
     once_per_run: bool | None = None,
     lookahead: int | None = cand.LOOKAHEAD,
+    skip_stored: bool = True,
 ) -> Run:
     """Process the recent videos that are not stored yet. Writes only scratch tables.
 
@@ -127,12 +128,13 @@ def fetch(
 
     ``once_per_run`` skips a further listing of a video that the run has processed; by default that is so when a
     store is given, as it then holds the video. A further listing of a video that came to nothing, or
-    that could not be stored, has the same outcome again.
+    that could not be stored, has the same outcome again. Without ``skip_stored`` the store's ids are not read:
+    the caller knows that the listing brings nothing that is stored.
     """
     batch = batch_id or batch_name(as_of)
     embedder = embedder or HashedTerms(store.vector_size if store else 384)
     once = store is not None if once_per_run is None else once_per_run
-    recent = find_candidates(landing, as_of, store, lookahead)
+    recent = find_candidates(landing, as_of, store if skip_stored else None, lookahead)
     todo = recent.where(~F.col("stored")).drop("stored")
 
     has_text = ~F.col("text_error") & (F.length("transcript") > 0)

@@ -20,9 +20,10 @@ def read(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> Dat
     return spark.read.schema(TABLES[name]).format(fmt).load(path)
 
 
-def stream(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """New files of a landing table as a stream."""
-    return spark.readStream.schema(TABLES[name]).format(fmt).load(path)
+def stream(spark: SparkSession, name: str, path: str, fmt: str = "parquet", more: str = "") -> DataFrame:
+    """New files of a landing table as a stream; ``more`` names further fields, as DDL."""
+    fields = [*TABLES[name], *(T.StructType.fromDDL(more) if more else [])]
+    return spark.readStream.schema(T.StructType(fields)).format(fmt).load(path)
 
 
 def conform(rows: DataFrame, name: str) -> DataFrame:
