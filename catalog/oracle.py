@@ -611,6 +611,7 @@ def all_sql() -> dict[str, str]:
             SELECT '{BATCH}' AS batch_id, video_id, number, filename, {duration('duration_seconds')} AS duration FROM named""",
         "slugs": f"""SELECT page_id, {slug('url')} AS url_slug, {slug('html')} AS html_slug FROM pages""",
         "rendered_roundtrip": f"WITH {rendered()} SELECT filename, content FROM rendered",
+        "rendered_published": f"WITH {rendered()} SELECT '{BATCH}' AS batch, filename, content FROM rendered",
         "batch_manifest": f"WITH {NUMBERED}, {manifest('named', sql_text(BATCH))}",
         "push_manifest": f"""WITH {NUMBERED}, pushed AS (
               SELECT filename FROM named UNION ALL SELECT 'TRANSCRIPT-notes.md'), {manifest('pushed', "'batch-push'")}""",

@@ -20,7 +20,7 @@ from talklake.plans.validate import validate
 from talklake.schemas import STORE
 from talklake.session import scratch_path, staged
 from talklake.sources import documents as files
-from talklake.sources import landing, results
+from talklake.sources import landing, published, results
 from talklake.sources.store import Store, last_write, points
 from talklake.streaming import incremental
 
@@ -526,6 +526,13 @@ def rendered_roundtrip(spark, sf_dir):
     return files.by_name(files.read_plain(spark, path))
 
 
+def rendered_published(spark, sf_dir):
+    """All documents published as one batch, shown by its commit, and read back by name."""
+    path = scratch_path(spark, "published")
+    published.publish(rendered_docs(spark, sf_dir), path, times.batch_name(t.AS_OF))
+    return files.by_name(published.read_published(spark, path))
+
+
 def batch_manifest(spark, sf_dir):
     return docs.manifest(staged(file_rows(spark, sf_dir).select("batch_id", "filename"), "files"))
 
@@ -705,6 +712,7 @@ ALL: dict[str, Query] = {
         file_names,
         slugs,
         rendered_roundtrip,
+        rendered_published,
         batch_manifest,
         push_manifest,
         registry_report,
