@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from talklake.llm import bpe, chat, conversation_repair, decontaminate, language, mixing, ngram_join, privacy, quality, reshard, suffix_dedup, token_counts, whitening
-from talklake.llm.common import table, written
+from talklake.llm.common import table
+from talklake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,16 +49,11 @@ def op4_token_counts(spark, sf_dir):
 
 
 def op5_resharding(spark, sf_dir):
-    """All documents from twelve shards by source to sixteen of equal bytes."""
-    docs = documents(spark, sf_dir, "source")
-    rows = docs.select(
-        F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(OLD_SHARDS)).cast("int").alias("old"),
-        "doc_id",
-        reshard.size_of(F.col("text")).alias("size"),
-        reshard.checksum(F.col("text")).alias("text_crc32"),
-    )
-    planned = reshard.plan(written(rows, "sizes"), SHARDS, OLD_SHARDS)
-    return planned.select(
+    """All documents from twelve shards by source to sixteen of equal bytes: the affected shards are written, and read again."""
+    docs = table(spark, sf_dir, "documents")
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(OLD_SHARDS))
+    moved = reshard.move(docs, old, SHARDS, OLD_SHARDS, scratch_path(spark, "shards"))
+    return moved.select(
         "doc_id",
         "size",
         "text_crc32",
@@ -65,7 +61,7 @@ def op5_resharding(spark, sf_dir):
         "shard",
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
-        F.col("old").alias("old_shard"),
+        "old_shard",
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, WindowSpec, functions as F
 
 from talklake.llm.common import written
 
@@ -76,8 +76,27 @@ def min_cost_flow(
 
 
 def transfers(old: Sequence[int], new: Sequence[int]) -> list[list[int]]:
-    """Bytes from each old to each new shard so that the fewest move; shard ``i`` may keep its own for nothing."""
-    return min_cost_flow(old, new, [[int(i != j) for j in range(len(new))] for i in range(len(old))])
+    """Bytes from each old to each new shard so that the fewest move; shard ``i`` may keep its own for nothing.
+
+    The network has an edge of cost 0 from each old shard to its successor and edges of cost 1 to and from one hub.
+    So the cheapest flow fills the free edges, and the hub deals what is left to the open capacities in order.
+    """
+    if sum(old) > sum(new):
+        raise ValueError("the capacities are too small")
+    flow = [[0] * len(new) for _ in old]
+    for i, (have, room) in enumerate(zip(old, new, strict=False)):
+        flow[i][i] = min(have, room)
+    hub = iter([(j, room - (flow[j][j] if j < len(old) else 0)) for j, room in enumerate(new)])
+    j, room = -1, 0
+    for i, have in enumerate(old):
+        left = have - (flow[i][i] if i < len(new) else 0)
+        while left:
+            while not room:
+                j, room = next(hub)
+            amount = min(left, room)
+            flow[i][j] += amount
+            left, room = left - amount, room - amount
+    return flow
 
 
 def size_of(text: Column) -> Column:
@@ -103,12 +122,30 @@ def plan(rows: DataFrame, shards: int, old_shards: int, blocks: int = BLOCKS) ->
     Equal rows are ordered by all their columns; rows that agree in all of them are interchangeable.
     ``old`` must lie in ``0 .. old_shards - 1``. An empty table gives no rows.
     """
+    found = _found(rows, shards, old_shards, blocks)
+    # A block's rows for one shard are neighbours, so their numbers run without a gap.
+    return found.join(_pieces(found).select("shard", "old", "block", "base"), ["shard", "old", "block"]).select(
+        "old", "doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("row")).alias("slot")
+    )
+
+
+def _blocks(rows: DataFrame, blocks: int) -> DataFrame:
+    """``rows`` with their block: by size class, largest first, and by a hash of key and checksum."""
+    spread = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks))
+    grade = 63 - F.floor(F.log2(F.col("size").cast("double"))).cast("int")
+    return rows.withColumn("block", grade * blocks + spread)
+
+
+def _inside() -> WindowSpec:
+    """The order of the rows of one block."""
+    return W.partitionBy("old", "block").orderBy("doc_id", "text_crc32", "size")
+
+
+def _found(rows: DataFrame, shards: int, old_shards: int, blocks: int) -> DataFrame:
+    """A written table of each row's block, place in it and new shard."""
     if max(shards, old_shards) > MAX_SHARDS:
         raise ValueError(f"more than {MAX_SHARDS} shards")
-    spread = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks))
-    placed = rows.withColumn("grade", 63 - F.floor(F.log2(F.col("size").cast("double"))).cast("int")).withColumn(
-        "block", F.col("grade") * blocks + spread
-    )
+    placed = _blocks(rows, blocks)
     per_block = written(
         placed.groupBy("old", "block").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "blocks"
     )
@@ -117,21 +154,20 @@ def plan(rows: DataFrame, shards: int, old_shards: int, blocks: int = BLOCKS) ->
     flow = transfers(old, capacities(sum(old), shards))
     before = F.sum("bytes").over(W.partitionBy("old").orderBy("block")) - F.col("bytes")
     starts = per_block.select("old", "block", before.alias("block_start"))
-    inside = W.partitionBy("old", "block").orderBy("doc_id", "text_crc32", "size")
-    at = F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
-    ordered = placed.withColumn("at", at).withColumn("row", F.row_number().over(inside))
+    at = F.sum("size").over(_inside().rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    ordered = placed.withColumn("at", at).withColumn("row", F.row_number().over(_inside()))
     # Both sides are dealt by (old, block): the windows above need no further shuffle.
     found = ordered.join(starts, ["old", "block"]).withColumn(
         "shard", _shard(F.col("old"), F.col("block_start") + F.col("at") + F.col("size") / 2, flow)
     )
-    found = written(found.select("old", "block", "row", "doc_id", "size", "text_crc32", "shard"), "placed")
+    return written(found.select("old", "block", "row", "doc_id", "size", "text_crc32", "shard"), "placed")
+
+
+def _pieces(found: DataFrame) -> DataFrame:
+    """The runs of rows that a block sends to one shard: their first row, their number and the slot before them."""
     groups = found.groupBy("shard", "old", "block").agg(F.count("*").alias("n"), F.min("row").alias("first"))
     earlier = F.sum("n").over(W.partitionBy("shard").orderBy("old", "block")) - F.col("n")
-    bases = groups.select("shard", "old", "block", (earlier - F.col("first")).alias("base"))
-    # A block's rows for one shard are neighbours, so their numbers run without a gap.
-    return found.join(bases, ["shard", "old", "block"]).select(
-        "old", "doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("row")).alias("slot")
-    )
+    return groups.select("shard", "old", "block", "first", "n", (earlier - F.col("first")).alias("base"))
 
 
 def _shard(old: Column, middle: Column, flow: list[list[int]]) -> Column:
@@ -210,3 +246,61 @@ def rewrite(
     full.repartition("shard", F.floor(F.col("slot") / 100_000)).write.partitionBy("shard").mode("overwrite").parquet(path)
     spark: SparkSession = docs.sparkSession
     return spark.read.parquet(path).groupBy("shard").count()
+
+
+def move(
+    docs: DataFrame,
+    old: Column,
+    shards: int,
+    old_shards: int,
+    path: str,
+    key: str = "doc_id",
+    text: str = "text",
+    blocks: int = BLOCKS,
+) -> DataFrame:
+    """The whole job: plan, write the full rows of the affected shards below ``path``, and report from the files.
+
+    The plan is made from key, size and checksum alone. Then the rows of the affected old shards are dealt by block,
+    numbered in it as in the plan, and written from there: a piece of the plan names the shard and the slots of a
+    block's run of rows, so a text is shuffled once, and a task that runs again writes the same set of rows. A shard
+    that is fed by itself alone and sends nothing away is not written; its rows are reported from the plan.
+
+    Returns ``doc_id``, ``size``, ``text_crc32``, ``shard``, ``slot`` and ``old_shard`` of every row, null and
+    repeated keys included; of written shards they are read back from their files. The files hold the columns of
+    ``docs`` (but for columns of the names that this adds), ``slot`` and ``old_shard``, in folders ``shard=i``.
+    Rows that agree in key and text may take each other's slot. An empty table writes nothing and gives no rows.
+    """
+    body = F.col(f"`{text}`")
+    light = [old.cast("int").alias("old"), F.col(f"`{key}`").alias("doc_id"), size_of(body).alias("size")]
+    rows = written(docs.select(*light, checksum(body).alias("text_crc32")), "sizes")
+    found = _found(rows, shards, old_shards, blocks)
+    pieces = written(_pieces(found), "pieces")
+    moved = pieces.where(F.col("old") != F.col("shard"))
+    # At most MAX_SHARDS numbers.
+    touched = [r[0] for r in moved.select("shard").union(moved.select("old")).distinct().collect()]
+    own = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row_"), *light, checksum(body).alias("text_crc32")
+    ).where(F.col("old").isin(touched))
+    numbered = _blocks(own, blocks).withColumn("at", F.row_number().over(_inside()))
+    in_piece = (F.col("at") >= F.col("first")) & (F.col("at") < F.col("first") + F.col("n"))
+    placed = numbered.join(pieces, ["old", "block"]).where(in_piece)
+    carried = [c for c in docs.columns if c.lower() not in ("shard", "slot", "old_shard")]
+    full = placed.select(
+        *(F.col("row_").getField(c).alias(c) for c in carried),
+        (F.col("base") + F.col("at")).alias("slot"),
+        F.col("old").alias("old_shard"),
+        "shard",
+    )
+    spark: SparkSession = docs.sparkSession
+    full.write.partitionBy("shard").mode("overwrite").parquet(path)
+    names = ["doc_id", "size", "text_crc32", "shard", "slot", "old_shard"]
+    stays = found.where(~F.col("shard").isin(touched)).join(pieces, ["shard", "old", "block"])
+    report = stays.withColumn("slot", F.col("base") + F.col("row")).withColumnRenamed("old", "old_shard").select(*names)
+    if not touched:
+        return report
+    files = spark.read.schema(full.schema).parquet(path)
+    back = files.select(
+        F.col(f"`{key}`").alias("doc_id"), size_of(body).alias("size"), checksum(body).alias("text_crc32"),
+        "shard", "slot", "old_shard",
+    )
+    return back.unionByName(report)
