@@ -1,0 +1,74 @@
+"""The stream that keeps seen ids and numbers in the state store."""
+
+from talklake.session import scratch_path
+from talklake.sources import landing as tables
+from talklake.streaming import incremental, numbered
+from tests.test_bounded import entries
+
+
+class Stream:
+    def __init__(self, spark, lanes=1, days=3):
+        self.spark, self.lanes, self.days = spark, lanes, days
+        self.landed, self.checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "check")
+
+    def land(self, *rows):
+        entries(self.spark, *rows).coalesce(1).write.mode("append").parquet(self.landed)
+
+    def go(self, files=None):
+        found = []
+        reader = tables.stream(self.spark, "listing", self.landed, more=incremental.SEEN_AT)
+        if files:
+            schema = reader.schema
+            reader = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(self.landed)
+        with numbered.state_in_rocksdb(self.spark):
+            query = (
+                numbered.fresh_numbered(reader, self.days, self.lanes)
+                .writeStream.foreachBatch(lambda b, _: found.extend((r["channel_id"], r["video_id"], r["number"]) for r in b.collect()))
+                .option("checkpointLocation", self.checkpoint)
+                .trigger(availableNow=True)
+                .start()
+            )
+        query.awaitTermination()
+        return sorted(found)
+
+
+def test_numbers_go_on_and_expired_ids_are_new(spark):
+    stream = Stream(spark)
+    stream.land(("@a", 2, "y", 1), ("@a", 1, "x", 1), ("@b", 1, "x", 1), ("@a", 3, "y", 1))
+    assert stream.go() == [("@a", "x", 1), ("@a", "y", 2), ("@b", "x", 1)]
+    # The same again and a new one, then nothing.
+    stream.land(("@a", 1, "x", 2), ("@a", 2, "y", 2), ("@a", 3, "z", 2))
+    assert stream.go() == [("@a", "z", 3)]
+    assert stream.go() == []
+    # A much later entry moves the watermark; then x is new with a further number, and an old entry is late.
+    stream.land(("@a", 4, "w", 20))
+    assert stream.go() == [("@a", "w", 4)]
+    stream.land(("@a", 1, "x", 21), ("@a", 5, "late", 3), ("@a", 1, "w", 21))
+    assert stream.go() == [("@a", "x", 5)]
+
+
+def test_restarts_give_the_numbers_of_one_run(spark):
+    landings = [[("@a" if n % 3 else "@b", n, f"v{(n * k) % 40}", 1 + k) for n in range(1, 30)] for k in range(1, 4)]
+    apart, whole = Stream(spark, lanes=4), Stream(spark, lanes=4)
+    found = []
+    for rows in landings:
+        apart.land(*rows)
+        found += apart.go()
+        whole.land(*rows)
+    assert sorted(found) == whole.go(files=1)
+    numbers = [(c, n) for c, _, n in found]
+    assert len(set(numbers)) == len(numbers) and len({(c, v) for c, v, _ in found}) == len(found)
+
+
+def test_entries_without_channel_id_or_time_are_dropped(spark):
+    stream = Stream(spark)
+    stream.land((None, 1, "n", 1), ("@a", 1, None, 1), ("@a", 2, "", 1), ("@a", 3, "x", None), ("@a", None, "y", 1))
+    found = stream.go()
+    assert found == [("@a", "y", 1)] or found == []
+
+
+def test_other_streams_keep_their_provider(spark):
+    before = spark.conf.get(numbered.PROVIDER_KEY, None)
+    with numbered.state_in_rocksdb(spark):
+        assert spark.conf.get(numbered.PROVIDER_KEY) == numbered.ROCKS
+    assert spark.conf.get(numbered.PROVIDER_KEY, None) == before
