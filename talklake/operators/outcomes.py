@@ -10,6 +10,7 @@ TRANSCRIPT_ERROR = "transcript_error"
 NO_TRANSCRIPT = "no_transcript"
 STORE_FAILED = "store_failed"
 PROCESSED = "processed"
+STATUSES = (CHANNEL_FAILED, ALREADY_PROCESSED, TRANSCRIPT_ERROR, NO_TRANSCRIPT, STORE_FAILED, PROCESSED)
 
 
 def status(
@@ -37,3 +38,8 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
     """Number of documents per batch."""
     done = F.count(F.when(has_document(F.col("status")), True))
     return outcomes.groupBy("batch_id").agg(done.alias("processed"), F.count("*").alias("candidates"))
+
+
+def counts(status_col: Column) -> list[Column]:
+    """Number of rows of each status, as metrics to observe while they are written."""
+    return [F.count_if(status_col == name).alias(name) for name in STATUSES]

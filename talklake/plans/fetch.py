@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from talklake.functions import chapters, markdown
 from talklake.functions.times import batch_name
@@ -45,6 +45,10 @@ class Run:
     done: DataFrame
     #: Landed segments that belong to no place in a video and are in no text.
     unplaced: DataFrame
+    #: Channels that could not be read; few.
+    broken: DataFrame | None
+    #: What was counted while the candidates, and then their texts, were written.
+    observed: tuple[Observation, Observation]
     number_start: int = 1
     prefix: str = markdown.FILE_PREFIX
     generator: str = markdown.GENERATOR
@@ -67,28 +71,43 @@ class Run:
     def summary(self) -> DataFrame:
         return out.run_summary(self.outcomes)
 
+    @cached_property
+    def counts(self) -> dict[str, int]:
+        """Outcomes by status, counted by the writes of the run themselves; no table is read again for it."""
+        found, worked = (watch.get for watch in self.observed)
+        total = {name: worked[name] or 0 for name in out.STATUSES}
+        total[out.ALREADY_PROCESSED] += found["stored"] or 0
+        total[out.CHANNEL_FAILED] += 0 if self.broken is None else self.broken.count()
+        return total
+
     @property
     def manifest(self) -> DataFrame:
         return docs.manifest(self.documents)
 
 
 def find_candidates(
-    landing: Landing, as_of: datetime, store: Store | None = None, lookahead: int | None = cand.LOOKAHEAD
+    landing: Landing,
+    as_of: datetime,
+    store: Store | None = None,
+    lookahead: int | None = cand.LOOKAHEAD,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """The run's recent videos with ``stored`` and ``turn``, which listing of its video each is; written once.
 
-    They are few and filter every landing table, so their true size is worth knowing.
+    They are few and filter every landing table, so their true size is worth knowing. ``watch`` counts the stored.
     """
+    watch = watch or Observation()
+    seen = F.count_if("stored").alias("stored")
     recent = cand.recent_videos(landing.listing, landing.channels, as_of, lookahead)
     if landing.failed_channels is not None:
         recent = recent.join(landing.failed_channels, "channel_id", "left_anti")
     recent = recent.withColumn("turn", cand.turn_in_run())
     if store is None:
-        return staged(recent.withColumn("stored", F.lit(False)), "recent")
+        return staged(recent.withColumn("stored", F.lit(False)).observe(watch, seen), "recent")
     placed = cand.with_point(recent, store.buckets)
     known = cand.stored_among(placed, store.read()).select("bucket", "point_id", F.lit(True).alias("stored"))
     marked = placed.join(known, ["bucket", "point_id"], "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
-    return staged(marked.drop("bucket", "point_id"), "recent")
+    return staged(marked.drop("bucket", "point_id").observe(watch, seen), "recent")
 
 
 def complete(
@@ -134,7 +153,8 @@ def fetch(
     batch = batch_id or batch_name(as_of)
     embedder = embedder or HashedTerms(store.vector_size if store else 384)
     once = store is not None if once_per_run is None else once_per_run
-    recent = find_candidates(landing, as_of, store if skip_stored else None, lookahead)
+    watch_found, watch_worked = Observation(), Observation()
+    recent = find_candidates(landing, as_of, store if skip_stored else None, lookahead, watch_found)
     todo = recent.where(~F.col("stored")).drop("stored")
 
     has_text = ~F.col("text_error") & (F.length("transcript") > 0)
@@ -159,12 +179,14 @@ def fetch(
     again = (F.col("turn") > 1) & (F.col("status") == out.PROCESSED) & F.lit(once)
     status = F.when(again, out.ALREADY_PROCESSED).otherwise(F.col("status"))
     # Texts, vectors and outcomes of all candidates, written once; everything else is a projection of it.
-    worked = staged(judged.withColumn("status", status).drop("_text", "text_error", "turn"), "worked")
+    written = judged.withColumn("status", status).drop("_text", "text_error", "turn")
+    worked = staged(written.observe(watch_worked, *out.counts(F.col("status"))), "worked")
     done = worked.where(out.has_document(F.col("status"))).drop("status")
 
     key = ["channel_id", "position", "video_id"]
     skipped = recent.where("stored").select(*key, F.lit(out.ALREADY_PROCESSED).alias("status"))
     results = worked.select(*key, "status").unionByName(skipped)
+    broken = None
     if landing.failed_channels is not None:
         broken = enabled(landing.channels).join(landing.failed_channels, "channel_id", "left_semi")
         results = results.unionByName(
@@ -178,6 +200,8 @@ def fetch(
         outcomes=results.select(F.lit(batch).alias("batch_id"), *key, "status"),
         done=done,
         unplaced=seg.unplaced(landing.segments),
+        broken=broken,
+        observed=(watch_found, watch_worked),
         number_start=number_start,
         prefix=prefix,
         generator=generator,
