@@ -629,6 +629,11 @@ def all_sql() -> dict[str, str]:
         "run_summary": f"""WITH {BATCH_RUN}, {OUTCOMES}
             SELECT '{BATCH}' AS batch_id, count(*) FILTER (status IN ('processed', 'store_failed')) AS processed, count(*) AS candidates
             FROM outcomes""",
+        "run_counts": f"""WITH {BATCH_RUN}, {OUTCOMES},
+            statuses AS (SELECT unnest(['channel_failed', 'already_processed', 'transcript_error', 'no_transcript',
+                                        'store_failed', 'processed']) AS status)
+            SELECT '{BATCH}' AS batch_id, s.status, count(o.status) AS n
+            FROM statuses s LEFT JOIN outcomes o USING (status) GROUP BY s.status""",
         "ingest_documents": f"""WITH {BATCH_RUN}, {run_documents()},
             {topics_of("run_numbered", "doc_id", "transcript")},
             topic_text AS (SELECT doc_id, string_agg('- ' || term, chr(10) ORDER BY rank) AS topic_list FROM ranked GROUP BY doc_id),
@@ -656,4 +661,21 @@ def all_sql() -> dict[str, str]:
             SELECT runs.run::BIGINT AS run, state_rows::BIGINT AS state_rows, expired::BIGINT AS expired,
                    late::BIGINT AS late, CAST(d AS VARCHAR) AS video_id, s::BIGINT AS seen_second
             FROM runs LEFT JOIN fresh USING (run)""",
+        # A number counts a lane's videos: one of 64 lanes of each channel, by the id.
+        "stream_numbers": f"""WITH {LISTING}, v AS (
+              SELECT channel_id, position, video_id, doc_id AS d, {FIRST_SECOND} + doc_id % 86400 AS s,
+                     {point('video_id')} % 64 AS lane FROM listed),
+            fresh AS (
+              SELECT 1 AS run, * FROM v WHERE d % 3 <> 0
+              UNION ALL SELECT 2, * REPLACE (s + 86400 AS s) FROM v WHERE d % 3 = 0
+              UNION ALL SELECT 4, * REPLACE (s + 864000 AS s) FROM v WHERE d % 2 = 0)
+            SELECT run::BIGINT AS run, channel_id, video_id, s::BIGINT AS seen_second,
+                   ((row_number() OVER (PARTITION BY channel_id, lane ORDER BY run, s, position, video_id) - 1) * 64
+                    + lane + 1)::BIGINT AS number
+            FROM fresh""",
+        "dump_outcomes": f"""WITH {STORELESS_RUN}, {OUTCOMES}
+            SELECT '{BATCH}' AS batch_id, channel_id, position, video_id, status FROM outcomes""",
+        "dump_stream": f"""WITH {LISTING}
+            SELECT channel_id, position, video_id, title, channel, strftime(published, '%Y-%m-%dT%H:%M:%S') AS published,
+                   url, duration_seconds FROM listed""",
     }

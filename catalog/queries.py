@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -12,17 +13,17 @@ from talklake.functions import chapters, ids, markdown, text, times
 from talklake.functions.arrays import exploded
 from talklake.operators import candidates as cand
 from talklake.operators import documents as docs
-from talklake.operators import embed, enrich, keywords, quantise, registry, segments as seg, vectors
-from talklake.plans.fetch import fetch
+from talklake.operators import embed, encoder, enrich, keywords, quantise, registry, segments as seg, vectors
+from talklake.plans.fetch import Landing, fetch
 from talklake.plans.push import push
 from talklake.plans.search import search
 from talklake.plans.validate import validate
 from talklake.schemas import STORE
 from talklake.session import scratch_path, staged
 from talklake.sources import documents as files
-from talklake.sources import landing, published, results
+from talklake.sources import dumps, landing, published, results
 from talklake.sources.store import Store, last_write, points
-from talklake.streaming import incremental
+from talklake.streaming import incremental, numbered
 
 Query = Callable[[SparkSession, str], DataFrame]
 EMBED_SIZE = 64
@@ -461,6 +462,14 @@ def embed_model(spark, sf_dir):
     return rows.select("doc_id", part(0).alias("chars"), part(1).alias("breaks"), part(2).alias("wide_bytes"))
 
 
+def embed_ngrams(spark, sf_dir):
+    """A seeded n-gram network on whole texts, in batches of like length."""
+    model = encoder.BudgetModel(encoder.ngram_encoder(EMBED_SIZE), EMBED_SIZE, key=f"ngrams-{EMBED_SIZE}")
+    rows = embed.embed(t.wide(spark, sf_dir, "documents", "doc_id", "text"), model, "text")
+    # Rounded so that the sum's order, which depends on the batch, does not show.
+    return rows.select("doc_id", F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).alias("embedding"))
+
+
 def doc_search(spark, sf_dir):
     """Texts as queries against all documents, by the built-in vectors."""
     embedder = embed.HashedTerms(EMBED_SIZE)
@@ -617,6 +626,13 @@ def run_summary(spark, sf_dir):
     return run_once(spark, sf_dir).summary
 
 
+def run_counts(spark, sf_dir):
+    """Outcomes by status, as the run's own writes counted them."""
+    run = run_once(spark, sf_dir)
+    rows = [(run.batch_id, status, n) for status, n in run.counts.items()]
+    return spark.createDataFrame(rows, "batch_id string, status string, n long")
+
+
 def ingest_documents(spark, sf_dir):
     return run_once(spark, sf_dir).documents
 
@@ -670,6 +686,64 @@ def stream_ingest_bounded(spark, sf_dir):
     return runs.join(admitted.withColumn("run", F.col("run").cast("bigint")), "run", "left")
 
 
+def stream_numbers(spark, sf_dir):
+    """The entries that four runs find new, numbered by state alone; the stream is started anew for each."""
+    landed, checkpoint, out = (scratch_path(spark, n) for n in ("landed", "stream", "numbers"))
+    for run, rows in enumerate(landings(spark, sf_dir), 1):
+        rows.write.mode("append").parquet(landed)
+        listing = landing.stream(spark, "listing", landed, more=incremental.SEEN_AT)
+
+        def save(batch: DataFrame, epoch: int, run: int = run) -> None:
+            batch.write.mode("overwrite").parquet(f"{out}/run={run}/epoch={epoch}")
+
+        with numbered.state_in_rocksdb(spark):
+            query = numbered.fresh_numbered(listing, 3).writeStream.foreachBatch(save)
+            query = query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    rows = spark.read.schema(f"{numbered.OUT}, run int, epoch int").parquet(out)
+    return rows.select(
+        F.col("run").cast("bigint").alias("run"), "channel_id", "video_id", F.unix_seconds("seen_at").alias("seen_second"), "number"
+    )
+
+
+def dumped(spark, sf_dir) -> tuple[str, Landing]:
+    """The listing as a dump of three runs; the third holds a line that is cut off, of the channel that failed."""
+    root, tables = scratch_path(spark, "dump"), t.landing_tables(spark, sf_dir)
+    rows = staged(tables.listing, "listing")
+    for run, part in (("run-1", F.col("position") % 3 != 0), ("run-2", F.col("position") % 3 == 0)):
+        dumps.write_dump(rows.where(part), root, run)
+    cut = tables.failed_channels.select("channel_id", F.lit('{"id": "cut').alias("value"))
+    cut.write.partitionBy("channel_id").text(f"{root}/run-3")
+    return root, tables
+
+
+def dump_outcomes(spark, sf_dir):
+    """A run without a store over a dump, whose bad lines tell which channel failed."""
+    root, tables = dumped(spark, sf_dir)
+    dump = dumps.read_dump(spark, root)
+    tables = replace(tables, listing=dumps.entries(dump), failed_channels=dumps.failed_channels(dump))
+    return fetch(tables, t.AS_OF, embedder=SizedByLength(), languages=t.LANGUAGES).outcomes
+
+
+def dump_stream(spark, sf_dir):
+    """The dump's entries as a stream, started once before the last two runs have landed and once after."""
+    root, out, checkpoint = (scratch_path(spark, n) for n in ("dump", "entries", "stream"))
+    rows = staged(t.listing(spark, sf_dir), "listing")
+
+    def save(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    for runs in ((0,), (1, 2)):
+        for run in runs:
+            dumps.write_dump(rows.where(F.col("position") % 3 == run), root, f"run-{run}")
+        query = dumps.stream_dump(spark, root).writeStream.foreachBatch(save)
+        query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    entries = dumps.entries(spark.read.schema(dumps.SCHEMA).parquet(out))
+    return cand.parse_listing(entries, t.AS_OF).select(
+        "channel_id", "position", "video_id", "title", "channel", times.iso_text(F.col("published")).alias("published"), "url", "duration_seconds"
+    )
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -707,6 +781,7 @@ ALL: dict[str, Query] = {
         search_ann_recall,
         embed_hash,
         embed_model,
+        embed_ngrams,
         doc_search,
         rendered_docs,
         file_names,
@@ -723,8 +798,12 @@ ALL: dict[str, Query] = {
         ingest_outcomes,
         outcomes_without_store,
         run_summary,
+        run_counts,
         ingest_documents,
         stream_ingest,
         stream_ingest_bounded,
+        stream_numbers,
+        dump_outcomes,
+        dump_stream,
     )
 }

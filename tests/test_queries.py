@@ -37,4 +37,5 @@ def test_query(spark, con, name):
 def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
     # Which rows an approximate search finds is beyond SQL; these queries compare with the exact search themselves.
-    assert set(QUERIES) - set(ORACLE) == {"search_index", "search_index_filtered"}
+    # A network's weights are drawn by numpy; test_encoder holds its vectors.
+    assert set(QUERIES) - set(ORACLE) == {"search_index", "search_index_filtered", "embed_ngrams"}
