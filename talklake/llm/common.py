@@ -137,6 +137,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in gone))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def inner_names(df: DataFrame, keep: dict[str, str]) -> DataFrame:
     """Only the wanted columns, under the operator's own names, so that other columns cannot clash."""
     return df.select(*(F.col(f"`{own}`").alias(name) for name, own in keep.items()))

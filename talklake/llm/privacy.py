@@ -11,14 +11,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from talklake.llm.common import by_slices, extended, written
+from talklake.llm.common import by_slices, extended, free_name, without, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words on either side of an entity that count as its context.
-CONTEXT = 10
 #: A term discloses an entity when it carries this share of the entity's information.
 DISCLOSURE = 0.8
-#: Documents that must show a term next to an entity; a single one says nothing about either.
+#: Documents that must show a term together with an entity; a single one says nothing about either.
 SUPPORT = 2
 #: Terms counted in a worker before they are passed on.
 TERMS_PER_FLUSH = 200_000
@@ -35,7 +33,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\W_]{3,}")
 
 SPAN = "struct<kind:string,start:int,end:int>"
-MENTION = "struct<entity:string,terms:array<struct<term:string,start:int,end:int>>>"
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -86,35 +83,6 @@ def entity_key(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else re.sub(r'[^0-9.]' if kind == 'ip' else r'[^0-9]', '', value)}"
 
 
-def mentions(text: str, spans: list[tuple[str, int, int]], context: int) -> list[dict]:
-    """Each entity's nearest words, outside all base matches."""
-    out = []
-    reach = 24 * context  # characters that are looked at first; more if they hold too few words
-    for kind, start, end in spans:
-        before = _nearest(text, start, context, reach, -1)
-        after = _nearest(text, end, context, reach, 1)
-        terms = [
-            {"term": text[a:b].lower(), "start": a, "end": b}
-            for a, b in (*before, *after)
-            if not any(a < y and x < b for _, x, y in spans)
-        ]
-        out.append({"entity": entity_key(kind, text[start:end]), "terms": terms})
-    return out
-
-
-def _nearest(text: str, place: int, count: int, reach: int, side: int) -> list[tuple[int, int]]:
-    """The ``count`` words nearest to ``place`` on one side."""
-    while True:
-        low, high = (max(0, place - reach), place) if side < 0 else (place, min(len(text), place + reach))
-        found = [m.span() for m in WORD.finditer(text, low, high)]
-        whole = low == 0 if side < 0 else high == len(text)
-        # The outermost word may be cut.
-        sure = found if whole else found[1:] if side < 0 else found[:-1]
-        if len(sure) >= count or whole:
-            return sure[-count:] if side < 0 else sure[:count]
-        reach *= 2
-
-
 def free_words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
     """The words outside all base matches; ``spans`` come by their start."""
     merged: list[list[int]] = []
@@ -140,38 +108,11 @@ def terms_of(text: str | None, spans: list[tuple[str, int, int]]) -> set[str]:
     return {w.lower() for w in words}
 
 
-def _detected(docs: DataFrame, text: str, context: int) -> DataFrame:
-    """Row number, base spans and mentions of the rows that have any."""
-    schema = f"row string, spans array<{SPAN}>, mentions array<{MENTION}>"
-    span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    term_type = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    mention_type = pa.list_(pa.struct([("entity", pa.string()), ("terms", term_type)]))
+def document_frequency(docs: DataFrame, text: str = "text") -> DataFrame:
+    """In how many documents each term occurs outside base matches, over all documents: ``term, n``.
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        rows, spans, found = [], [], []
-        for row, value in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            own = base_spans(value)
-            if own:
-                rows.append(row)
-                spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in own])
-                found.append(mentions(value, own, context))
-        if not rows:
-            return None
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.string()), pa.array(spans, span_type), pa.array(found, mention_type)],
-            names=["row", "spans", "mentions"],
-        )
-
-    return docs.select("row", F.col(f"`{text}`").alias("text")).mapInArrow(by_slices(work, "text"), schema)
-
-
-def document_frequency(docs: DataFrame, text: str = "text", outside: bool = False) -> DataFrame:
-    """In how many documents each term occurs, over all documents: ``term, n``.
-
-    Workers sum the counts of many documents before anything is shuffled. With ``outside``, words inside base
-    matches do not count.
+    Workers sum the counts of many documents before anything is shuffled.
     """
-    distinct = lambda t: terms_of(t, base_spans(t)) if outside else set(WORD.findall((t or "").lower()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
@@ -185,7 +126,8 @@ def document_frequency(docs: DataFrame, text: str = "text", outside: bool = Fals
 
         for batch in batches:
             for value in batch.column(0):
-                total.update(distinct(value.as_py()))
+                whole = value.as_py()
+                total.update(terms_of(whole, base_spans(whole)))
                 if len(total) > TERMS_PER_FLUSH:
                     yield flush()
         if total:
@@ -195,29 +137,6 @@ def document_frequency(docs: DataFrame, text: str = "text", outside: bool = Fals
     return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def disclosing_terms(
-    found: DataFrame, docs: DataFrame, text: str, disclosure: float = DISCLOSURE, support: int = SUPPORT
-) -> DataFrame:
-    """Pairs of entity and term whose pointwise mutual information reaches the threshold: ``entity, term``.
-
-    With ``N`` documents, an entity in ``n_e``, a term in ``n_t`` and the two next to each other in
-    ``n_et`` of them, a term gives away ``log2(N n_et / (n_e n_t))`` bits of the entity's
-    ``log2(N / n_e)``. At full disclosure every document with the term has the entity next to it.
-    """
-    seen = found.select("row", F.explode("mentions").alias("m")).select("row", "m.entity", "m.terms")
-    n_entity = seen.groupBy("entity").agg(F.count_distinct("row").alias("n_e")).where(F.col("n_e") >= support)
-    near = (
-        seen.select("row", "entity", F.explode("terms.term").alias("term"))
-        .distinct()
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("n_et"))
-        .where(F.col("n_et") >= support)
-    )
-    candidates = written(near.join(n_entity, "entity"), "candidates")
-    discloses = _discloses(docs.count(), disclosure)
-    return candidates.join(document_frequency(docs, text), "term").where(discloses).select("entity", "term")
-
-
 def _discloses(total: int, disclosure: float) -> Column:
     """Whether the counts ``n_e``, ``n`` and ``n_et`` of ``total`` documents reach the threshold."""
     bits = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n")))
@@ -246,8 +165,9 @@ def _entities(docs: DataFrame) -> DataFrame:
 def marked_terms(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """The distinct terms that disclose any entity, from ``doc, text``: ``term``.
 
-    As ``disclosing_terms``, but a term and an entity are together wherever they are in one document, and
-    every row counts, repeated ones too, for entities, terms and both. ``doc`` is the same for equal texts alone.
+    With ``N`` documents, an entity in ``n_e``, a term in ``n_t`` and the two together in ``n_et`` of them, wherever they
+    are, a term gives away ``log2(N n_et / (n_e n_t))`` bits of the entity's ``log2(N / n_e)``. At full disclosure every
+    document with the term has the entity. Every row counts, repeated ones too. ``doc`` is the same for equal texts alone.
 
     Copies are summed up before entities meet terms, and entities in the very same documents meet them as one.
     """
@@ -271,7 +191,7 @@ def marked_terms(docs: DataFrame, disclosure: float = DISCLOSURE, support: int =
     )
     # A group's set is of no further use: of equal counts one is enough.
     candidates = written(together.select("n_e", "n_et", "term").distinct(), "candidates")
-    frequency = document_frequency(docs, outside=True)
+    frequency = document_frequency(docs)
     discloses = _discloses(docs.count(), disclosure)
     return written(candidates.join(frequency, "term").where(discloses).select("term").distinct(), "terms")
 
@@ -318,7 +238,9 @@ def _everywhere(kept: DataFrame, text: str, disclosure: float, support: int) ->
         return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], names=["doc", "term"])
 
     met = plain.mapInArrow(by_slices(pairs, "text"), "doc string, term string").dropDuplicates(["doc", "term"])
-    marks = written(met.join(terms, "term").groupBy("doc").agg(F.collect_list("term").alias("__marks")), "marks")
+    row, told = (free_name(kept, name) for name in ("__doc", "__marks"))
+    marks = met.join(terms, "term").groupBy(F.col("doc").alias(row)).agg(F.collect_list("term").alias(told))
+    marks = written(marks, "marks")
     schema, own_names = extended(kept.schema, f"spans array<{SPAN}>"), list(kept.columns)
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -331,7 +253,7 @@ def _everywhere(kept: DataFrame, text: str, disclosure: float, support: int) ->
 
     def spanned(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(text).to_pylist()
-        known = batch.column("__marks").to_pylist() if "__marks" in batch.schema.names else [None] * len(texts)
+        known = batch.column(told).to_pylist() if told in batch.schema.names else [None] * len(texts)
         out = [
             [dict(zip(("kind", "start", "end"), s, strict=True)) for s in all_spans(value, set(m or ()))]
             for value, m in zip(texts, known, strict=True)
@@ -340,7 +262,7 @@ def _everywhere(kept: DataFrame, text: str, disclosure: float, support: int) ->
         return pa.RecordBatch.from_arrays([*columns, pa.array(out, span_type)], names=[*own_names, "spans"])
 
     # What is told apart in the workers is told apart by the text alone, so each row is on one side.
-    hit = split(True).withColumn("__doc", doc).join(marks.withColumnRenamed("doc", "__doc"), "__doc", "left").drop("__doc")
+    hit = split(True).withColumn(row, doc).join(marks, row, "left").drop(row)
     return split(False).mapInArrow(by_slices(spanned, text), schema).unionByName(hit.mapInArrow(by_slices(spanned, text), schema))
 
 
@@ -356,56 +278,22 @@ def all_spans(text: str | None, marked: set[str]) -> list[tuple[str, int, int]]:
 def personal_data(
     docs: DataFrame,
     text: str = "text",
-    context: int | None = CONTEXT,
+    context: None = None,
     disclosure: float = DISCLOSURE,
     support: int = SUPPORT,
 ) -> DataFrame:
     """The columns of ``docs`` with ``spans``: the base matches and the disclosing terms, in order.
 
     Base matches are e-mail addresses, network addresses, cards and phone numbers. Their distinct values are the
-    protected entities. Without a ``context``, a term that discloses an entity it shares documents with is marked
-    wherever it occurs, in every document; this is what the query and the pipeline ask for.
-
-    With a ``context``, only terms within so many words of an entity are looked at, and marked at that place alone:
-    the term may stay elsewhere in the document and in others. Equal rows count once for entities there.
+    protected entities. A term that discloses an entity it shares documents with is marked wherever it occurs, in
+    every document.
 
     Null and empty texts have no spans. Repeated rows are documents of their own. A column of ``docs``
     named ``spans`` is replaced.
     """
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "spans"))
-    if context is None:
-        return _everywhere(kept, text, disclosure, support)
-    # The row's content is its identity: the same everywhere, and equal rows get equal spans.
-    halves = (F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in _plain(kept))) for seed in ("left", "right"))
-    numbered = kept.withColumn("__row", F.concat_ws("-", *halves))
-    plain = numbered.select(F.col("__row").alias("row"), F.col(f"`{text}`").alias("text"))
-    found = written(_detected(plain, "text", context).dropDuplicates(["row"]), "mentions")
-    pairs = disclosing_terms(found, kept, text, disclosure, support)
-    marked = (
-        found.select("row", F.explode("mentions").alias("m"))
-        .select("row", "m.entity", F.explode("m.terms").alias("t"))
-        .select("row", "entity", "t.term", "t.start", "t.end")
-        .join(pairs, ["entity", "term"])
-        .groupBy("row")
-        .agg(F.collect_set(F.struct(F.lit("term").alias("kind"), "start", "end")).alias("terms"))
-    )
-    spans = found.select("row", "spans").join(marked, "row", "left")
-    order = F.array(*(F.lit(k) for k in KINDS))
-    keyed = F.transform(
-        F.concat("spans", F.coalesce("terms", F.array().cast(f"array<{SPAN}>"))),
-        lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("o"), s["end"].alias("end"), s["kind"].alias("kind")),
-    )
-    final = F.transform(F.sort_array(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    ready = spans.select(F.col("row").alias("__row"), final.alias("spans"))
-    none = F.array().cast(f"array<{SPAN}>")
-    return numbered.join(ready, "__row", "left").select(
-        *(F.col(f"`{c}`") for c in kept.columns), F.coalesce("spans", none).alias("spans")
-    )
-
-
-def _plain(df: DataFrame) -> list[str]:
-    """Columns that can be hashed."""
-    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    if context is not None:
+        raise ValueError("terms are marked in all documents")
+    return _everywhere(without(docs, "spans"), text, disclosure, support)
 
 
 def sanitised(found: DataFrame, text: str = "text") -> DataFrame:

@@ -1,4 +1,3 @@
-import math
 import random
 import re
 
@@ -33,64 +32,6 @@ def test_base_matches_equal_the_plain_patterns():
     assert pv.base_spans("1" * 5000 + "." + "2" * 5000) == []
 
 
-def corpus():
-    rows = []
-    for i in range(6):
-        rows.append((i, f"please call the zorbline office at zed@corp{i % 2}.example.com about the usual matter"))
-    for i in range(40):
-        rows.append((100 + i, "the usual office matter was settled and please call about it"))
-    rows += [(200, "once seen rareword at only@once.example.com today"), (201, None), (202, ""), (0, rows[0][1]), (None, "zorbline alone")]
-    return rows
-
-
-def brute_terms(rows, context=pv.CONTEXT):
-    """Disclosing pairs, counted document by document."""
-    word = re.compile(r"[^\W\d_]{3,}")
-    docs = list(dict.fromkeys(rows))
-    n_e, n_et, n_t = {}, {}, {}
-    for _, text in rows:
-        for t in set(word.findall((text or "").lower())):
-            n_t[t] = n_t.get(t, 0) + 1
-    for _, text in docs:
-        entities = {}
-        for kind, a, b in brute_base(text):
-            free = lambda m: not any(m.start() < y and x < m.end() for _, x, y in brute_base(text))
-            before = [m for m in word.finditer(text) if m.end() <= a][-context:]
-            after = [m for m in word.finditer(text, b)][:context]
-            terms = {m.group().lower() for m in (*before, *after) if free(m)}
-            entities.setdefault(pv.entity_key(kind, text[a:b]), set()).update(terms)
-        for e, terms in entities.items():
-            n_e[e] = n_e.get(e, 0) + 1
-            for t in terms:
-                n_et[e, t] = n_et.get((e, t), 0) + 1
-    n = len(rows)
-    return {
-        (e, t)
-        for (e, t), c in n_et.items()
-        if c >= pv.SUPPORT and math.log2(n * c / (n_e[e] * n_t[t])) >= pv.DISCLOSURE * math.log2(n / n_e[e])
-    }
-
-
-def test_terms_disclose_by_co_occurrence(docs):
-    rows = corpus()
-    found = pv.personal_data(docs(rows, row="x", spans="y", kind="z"), disclosure=0.6)
-    assert found.columns == ["doc_id", "text", "row", "kind", "spans"]
-    for r in found.collect():
-        spans = [(s["kind"], s["start"], s["end"]) for s in r["spans"]]
-        assert [s for s in spans if s[0] != "term"] == brute_base(r["text"])
-        terms = {r["text"][a:b] for k, a, b in spans if k == "term"}
-        assert terms == ({"zorbline"} if "corp" in (r["text"] or "") else set())
-
-
-def test_pairs_equal_brute_force(docs):
-    rows = corpus()
-    frame = docs(rows).withColumnRenamed("text", "text")
-    keyed = frame.selectExpr("concat_ws('-', doc_id, text) AS row", "text")
-    found = pv._detected(keyed, "text", pv.CONTEXT).dropDuplicates(["row"])
-    pairs = {tuple(r) for r in pv.disclosing_terms(found, frame, "text").collect()}
-    assert pairs == brute_terms(rows)
-
-
 def test_sanitised_texts_hold_no_base_match(docs):
     rows = [(1, "write to a.b@c.de or +49 30 1234567, from 10.0.0.1"), (2, "nothing here"), (3, None), (4, "4111 1111 1111 1111")]
     clean = pv.sanitised(pv.personal_data(docs(rows)))
@@ -104,9 +45,3 @@ def test_no_rows(docs):
     assert pv.personal_data(empty).collect() == []
     assert pv.report(pv.personal_data(empty)).collect() == []
 
-
-def test_nearest_words_do_not_depend_on_the_first_look():
-    text = " ".join(f"word{chr(97 + i % 26)}x" for i in range(300))
-    middle = text.index(" ", 900)
-    wide = pv._nearest(text, middle, 10, 10_000, -1), pv._nearest(text, middle, 10, 10_000, 1)
-    assert (pv._nearest(text, middle, 10, 7, -1), pv._nearest(text, middle, 10, 7, 1)) == wide

@@ -42,7 +42,7 @@ def test_every_occurrence_in_every_document_is_marked(docs):
     rows = corpus()
     want = brute(rows)
     assert {"zorbline", "zk42b", "quux"} <= want and "please" not in want
-    got = pv.personal_data(docs(rows, row="x", spans="y", doc="z", term="t"), context=None)
+    got = pv.personal_data(docs(rows, row="x", spans="y", doc="z", term="t"))
     assert got.columns == ["doc_id", "text", "row", "doc", "term", "spans"]
     found = got.collect()
     assert sorted(((r["doc_id"], r["text"]) for r in found), key=repr) == sorted(rows, key=repr)
@@ -61,5 +61,5 @@ def test_every_occurrence_in_every_document_is_marked(docs):
 
 def test_whole_without_rows_or_entities(docs):
     empty = docs([(1, "a")]).where("doc_id > 1")
-    assert pv.personal_data(empty, context=None).collect() == []
-    assert [r["spans"] for r in pv.personal_data(docs([(1, "no entity here"), (2, None)]), context=None).collect()] == [[], []]
+    assert pv.personal_data(empty).collect() == []
+    assert [r["spans"] for r in pv.personal_data(docs([(1, "no entity here"), (2, None)])).collect()] == [[], []]

@@ -10,6 +10,7 @@ from talklake.llm.bpe import parse_vocabulary, read_vocabulary
 from talklake.llm.common import written
 from talklake.llm.queries import tokenizer
 from tests.llm.test_op01_ngram_join import brute, shingle_set
+from tests.llm.test_op10_privacy_whole import brute as brute_marked
 
 
 def rows_of(df):
@@ -35,11 +36,11 @@ def test_stages_against_plain_python(spark, sf_dir):
             assert set(after) == {i for i, r in before.items() if not hit(r["text"])}
         else:
             assert set(after) == set(before)
+            marked = brute_marked([(i, r["text"]) for i, r in before.items()])
             for i, r in before.items():
-                if not pv.base_spans(r["text"]):
-                    assert after[i]["text"] == r["text"]
-                else:
-                    assert "[" in after[i]["text"] and not pv.base_spans(after[i]["text"])
+                spans = [dict(zip(("kind", "start", "end"), s)) for s in pv.all_spans(r["text"], marked)]
+                assert after[i]["text"] == pv.replaced(r["text"], spans)
+                assert not pv.base_spans(after[i]["text"])
         if name != "personal_data":
             assert all(after[i] == before[i] for i in after)
         docs, before = after_frame, after
