@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from talklake.llm.common import by_slices, extended
+from talklake.llm.common import by_slices, extended, without
 
 #: Words of one window.
 WINDOW = 10
@@ -133,9 +133,7 @@ def contamination(
         F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("item_id"),
         F.col(f"`{item_text}`").alias("text"),
     )
-    kept = [f for f in docs.schema.fields if f.name not in ("n_words", "hits", "hit_items")]
-    rows = docs.select(*(F.col(f"`{f.name}`") for f in kept))
-    first, out = True, rows
+    first, out = True, without(docs, "n_words", "hits", "hit_items")
     for block in _blocks(own, block_bytes):
         out = _scanned(out, block, text, window, first)
         first = False

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from talklake.llm.common import keep_only, slices, text_buffer, text_sizes, written
+from talklake.llm.common import free_name, keep_only, slices, text_buffer, text_sizes, written
 from talklake.llm.graph import components
 from talklake.llm.rolling import Ranges, mixed
 
@@ -471,15 +471,14 @@ def one_per_group(
     """
     rows = _grouped(docs, text, doc_id, size, similarity)
     chosen = rows.where("n > 0").groupBy("root").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "tag")).alias("m"))
-    kept = chosen.select(F.col("m.doc").alias("__doc"), F.col("m.tag").alias("__tag")).unionByName(
-        rows.where("n = 0").select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"))
-    )
+    kept = chosen.select("m.doc", "m.tag").unionByName(rows.where("n = 0").select("doc", "tag"))
     # Nulls are spelled out, so that the join below is an equality of plain values.
     key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    kept = kept.select(key(F.col("__doc")).alias("__key"), "__tag").distinct()
-    keyed = docs.withColumn("__key", key(F.col(f"`{doc_id}`").cast("bigint"))).withColumn("__tag", F.xxhash64(F.col(f"`{text}`")))
+    own = [free_name(docs, name) for name in ("__key", "__tag")]
+    kept = kept.select(key(F.col("doc")).alias(own[0]), F.col("tag").alias(own[1])).distinct()
+    keyed = docs.withColumns(dict(zip(own, (key(F.col(f"`{doc_id}`").cast("bigint")), F.xxhash64(F.col(f"`{text}`"))))))
     # The join has dealt the rows by the same columns.
-    return keyed.join(kept, ["__key", "__tag"]).dropDuplicates(["__key", "__tag"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return keyed.join(kept, own).dropDuplicates(own).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _labels(own: DataFrame, listed: DataFrame, numbered: DataFrame, size: int, similarity: int) -> DataFrame:

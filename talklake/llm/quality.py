@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from talklake.llm.common import by_slices, extended
+from talklake.llm.common import by_slices, extended, without
 
 #: Expected number of documents on which costs and selectivities are measured.
 SAMPLE = 400
@@ -160,7 +160,7 @@ def assess(
     cascade = [by_name[n] for n in ranked]
     more = "rejected_by string, n_asked int" + (f", {FIELDS}" if with_counts else "")
     names = [p.split()[0] for p in more.split(", ")]
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in names))
+    kept = without(docs, *names)
     schema = extended(kept.schema, more)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -221,7 +221,7 @@ def rewrite(
         "shard",
         "slot",
     )
-    columns = [c for c in docs.columns if c not in ("shard", "slot")]
+    columns = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     plain = [f.name for f in docs.schema.fields if f.name in columns and "map<" not in f.dataType.simpleString()]
     body = F.col(f"`{text}`")
     own = docs.select(

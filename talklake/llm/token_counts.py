@@ -10,7 +10,7 @@ import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
 from talklake.llm.bpe import parse_vocabulary, read_vocabulary
-from talklake.llm.common import by_slices, extended, worker_state
+from talklake.llm.common import by_slices, extended, without, worker_state
 
 #: What becomes of a token that crosses a boundary: it counts for the section of its first character, for that
 #: of its last one, or for the one with most of its characters (the earlier of equals).
@@ -83,7 +83,7 @@ def token_counts(
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     results = ("n_tokens", "sections")
-    kept = docs.select(*(f"`{c}`" for c in docs.columns if c not in results))
+    kept = without(docs, *results)
     out = [f for f in kept.schema.fields if f.name != text]
     schema = extended(type(kept.schema)(out), f"n_tokens bigint, sections {SECTIONS}")
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
