@@ -278,7 +278,6 @@ def all_spans(text: str | None, marked: set[str]) -> list[tuple[str, int, int]]:
 def personal_data(
     docs: DataFrame,
     text: str = "text",
-    context: None = None,
     disclosure: float = DISCLOSURE,
     support: int = SUPPORT,
 ) -> DataFrame:
@@ -291,8 +290,6 @@ def personal_data(
     Null and empty texts have no spans. Repeated rows are documents of their own. A column of ``docs``
     named ``spans`` is replaced.
     """
-    if context is not None:
-        raise ValueError("terms are marked in all documents")
     return _everywhere(without(docs, "spans"), text, disclosure, support)
 
 
