@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ DISCLOSURE = 0.8
 SUPPORT = 2
 #: Terms counted in a worker before they are passed on.
 TERMS_PER_FLUSH = 200_000
-#: Bits of the map that tells workers which terms cannot be among the disclosing ones, whatever their number.
+#: Bits of a map that tells workers which terms, or documents, cannot be among those in question, whatever their number.
 MAP_BITS = 1 << 25
 
 EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -31,6 +31,8 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\W_]{3,}")
+#: All bytes but lower-case ASCII letters and digits become blanks.
+ASCII_WORDS = bytes(b if chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" else 32 for b in range(256))
 
 SPAN = "struct<kind:string,start:int,end:int>"
 
@@ -100,18 +102,37 @@ def free_words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[i
             yield a, b
 
 
+def lowered(text: str) -> str | None:
+    """The text in lower case, where that is every character by itself and in its place; else None.
+
+    Only a capital sigma, which is lowered by what is around it, and a capital I with a dot, which becomes two
+    characters, are different.
+    """
+    return None if "\u03a3" in text or "\u0130" in text else text.lower()
+
+
 def terms_of(text: str | None, spans: list[tuple[str, int, int]]) -> set[str]:
     """The distinct terms of a text, outside its base matches."""
     if not text:
         return set()
-    words = {text[a:b] for a, b in free_words(text, spans)} if spans else set(WORD.findall(text))
-    return {w.lower() for w in words}
+    if spans or (low := lowered(text)) is None:
+        return {w.lower() for w in {text[a:b] for a, b in free_words(text, spans)}}
+    if low.isascii():
+        return {w for w in set(low.encode().translate(ASCII_WORDS).decode().split()) if len(w) > 2}
+    return set(WORD.findall(low))
+
+
+def on_map(bits: bytes, values: Iterable[str]) -> set[str]:
+    """The values that a map of ``_map_of`` does not rule out."""
+    checksum, mask = zlib.crc32, MAP_BITS - 1
+    return {v for v in values if bits[(p := checksum(v.encode()) & mask) >> 3] >> (p & 7) & 1}
 
 
-def document_frequency(docs: DataFrame, text: str = "text") -> DataFrame:
+def document_frequency(docs: DataFrame, text: str = "text", among: bytes | None = None) -> DataFrame:
     """In how many documents each term occurs outside base matches, over all documents: ``term, n``.
 
-    Workers sum the counts of many documents before anything is shuffled.
+    Workers sum the counts of many documents before anything is shuffled. With ``among``, a map of terms, those that
+    it rules out are not counted.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +148,8 @@ def document_frequency(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for value in batch.column(0):
                 whole = value.as_py()
-                total.update(terms_of(whole, base_spans(whole)))
+                terms = terms_of(whole, base_spans(whole))
+                total.update(terms if among is None else on_map(among, terms))
                 if len(total) > TERMS_PER_FLUSH:
                     yield flush()
         if total:
@@ -191,16 +213,16 @@ def marked_terms(docs: DataFrame, disclosure: float = DISCLOSURE, support: int =
     )
     # A group's set is of no further use: of equal counts one is enough.
     candidates = written(together.select("n_e", "n_et", "term").distinct(), "candidates")
-    frequency = document_frequency(docs)
+    frequency = document_frequency(docs, among=_map_of(candidates, "term"))
     discloses = _discloses(docs.count(), disclosure)
     return written(candidates.join(frequency, "term").where(discloses).select("term").distinct(), "terms")
 
 
-def _map_of(terms: DataFrame) -> bytes:
-    """A bit for each term's checksum: of fixed size, and only good for telling that a term is not there."""
-    place = F.crc32(F.col("term").cast("binary")).bitwiseAND(F.lit(MAP_BITS - 1))
+def _map_of(rows: DataFrame, name: str) -> bytes:
+    """A bit for the checksum of each value of a column: of fixed size, and only good for telling that one is not there."""
+    place = F.crc32(F.col(f"`{name}`").cast("binary")).bitwiseAND(F.lit(MAP_BITS - 1))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
-    words = terms.select(F.shiftright(place, 6).alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits"))
+    words = rows.select(F.shiftright(place, 6).alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits"))
     told = words.toArrow()
     out = np.zeros(MAP_BITS // 64, np.int64)
     out[told["at"].to_numpy()] = told["bits"].to_numpy()
@@ -210,28 +232,21 @@ def _map_of(terms: DataFrame) -> bytes:
 def _everywhere(kept: DataFrame, text: str, disclosure: float, support: int) -> DataFrame:
     """``kept`` with ``spans``: base matches, and every occurrence of a disclosing term in any document.
 
-    A document's distinct terms are joined with the disclosing ones; only those that the map lets through are
-    shuffled. So are the texts that have any of these; all others get their base matches where they are.
+    A document's distinct terms are joined with the disclosing ones; only those that a map lets through are
+    shuffled. So are the texts of the documents that another map says may have marks; all others get their base matches
+    where they are, and no text is cut into words again.
     """
     own = F.col(f"`{text}`")
     doc = F.concat_ws("-", *(F.xxhash64(F.lit(seed), own) for seed in ("left", "right")))
     plain = kept.select(doc.alias("doc"), own.alias("text"))
     terms = marked_terms(plain, disclosure, support)
-    bits = _map_of(terms)
-
-    def possible(value: str | None) -> set[str]:
-        out = set()
-        for term in terms_of(value, base_spans(value)):
-            place = zlib.crc32(term.encode()) & (MAP_BITS - 1)
-            if bits[place >> 3] >> (place & 7) & 1:
-                out.add(term)
-        return out
+    bits = _map_of(terms, "term")
 
     def pairs(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         out = [
             (d, t)
             for d, value in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True)
-            for t in possible(value)
+            for t in on_map(bits, terms_of(value, base_spans(value)))
         ]
         if not out:
             return None
@@ -241,15 +256,10 @@ def _everywhere(kept: DataFrame, text: str, disclosure: float, support: int) ->
     row, told = (free_name(kept, name) for name in ("__doc", "__marks"))
     marks = met.join(terms, "term").groupBy(F.col("doc").alias(row)).agg(F.collect_list("term").alias(told))
     marks = written(marks, "marks")
+    marked = _map_of(marks, row)
     schema, own_names = extended(kept.schema, f"spans array<{SPAN}>"), list(kept.columns)
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-
-    def split(hit: bool):
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            mine = [i for i, value in enumerate(batch.column(text).to_pylist()) if bool(possible(value)) == hit]
-            return batch.take(pa.array(mine, pa.int64())) if mine else None
-
-        return kept.mapInArrow(by_slices(work, text), kept.schema)
+    keyed = kept.withColumn(row, doc)
 
     def spanned(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(text).to_pylist()
@@ -261,9 +271,19 @@ def _everywhere(kept: DataFrame, text: str, disclosure: float, support: int) ->
         columns = [batch.column(n) for n in own_names]
         return pa.RecordBatch.from_arrays([*columns, pa.array(out, span_type)], names=[*own_names, "spans"])
 
-    # What is told apart in the workers is told apart by the text alone, so each row is on one side.
-    hit = split(True).withColumn(row, doc).join(marks, row, "left").drop(row)
-    return split(False).mapInArrow(by_slices(spanned, text), schema).unionByName(hit.mapInArrow(by_slices(spanned, text), schema))
+    def having(batch: pa.RecordBatch, marks: bool) -> pa.RecordBatch | None:
+        keys = batch.column(row).to_pylist()
+        there = on_map(marked, keys)
+        mine = [i for i, key in enumerate(keys) if (key in there) == marks]
+        return batch.take(pa.array(mine, pa.int64())) if mine else None
+
+    def unmarked(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        rest = having(batch, False)
+        return None if rest is None else spanned(rest)
+
+    # Each row is on one side of the map: the text decides.
+    hit = keyed.mapInArrow(by_slices(lambda batch: having(batch, True), text), keyed.schema).join(marks, row, "left").drop(row)
+    return keyed.mapInArrow(by_slices(unmarked, text), schema).unionByName(hit.mapInArrow(by_slices(spanned, text), schema))
 
 
 def all_spans(text: str | None, marked: set[str]) -> list[tuple[str, int, int]]:
@@ -271,8 +291,10 @@ def all_spans(text: str | None, marked: set[str]) -> list[tuple[str, int, int]]:
     base = base_spans(text)
     if not marked:
         return base
-    terms = [("term", a, b) for a, b in free_words(text, base) if text[a:b].lower() in marked]
-    return sorted([*base, *terms], key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    if base or (low := lowered(text)) is None:
+        terms = [("term", a, b) for a, b in free_words(text, base) if text[a:b].lower() in marked]
+        return sorted([*base, *terms], key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    return [("term", *m.span()) for m in WORD.finditer(low) if m.group() in marked]
 
 
 def personal_data(

@@ -63,3 +63,27 @@ def test_whole_without_rows_or_entities(docs):
     empty = docs([(1, "a")]).where("doc_id > 1")
     assert pv.personal_data(empty).collect() == []
     assert [r["spans"] for r in pv.personal_data(docs([(1, "no entity here"), (2, None)])).collect()] == [[], []]
+
+
+def test_words_are_lowered_as_one_by_one():
+    texts = ["ΟΔΟΣ Οδός ΟΔΟΣ'α İstanbul ISTANBUL", "Straße ÄÖÜ_abc 12ab x1 éÉé", "Plain_ASCII words_AND 123 ab", "Ελλάδα ελλάδα", "", None]
+    for text in texts:
+        assert pv.terms_of(text, []) == {w.lower() for w in re.findall(r"[^\W_]{3,}", text or "")}
+        for marked in ({"straße"}, {"ascii", "words"}, {"οδος", "οδός"}, {"ist", "istanbul"}):
+            want = [("term", *m.span()) for m in re.finditer(r"[^\W_]{3,}", text or "") if m.group().lower() in marked]
+            if text:
+                assert pv.all_spans(text, marked) == want
+    odd = {chr(c) for c in range(0x110000) if len(chr(c).lower()) != 1 or chr(c).isalnum() != chr(c).lower().isalnum()}
+    assert odd == {"İ"} and pv.lowered("İ") is pv.lowered("Σ") is None
+
+
+def test_only_terms_on_the_map_are_counted(docs):
+    rows = [(i, f"common word{i} pair{i // 2}") for i in range(6)]
+    some = docs(rows).selectExpr("'common' AS term").unionByName(docs(rows).selectExpr("'pair1' AS term"))
+    counted = pv.document_frequency(docs(rows), among=pv._map_of(some, "term")).collect()
+    assert {(r["term"], r["n"]) for r in counted} == {("common", 6), ("pair1", 2)}
+
+
+def test_each_text_is_passed_to_the_workers_once_to_be_marked(docs, plan):
+    # Texts without marks in one pass; those with marks are told apart and marked after their join.
+    assert plan(pv.personal_data(docs(corpus()))).count("MapInArrow") == 3
