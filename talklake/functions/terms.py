@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
 from talklake.functions.arrays import let, neighbours
 from talklake.functions.stop_words import ENGLISH
-from talklake.functions.text import keyword_text
+from talklake.functions.text import SPACE, URL, keyword_text
 
 # --- fixed values: words that say nothing about a talk's topic ----------------------
 DOMAIN_STOP_WORDS = (
@@ -44,6 +44,22 @@ def content_words(text: Column, stop_words: Iterable[str] | None = None) -> Colu
     )
 
 
+def words_of_sentences(stop_words: Iterable[str] | None = None) -> Callable[[str], list[list[str]]]:
+    """A function for workers: the ``content_words`` of each sentence of a text that is in lower case.
+
+    Sentences end at ``.`` or a line break; blank ones do not count.
+    """
+    space = re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), SPACE)
+    url, seen, word = re.compile(f"{URL}[^{space}]+"), re.compile(f"[^{space}]"), re.compile("[a-z]+")
+    stop = frozenset(english_stop_words() if stop_words is None else stop_words)
+
+    def of(lower: str) -> list[list[str]]:
+        sentences = (s for s in re.split("[.\n]", lower) if seen.search(s))
+        return [[w for w in word.findall(url.sub("", s) if "://" in s else s) if len(w) > 1 and w not in stop] for s in sentences]
+
+    return of
+
+
 def with_pairs(tokens: Column) -> Column:
     """The words followed by the pairs of adjacent words (stop words already gone)."""
     return let(

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import math
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from talklake.functions.arrays import exploded, let, runs
-from talklake.functions.terms import DOMAIN_STOP_WORDS, content_words, is_stop_phrase, with_pairs
-from talklake.functions.text import has_words, is_blank
+from talklake.functions.arrays import exploded
+from talklake.functions.terms import DOMAIN_STOP_WORDS, is_stop_phrase, words_of_sentences
+from talklake.functions.text import has_words
 from talklake.functions.topics import CANDIDATES_PER_TOPIC, MIN_WORDS, TOP_K, ranked_terms
 
 # --- fixed values --------------------------------------------------------------------
@@ -16,6 +21,9 @@ MAX_DF = 0.95
 MANY_SENTENCES = 5
 # -------------------------------------------------------------------------------------
 
+#: Texts that a worker takes at once.
+TEXTS_AT_ONCE = 64
+
 
 def topic_names(text: Column, **options) -> Column:
     """The topics of a text, best first."""
@@ -36,58 +44,42 @@ def topic_scores(docs: DataFrame, key: str = "video_id", text: str = "text", **o
     return rows.select(key, "topic.rank", "topic.t.term", "topic.t.tf", "topic.t.score")
 
 
-def _sentence_scores(
-    text: Column, top_k: int, stop_words: Iterable[str] | None, domain_stop_words: Iterable[str]
-) -> Column:
-    """The best terms of a text over its sentences, best first: ``struct(least, term)``, ``least`` the negative score."""
-    size = top_k * CANDIDATES_PER_TOPIC
-    sentences = F.filter(F.split(text, "[.\n]"), lambda s: ~is_blank(s))
-    per_sentence = F.transform(sentences, lambda s: with_pairs(content_words(s, stop_words)))
-
-    def vocabulary(found: Column) -> Column:
-        n = F.size(found)
-        totals = F.transform(
-            runs(F.sort_array(F.flatten(found))),
-            lambda r: F.struct((-r["n"]).alias("least"), r["item"].alias("term")),
-        )
-
-        def weighted(ranked: Column) -> Column:
-            # Terms that may be in nearly every sentence come first; behind them are enough others.
-            frequent = F.size(F.filter(ranked, lambda t: -t["least"] > n * MAX_DF))
-            counted = F.transform(
-                F.slice(ranked, 1, size + frequent),
-                lambda t: F.struct(
-                    t["term"].alias("term"), F.size(F.filter(found, lambda w: F.array_contains(w, t["term"]))).alias("df")
-                ),
-            )
-            kept = F.filter(counted, lambda t: (n <= MANY_SENTENCES) | (t["df"] <= n * MAX_DF))
-            idf = lambda t: F.log((n + 1) / (t["df"] + 1)) + 1
-            return F.transform(F.slice(kept, 1, size), lambda t: F.struct(t["term"].alias("term"), idf(t).alias("idf")))
-
-        return let(F.sort_array(totals), weighted)
-
-    def scores(found: Column, terms: Column) -> Column:
-        def shares(tokens: Column) -> Column:
-            weights = F.transform(terms, lambda t: F.size(F.filter(tokens, lambda w: w == t["term"])) * t["idf"])
-
-            def unit(w: Column) -> Column:
-                norm = F.sqrt(F.aggregate(w, F.lit(0.0), lambda s, x: s + x * x))
-                return let(norm, lambda m: F.transform(w, lambda x: F.when(m > 0, x / m).otherwise(0.0)))
-
-            return let(weights, unit)
-
-        total = F.aggregate(
-            F.transform(found, shares),
-            F.transform(terms, lambda t: F.lit(0.0)),
-            lambda sums, own: F.zip_with(sums, own, lambda a, b: a + b),
-        )
-        scored = F.zip_with(
-            terms, total, lambda t, s: F.struct((-F.round(s, 12)).alias("least"), t["term"].alias("term"))
-        )
-        kept = F.filter(scored, lambda t: ~is_stop_phrase(t["term"], domain_stop_words))
-        return F.slice(F.sort_array(kept), 1, top_k)
-
-    return let(per_sentence, lambda found: let(vocabulary(found), lambda terms: scores(found, terms)))
+def _sentence_terms(found: list[list[str]], size: int) -> list[dict]:
+    """The weighted terms of a text, from the content words of each of its sentences: its ``size`` most frequent ones."""
+    sentences = [[*own, *map(" ".join, zip(own, own[1:]))] for own in found]
+    n, total = len(sentences), Counter(chain.from_iterable(sentences))
+    df = Counter(chain.from_iterable(map(set, sentences)))
+    usual = total if n <= MANY_SENTENCES else [t for t in total if df[t] <= n * MAX_DF]
+    # Of equal counts the first by name: the second sort leaves their order.
+    frequent = sorted(sorted(usual), key=total.__getitem__, reverse=True)[:size]
+    idf = {t: math.log((n + 1) / (df[t] + 1)) + 1 for t in frequent}
+    scores = dict.fromkeys(idf, 0.0)
+    for own in sentences:
+        counts: dict[str, int] = {}
+        for term in own:
+            if term in idf:
+                counts[term] = counts.get(term, 0) + 1
+        weights = {t: c * idf[t] for t, c in counts.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        for term, weight in weights.items():
+            scores[term] += weight / norm
+    return [{"term": t, "score": s} for t, s in scores.items()]
+
+
+def _weighted(rows: DataFrame, size: int, stop_words: Iterable[str] | None) -> DataFrame:
+    """``(key, terms)`` from ``(key, lower)``, texts in lower case; a worker takes a few texts at once."""
+    kind = pa.list_(pa.struct([("term", pa.string()), ("score", pa.float64())]))
+    words = words_of_sentences(stop_words)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
+                terms = [_sentence_terms(words(lower), size) for lower in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(terms, kind)], names=["key", "terms"])
+
+    schema = StructType([rows.schema["key"], *StructType.fromDDL("terms array<struct<term:string,score:double>>").fields])
+    return rows.mapInArrow(work, schema)
 
 
 def sentence_topic_scores(
@@ -103,10 +95,14 @@ def sentence_topic_scores(
     Sentences end at ``.`` or a line break. Terms in more than 95 % of the sentences
     are dropped when there are more than five sentences. The ``3 * top_k`` most
     frequent terms are weighted by smoothed IDF, scaled to unit length per sentence and
-    summed. All of it happens inside the document's row; nothing is shuffled.
+    summed. A text's words are counted in one pass in its worker; nothing is shuffled.
     """
-    scores = _sentence_scores(F.col(text), top_k, stop_words, domain_stop_words)
-    found = F.when(has_words(F.col(text), MIN_WORDS), scores)
-    placed = F.transform(found, lambda t, i: F.struct((i + 1).alias("rank"), t.alias("t")))
-    rows = docs.select(key, exploded(placed).alias("topic")).where("topic is not null")
-    return rows.select(key, "topic.rank", "topic.t.term", (-F.col("topic.t.least")).alias("score"))
+    rows = docs.where(has_words(F.col(text), MIN_WORDS)).select(F.col(key).alias("key"), F.lower(text).alias("lower"))
+    scored = F.transform(
+        "terms", lambda t: F.struct((-F.round(t["score"], 12)).alias("least"), t["term"].alias("term"))
+    )
+    kept = F.filter(scored, lambda t: ~is_stop_phrase(t["term"], domain_stop_words))
+    placed = F.transform(F.slice(F.sort_array(kept), 1, top_k), lambda t, i: F.struct((i + 1).alias("rank"), t.alias("t")))
+    found = _weighted(rows, top_k * CANDIDATES_PER_TOPIC, stop_words)
+    named = found.select(F.col("key").alias(key), exploded(placed).alias("topic")).where("topic is not null")
+    return named.select(key, "topic.rank", "topic.t.term", (-F.col("topic.t.least")).alias("score"))

@@ -3,8 +3,10 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from talklake.functions.terms import DOMAIN_STOP_WORDS, english_stop_words
+from talklake.functions.terms import DOMAIN_STOP_WORDS, content_words, english_stop_words, words_of_sentences
+from talklake.functions.text import is_blank
 from talklake.operators import keywords
 from tests.conftest import TALK
 
@@ -103,3 +105,28 @@ def test_no_shuffle(docs, plan):
     assert "Exchange" not in plan(keywords.topics(docs))
     assert "Exchange" not in plan(keywords.topic_scores(docs))
     assert "Python" not in plan(keywords.topics(docs))
+
+
+def test_sentence_words_are_counted_in_one_pass(docs, plan):
+    # The nested column functions searched every sentence for every term; words now leave the row's expression for one pass of a worker.
+    found = plan(keywords.sentence_topic_scores(docs))
+    assert found.count("MapInArrow") == 1 and "array_contains" not in found and "Exchange" not in found
+
+
+def test_sentence_words_equal_the_columns(spark):
+    texts = [*LONG, "See https://a.b/c?d. HTTP://X.y z more Kelvin İstanbul the.  \n　\nI'm x yz_q 9ab"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(
+        "i", F.lower("text").alias("lower"),
+        F.transform(
+            F.filter(F.split("text", "[.\n]"), lambda s: ~is_blank(s)), lambda s: content_words(s)
+        ).alias("words"),
+    )
+    of = words_of_sentences()
+    for r in rows.collect():
+        assert of(r["lower"]) == r["words"]
+
+
+def test_sentence_scores_keep_the_key_and_drop_null_texts(spark):
+    rows = spark.createDataFrame([(None, TALK, 1), ("a", None, 2), ("a", TALK, 3)], "`My Key` string, Body string, text int")
+    found = keywords.sentence_topic_scores(rows, "My Key", "Body", top_k=2).collect()
+    assert sorted(((r["My Key"], r["rank"]) for r in found), key=repr) == [("a", 1), ("a", 2), (None, 1), (None, 2)]
