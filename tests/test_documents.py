@@ -94,6 +94,19 @@ def test_files_round_trip(spark):
     assert spark.read.parquet(table).count() == 4
 
 
+def test_files_are_opened_once_and_many_by_a_task(spark):
+    root, key = scratch_path(spark, "many"), files.OPEN_COST_KEY
+    rows = spark.range(2000).select(F.format_string("TRANSCRIPT-%04d-x.md", "id").alias("filename"), F.lit("text").alias("content"))
+    assert files.write_plain(rows, root) == 2000
+    before = spark.conf.get(key)
+    ordered = files.by_name(files.read_plain(spark, root))
+    # The sort and its sampling run over a table of a few files, not over 2,000 of them in 63 tasks.
+    inputs = ordered.inputFiles()
+    assert all(f.endswith(".parquet") for f in inputs) and len(inputs) <= 16
+    assert [r["filename"] for r in ordered.collect()] == [f"TRANSCRIPT-{i:04d}-x.md" for i in range(2000)]
+    assert spark.conf.get(key) == before
+
+
 MANIFEST = f"""## Transcript Batch: `batch-test`
 
 Auto-generated by **{GENERATOR}**.
