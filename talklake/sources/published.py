@@ -12,6 +12,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from talklake.functions.markdown import FILE_PREFIX
+from talklake.sources.documents import contents
 
 FORMAT = "talklake_files"
 STAGING = "_staging-"
@@ -106,8 +107,5 @@ def clear_staging(root: str) -> None:
 
 def read_published(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> DataFrame:
     """``(batch, filename, content)`` of the ``<prefix>-*.md`` files of all batches that are visible."""
-    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"{prefix}-*.md").text(root, wholetext=True)
-    path = F.split("_metadata.file_path", "/")
-    return rows.select(
-        F.element_at(path, -3).alias("batch"), F.col("_metadata.file_name").alias("filename"), F.col("value").alias("content")
-    )
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"{prefix}-*.md")
+    return contents(reader, root, F.element_at(F.split("_metadata.file_path", "/"), -3).alias("batch"))
