@@ -67,3 +67,8 @@ def test_rows_without_letters_go(spark, sf_dir, text):
     )
     assert sorted(r["text"] for r in cp.identify_language(spark, docs, sf_dir).collect()) == ["good words", "more good words"]
     assert shingle_set("a b") == {("a", "b")}
+
+
+def test_a_task_has_one_python_worker_at_a_time(spark, sf_dir, plan):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    assert plan(cp.sanitise(spark, docs, sf_dir)).count("MapInArrow") == 1
