@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from talklake.llm import suffix_dedup as sd
@@ -115,3 +117,64 @@ def test_hashes_tell_alternating_words_apart(power):
     again = Ranges(np.concatenate([np.zeros(1000, np.uint8), data]))
     assert again.hash(np.array([1000]), np.array([1000 + n]))[0] == one
     assert len(np.unique(ranges.every(64))) == len({bytes(data[i : i + 64]) for i in range(2 * n - 63)})
+
+
+def test_a_stage_has_one_python_worker_to_a_task(docs, plan):
+    """Ranges are merged and joined to the texts by Spark; only the digests are Python's."""
+    frame = docs([(1, "a" * 80), (2, "a" * 80)])
+    assert "MapInArrow" not in plan(sd.deduplicate(frame))
+    assert plan(sd.report(sd.deduplicate(frame))).count("MapInArrow") == 1
+
+
+def peak_and_rows(batches):
+    """The most MB that numpy held while ``batches`` ran, and the size of each batch."""
+    tracemalloc.start()
+    try:
+        sizes = [b.num_rows for b in batches]
+        return tracemalloc.get_traced_memory()[1] / 1e6, sizes
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_few_phrases_and_passes_them_on_in_small_batches():
+    rng = np.random.default_rng(4)
+    text = rng.integers(97, 123, 24_000_000).astype(np.uint8).tobytes().decode()
+    texts = [text[i : i + 4000] for i in range(0, len(text), 4000)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_pydict({"doc": np.arange(n), "tag": np.arange(n), "text": texts})
+    peak, sizes = peak_and_rows(sd._parse(iter([batch]), 50))
+    assert sum(sizes) > 1 << 20 and max(sizes) <= 1 << 16
+    assert peak < 130
+
+
+def test_all_phrases_of_a_partition_are_held_once():
+    n, step = 1 << 20, 1 << 14
+    rng = np.random.default_rng(5)
+    # Two phrases of different documents to a trigger, with one side in common.
+    key, ids = np.repeat(rng.integers(0, 1 << 47, n // 2) << 16, 2), np.arange(n)
+    whole = pa.RecordBatch.from_pydict(
+        {
+            "kind": np.ones(n, np.int32), "key": key, "sides": rng.integers(0, 1 << 31, n).astype(np.int32),
+            "phrase": rng.integers(0, 1 << 62, n), "doc": ids, "tag": ids, "at": sd._packed(ids * 0, ids * 0 + 20, ids * 0 + 19),
+        }
+    )
+    # Each batch has buffers of its own, as from Spark.
+    batches = (whole.take(pa.array(np.arange(a, a + step))) for a in range(0, n, step))
+    peak, sizes = peak_and_rows(sd._judge(batches, 50))
+    assert sum(sizes) == n and max(sizes) <= 1 << 16
+    assert peak < 150
+
+
+def test_ranges_of_a_document_are_merged_across_workers(spark):
+    """Ranges that touch, overlap or hold one another become one, and come in order."""
+    rng = random.Random(12)
+    make = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    parts = [make(k) for k in (50, 60, 200, 55, 90)]
+    rows = [(i, f"<{i}>{p}({i})") for i, p in enumerate(parts)]
+    rows += [(50, parts[2][20:150]), (60, "k" * 30 + parts[0] + parts[1] + "l" * 80 + parts[2] + parts[2][10:90] + "mn" + parts[4])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    found = {r["doc_id"]: [tuple(s) for s in r["removed"]] for r in sd.deduplicate(frame).collect()}
+    text = dict(rows)[60]
+    last = text.index(parts[4])
+    assert found[60] == [(30, 140), (220, 500), (last, last + 90)]
+    assert sorted(map(tuple, sd.report(sd.deduplicate(frame)).collect())) == brute(rows)
